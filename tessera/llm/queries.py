@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, toxicity
+from . import bpe, mixing, neardup, toxicity
 from .common import table
 
 
 def queries() -> dict:
     return {
         "op2_toxic_segments": lambda s, d: toxicity.op2_toxic_segments(table(s, d, "documents"), table(s, d, "labels")),
+        "op3_near_duplicates": lambda s, d: neardup.op3_near_duplicates(table(s, d, "documents")),
         "op9_curriculum_mix": lambda s, d: mixing.op9_curriculum_mix(table(s, d, "documents")),
         "op10_bpe_round_trip": lambda s, d: bpe.op10_bpe_round_trip(table(s, d, "documents")),
     }
