@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,24 +58,59 @@ def crc32_mod(column: Column, n: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % F.lit(n), F.lit(0))
 
 
-class WordHashes(dict):
-    """64-bit hashes of byte words, remembered up to a bound so that memory stays flat over any number of rows."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = WordHashes()
-
-
-def hashed_words(words: list[bytes]) -> np.ndarray:
-    """One unsigned 64-bit hash for each word."""
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+_RANDOM = np.random.Generator(np.random.PCG64(911))
+_BYTE = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)
+_LOWER_BYTE = _BYTE[[c + 32 if 65 <= c <= 90 else c for c in range(256)]]
+_IS_SPACE = np.array([c == 0x20 or 0x09 <= c <= 0x0D for c in range(256)])
+_BASE = 0x5851F42D4C957F2D
+#: Powers of _BASE and of its inverse modulo 2^64, grown to the longest piece seen.
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Longer texts are hashed in pieces, cut at white space, so that the tables of powers stay small.
+_PIECE = 1 << 20
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    while len(_POWERS[0]) < n:
+        k = len(_POWERS[0])
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            _POWERS[i] = np.concatenate([_POWERS[i], _POWERS[i] * np.uint64(pow(base, k, 2**64))])
+    return _POWERS[0], _POWERS[1]
+
+
+def spans(data: bytes, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of UTF-8 text without a list of them: a 64-bit hash, the start and the length in bytes of each.
+
+    A word's hash is a polynomial over random values of its bytes, the difference of two running sums; with `lower`, A-Z count as a-z.
+    """
+    if len(data) > _PIECE:
+        at, parts = 0, []
+        while at < len(data):
+            end = min(at + _PIECE, len(data))
+            if end < len(data):
+                after = np.flatnonzero(_IS_SPACE[np.frombuffer(data, np.uint8, min(_PIECE, len(data) - end), end)])
+                while not len(after) and end < len(data):
+                    end = min(end + _PIECE, len(data))
+                    after = np.flatnonzero(_IS_SPACE[np.frombuffer(data, np.uint8, min(_PIECE, len(data) - end), end)]) if end < len(data) else after
+                end += int(after[0]) if len(after) else 0
+            h, s, n = _spans(data[at:end], lower)
+            parts.append((h, s + at, n))
+            at = end
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    return _spans(data, lower)
+
+
+def _spans(data: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    a = np.frombuffer(data, np.uint8)
+    n = len(a)
+    outside = np.ones(n + 2, np.int8)
+    np.take(_IS_SPACE, a, out=outside[1:-1].view(bool))
+    edges = np.flatnonzero(outside[1:] != outside[:-1])
+    starts, ends = edges[0::2], edges[1::2]
+    powers, inverse = _powers(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(np.take(_LOWER_BYTE if lower else _BYTE, a) * powers[:n], out=sums[1:])
+    lengths = ends - starts
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + lengths.astype(np.uint64)), starts, lengths
 
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

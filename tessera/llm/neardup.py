@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_words, prepare, saved, window_hashes
+from .common import prepare, saved, spans, window_hashes
 from .components import components
 
 #: Words in a shingle, and the linking similarity in hundredths.
@@ -50,9 +50,8 @@ _BLOCK = 4096
 
 
 def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles. bytes.lower() and bytes.split() are ASCII-only, as the contract wants."""
-    words = text.encode("utf-8", "replace").lower().split() if text else []
-    return np.unique(window_hashes(hashed_words(words), WORDS)) if words else np.empty(0, np.uint64)
+    """Sorted distinct hashes of a text's shingles; only A-Z are lower-cased."""
+    return np.unique(window_hashes(spans(text.encode("utf-8", "replace"), lower=True)[0], WORDS)) if text else np.empty(0, np.uint64)
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, hashed_words, prepare, window_hashes
+from .common import crc32_mod, prepare, spans, window_hashes
 
 #: Labelled rows that may be learned from, tokens a model may hold, and the prior's weight as a share of the learned tokens.
 LEARN_ROWS, MODEL_TOKENS, PRIOR = 12_000, 50_000, 1.0
@@ -96,7 +96,7 @@ def sketches(words: list[bytes]) -> list[int]:
     """Two minimum hashes of a text's 5-word runs: near copies share one of them."""
     if not words:
         return []
-    hashes = window_hashes(hashed_words(words), 5)
+    hashes = window_hashes(spans(b" ".join(words))[0], 5)
     return [int(hashes.min()), ~int(hashes.max())]
 
 
