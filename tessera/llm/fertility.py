@@ -31,9 +31,9 @@ from .textstats import SPACES, SYMBOLS, byte_counts, code_points, repeated_lines
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.json")
 #: Fewest words, and the largest share of repeated words in hundredths.
 LEAST_WORDS, MOST_REPEATED = 10, 20
-#: Half-width of a band in robust standard deviations, and the least half-widths.
-BAND = 8.0
-FLOORS = {"chars_per_token": 0.6, "chars_per_token_2": 0.6, "byte_share": 0.10, "evenness": 0.15}
+#: Half-width of a band in robust standard deviations, and the least half-widths: a + b / sqrt(tokens), as short texts vary more.
+BAND = 6.0
+FLOORS = {"chars_per_token": (0.3, 10.0), "chars_per_token_2": (0.3, 10.0), "byte_share": (0.03, 0.6), "evenness": (0.05, 1.0)}
 #: Words remembered by a worker for each vocabulary, and the longest that is.
 REMEMBERED, LONGEST = 200_000, 64
 #: First code points of the scripts told apart (fixed values of Unicode's blocks), and their names.
@@ -136,20 +136,20 @@ def with_measures(docs: DataFrame, vocabularies=VOCABULARIES, folder: str | None
 def judged(measured: DataFrame, band: float = BAND) -> DataFrame:
     """Adds base_failed and kept. Bands come from two passes of mergeable quantile sketches, so a huge group costs no more than its partials."""
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
-    measured = measured.withColumn("base_failed", failed).withColumn("length_class", F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1))) / 2).cast("int"))
-    group = ["script", "lang", "length_class"]
+    length = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1))) / 2).cast("string")
+    group = F.concat_ws("|", "script", F.coalesce("lang", F.lit("")), length)
+    measured = measured.withColumn("base_failed", failed).withColumn("band_group", group)
     passing = measured.where(~F.col("base_failed"))
-    middle = passing.groupBy(*group).agg(*(F.percentile_approx(m, 0.5, 10_000).alias(f"mid_{m}") for m in FLOORS))
-    same = lambda a, b: a["script"].eqNullSafe(b["script"]) & a["lang"].eqNullSafe(b["lang"]) & a["length_class"].eqNullSafe(b["length_class"])
-    # groups are few: scripts x languages x some ten length classes; the planner broadcasts them if they are small
-    near = passing.join(middle, same(passing, middle)).select(*(passing[g] for g in group), *((F.abs(passing[m] - middle[f"mid_{m}"])).alias(m) for m in FLOORS), *(middle[f"mid_{m}"] for m in FLOORS))
-    bands = near.groupBy(*group).agg(*(F.first(f"mid_{m}").alias(f"mid_{m}") for m in FLOORS), *(F.percentile_approx(m, 0.5, 10_000).alias(f"dev_{m}") for m in FLOORS))
+    # groups are few (scripts x languages x some ten length classes); the planner broadcasts them if they are small
+    middle = passing.groupBy("band_group").agg(*(F.percentile_approx(m, 0.5, 10_000).alias(f"mid_{m}") for m in FLOORS))
+    near = passing.join(middle, "band_group")
+    bands = near.groupBy("band_group").agg(*(F.first(f"mid_{m}").alias(f"mid_{m}") for m in FLOORS), *(F.percentile_approx(F.abs(F.col(m) - F.col(f"mid_{m}")), 0.5, 10_000).alias(f"dev_{m}") for m in FLOORS))
     inside = F.lit(True)
-    for m, floor in FLOORS.items():
-        half = F.greatest(F.col(f"dev_{m}") * F.lit(1.4826 * band), F.lit(floor))
+    for m, (floor, spread) in FLOORS.items():
+        half = F.greatest(F.col(f"dev_{m}") * F.lit(1.4826 * band), F.lit(floor) + F.lit(spread) / F.sqrt(F.greatest(F.col("n_tokens"), F.lit(1))))
         inside = inside & F.coalesce(F.abs(F.col(m) - F.col(f"mid_{m}")) <= half, F.lit(True))
-    joined = measured.join(bands, same(measured, bands), "left").select(*(measured[c] for c in measured.columns), *(bands[c] for c in bands.columns if c not in group))
-    return joined.withColumn("kept", ~F.col("base_failed") & inside).drop(*(f"{k}_{m}" for k in ("mid", "dev") for m in FLOORS))
+    joined = measured.join(bands, "band_group", "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & inside).drop("band_group", *(f"{k}_{m}" for k in ("mid", "dev") for m in FLOORS))
 
 
 def op6_tokenizer_fertility(docs: DataFrame) -> DataFrame:

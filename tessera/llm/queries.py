@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bitpack, bpe, fertility, langid, mixing, neardup, quality, toxicity, winnow
+from . import bitpack, bpe, fertility, fixity, langid, mixing, neardup, quality, toxicity, winnow
 from .common import table
 
 
 def queries() -> dict:
     return {
+        "op1_merkle_audit": lambda s, d: fixity.op1_merkle_audit(table(s, d, "pages")),
         "op2_toxic_segments": lambda s, d: toxicity.op2_toxic_segments(table(s, d, "documents"), table(s, d, "labels")),
         "op3_near_duplicates": lambda s, d: neardup.op3_near_duplicates(table(s, d, "documents")),
         "op4_byte_bigru_language": lambda s, d: langid.op4_byte_bigru_language(table(s, d, "documents")),
@@ -21,4 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_merkle_audit": fixity.SQL}
