@@ -157,11 +157,11 @@ WITH base AS (
   FROM recs GROUP BY page_id, sha256(record)
 ), placed AS (
   SELECT *, CAST(floor(page_id / {FILE_PAGES}.0) AS BIGINT) AS f,
-    coalesce(sum(length * pc) OVER (PARTITION BY floor(page_id / {FILE_PAGES}.0) ORDER BY page_id, record_sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+    coalesce(sum(length * pc) OVER (PARTITION BY floor(page_id / {FILE_PAGES}.0) ORDER BY page_id, record_sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
   FROM agg
 )
 SELECT page_id, record_sha256, CASE WHEN pc > rc THEN 'missing' ELSE 'extra' END AS status,
   CAST(pc AS BIGINT) AS primary_copies, CAST(rc AS BIGINT) AS replica_copies,
-  CASE WHEN pc > 0 THEN f END AS file, CASE WHEN pc > 0 THEN CAST(at AS BIGINT) END AS "offset", CAST(length AS BIGINT) AS length
+  CASE WHEN pc > 0 THEN f END AS file, CASE WHEN pc > 0 THEN CAST(pos AS BIGINT) END AS "offset", CAST(length AS BIGINT) AS length
 FROM placed WHERE pc <> rc
 """
