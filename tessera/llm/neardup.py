@@ -4,15 +4,16 @@ Every text gets SYMBOLS minimum hashes of its distinct 5-word shingles. The firs
 index signature, split into chunks. By the pigeonhole principle two signatures that differ in at most
 ``chunks * (errors + 1) - 1`` symbols agree in some chunk but for ``errors`` symbols, so posting each chunk under all
 selections of ``symbols - errors`` of its symbols brings all such pairs together, without exception. All SYMBOLS hashes, cut
-to 8 bits and packed into eight longs, are a second signature by which candidates are screened (the bounds of both lie more
-than four standard deviations beyond what a pair at the linking similarity shows). Pairs that remain are confirmed on the full
-shingle sets.
+to 8 bits and packed into eight longs, are a second signature by which candidates are screened, and texts that need a closer
+look get a third of FINE one-bit hashes (the bounds of all three lie more than four standard deviations beyond what a pair at
+the linking similarity shows). Pairs that remain are confirmed on the full shingle sets.
 
 No bucket is ever expanded into all its pairs up front:
 1. texts with equal shingle sets become one class, so exact copies cost one row;
-2. in each bucket every class meets the bucket's smallest class only; confirmed links are contracted into components, which
-   folds a group of near copies of any size into one;
-3. only pairs of one bucket that still lie in different components are screened and confirmed, all of them.
+2. in each bucket every class meets the bucket's hub only, the class that shares most buckets with most others (the original
+   of a group of near copies); confirmed links are contracted into components, which folds such a group into one;
+3. only pairs of one bucket that still lie in different components are screened, each in the first bucket it shares; of each two
+   components the closest pair is confirmed first, and after another contraction all pairs that still lie apart.
 A link between texts of one component is never needed, so nothing is lost.
 
 Defined results: null, empty and blank texts have no shingle, are linked with nothing and kept; texts of fewer than 5 words are
@@ -41,12 +42,14 @@ SYMBOLS, INDEXED, CHUNK, ERRORS = 64, 25, 5, 2
 #: Largest distance of index signatures that the chunks guarantee to find, and of the screening signatures.
 INDEX_DISTANCE = INDEXED // CHUNK * (ERRORS + 1) - 1
 SCREEN_DISTANCE = 32
+#: One-bit hashes of the closer look, and the largest distance there: a linked pair differs in FINE / 8 bits, give or take.
+FINE, FINE_DISTANCE = 1024, 178
 
 _RNG = np.random.Generator(np.random.PCG64(20240501))
-_FACTORS = _RNG.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _RNG.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
+_FACTORS = _RNG.integers(0, 2**63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _RNG.integers(0, 2**63, FINE, dtype=np.uint64)
 #: Shingles hashed at once: bounds the memory that a very long text takes.
-_BLOCK = 4096
+_BLOCK = 512
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -54,19 +57,25 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(window_hashes(spans(text.encode("utf-8", "replace"), lower=True)[0], WORDS)) if text else np.empty(0, np.uint64)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """SYMBOLS minimum hashes, 64 bits each."""
-    out = np.full(SYMBOLS, np.uint64(2**64 - 1))
+def signature(hashes: np.ndarray, n: int = SYMBOLS) -> np.ndarray:
+    """n minimum hashes, 64 bits each."""
+    out = np.full(n, np.uint64(2**64 - 1))
     for at in range(0, len(hashes), _BLOCK):
-        np.minimum(out, ((hashes[at : at + _BLOCK][None, :] ^ _SHIFTS[:, None]) * _FACTORS[:, None]).min(axis=1), out=out)
+        np.minimum(out, ((hashes[at : at + _BLOCK][None, :] ^ _SHIFTS[:n, None]) * _FACTORS[:n, None]).min(axis=1), out=out)
     return out
 
 
+def fine_signature(hashes: np.ndarray) -> np.ndarray:
+    """FINE one-bit hashes in longs."""
+    bits = ((signature(hashes, FINE) >> np.uint64(20)) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_hash (two longs), index (array of 16-bit symbols), screen (eight longs of 8-bit symbols)."""
     prepare(docs.sparkSession)
 
-    @F.pandas_udf("n_shingles long, set_high long, set_low long, index array<int>, screen array<long>")
+    @F.pandas_udf("n_shingles long, set_high long, set_low long, index array<smallint>, screen array<long>")
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
@@ -76,7 +85,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 high, low = np.frombuffer(digest, dtype="<i8").tolist()
                 if len(found):
                     low16 = signature(found) >> np.uint64(16)
-                    rows.append((len(found), high, low, (low16[:INDEXED] & np.uint64(0xFFFF)).astype(np.int32), (low16 & np.uint64(0xFF)).astype(np.uint8).view("<i8")))
+                    rows.append((len(found), high, low, (low16[:INDEXED] & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16), (low16 & np.uint64(0xFF)).astype(np.uint8).view("<i8")))
                 else:
                     rows.append((0, high, low, None, None))
             yield pd.DataFrame(rows, columns=["n_shingles", "set_high", "set_low", "index", "screen"])
@@ -84,13 +93,34 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", sign(F.col("text")).alias("s")).select("doc_id", "s.*")
 
 
+#: The symbols that a posting keeps: all selections of CHUNK - ERRORS symbols from each chunk, in a fixed order.
+SELECTIONS = [tuple(c * CHUNK + k for k in kept) for c in range(INDEXED // CHUNK) for kept in combinations(range(CHUNK), CHUNK - ERRORS)]
+
+
 def _postings(classes: DataFrame) -> DataFrame:
-    """(key, id) for all chunks and all selections of their symbols that leave out ERRORS of them."""
-    keys = []
-    for c in range(INDEXED // CHUNK):
-        for kept in combinations(range(CHUNK), CHUNK - ERRORS):
-            keys.append(F.xxhash64(F.lit(c), F.lit(str(kept)), *(F.col("index").getItem(c * CHUNK + k) for k in kept)))
-    return classes.select("id", F.explode(F.array(*keys)).alias("key"))
+    """(id, slot, key) for all chunks and all selections of their symbols that leave out ERRORS of them."""
+    keys = [F.xxhash64(F.lit(i), *(F.col("index").getItem(k) for k in kept)) for i, kept in enumerate(SELECTIONS)]
+    return classes.select("id", F.posexplode(F.array(*keys)).alias("slot", "key"))
+
+
+def _first_slot(a: Column, b: Column) -> Column:
+    """The first selection in which two index signatures agree: the one bucket of all they share that reports the pair."""
+    same = [a.getItem(k) == b.getItem(k) for k in range(INDEXED)]
+    found = None
+    for i, kept in enumerate(SELECTIONS):
+        hit = same[kept[0]]
+        for k in kept[1:]:
+            hit = hit & same[k]
+        found = F.when(hit, i) if found is None else found.when(hit, i)
+    return found
+
+
+def _bits_apart(a: Column, b: Column) -> Column:
+    total = None
+    for i in range(FINE // 64):
+        n = F.bit_count(a.getItem(i).bitwiseXOR(b.getItem(i)))
+        total = n if total is None else total + n
+    return total
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -140,37 +170,54 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = full.groupBy(*sets).agg(F.min("doc_id").alias("id"))
     # a class carries one signature; equal sets have equal ones
     classes = saved(classes.join(full.select(F.col("doc_id").alias("id"), *sets, "index", "screen").dropDuplicates(["id", *sets]), ["id", *sets]), "classes")
-    posted = _postings(classes.dropDuplicates(["id"]))
-    buckets = posted.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub < top").drop("top")
+    nodes = classes.dropDuplicates(["id"])
+    posted = _postings(nodes)
+    buckets = posted.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
     members = saved(posted.join(buckets, "key"), "members")
-    screens = classes.dropDuplicates(["id"]).select("id", "screen", F.col("n_shingles").alias("n"))
+    weights = members.groupBy("id").agg(F.sum("held").alias("weight"))
+    hubs = members.join(weights, "id").groupBy("key").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"))
+    screens = nodes.select("id", "screen", F.col("n_shingles").alias("n"))
     texts = docs.select(F.col("doc_id").alias("id"), "text")
     # one text stands for a doc_id (rows may repeat it)
-    texts = texts.join(members.select("id").distinct(), "id").dropDuplicates(["id"])
-    texts = saved(texts, "texts")
-
-    def screened(pairs: DataFrame) -> DataFrame:
-        near = F.greatest("an", "bn") * PERCENT <= F.least("an", "bn") * 100
-        return pairs.where(near & (_distance(F.col("as"), F.col("bs")) <= SCREEN_DISTANCE))
+    texts = saved(texts.join(weights.select("id"), "id").dropDuplicates(["id"]), "texts")
 
+    sizes = lambda x, y: F.greatest(x, y) * PERCENT <= F.least(x, y) * 100
     left = screens.select(F.col("id").alias("a"), F.col("screen").alias("as"), F.col("n").alias("an"))
     right = screens.select(F.col("id").alias("b"), F.col("screen").alias("bs"), F.col("n").alias("bn"))
-    stars = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    stars = screened(stars.join(right, "b").join(left, "a")).select("a", "b")
-    stars = saved(stars, "stars")
+    stars = members.join(hubs, "key").where("id <> hub").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    stars = stars.join(right, "b").join(left, "a").where(sizes(F.col("an"), F.col("bn")) & (_distance(F.col("as"), F.col("bs")) <= SCREEN_DISTANCE))
+    stars = saved(stars.select("a", "b"), "stars")
     links = saved(_confirmed(stars, texts), "links")
     first = saved(components(links), "first")
 
-    placed = members.select("key", "id").join(first, members["id"] == first["node"], "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+    placed = members.select("key", "slot", "id").join(first, members["id"] == first["node"], "left").select("key", "slot", "id", F.coalesce("component", "id").alias("c"))
     mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    open_ = saved(placed.join(mixed, "key").join(screens, "id").select("key", "id", "c", "screen", "n"), "open")
-    a = open_.select("key", F.col("id").alias("a"), F.col("c").alias("ac"), F.col("screen").alias("as"), F.col("n").alias("an"))
-    b = open_.select("key", F.col("id").alias("b"), F.col("c").alias("bc"), F.col("screen").alias("bs"), F.col("n").alias("bn"))
-    near = F.greatest("an", "bn") * PERCENT <= F.least("an", "bn") * 100
-    rest = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & near & (_distance(F.col("as"), F.col("bs")) <= SCREEN_DISTANCE))
-    rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = saved(_confirmed(rest, texts), "more")
-    final = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)) if more.take(1) else first
+    apart = saved(placed.join(mixed, "key"), "apart")
+
+    @F.pandas_udf("array<long>")
+    def fine(batch: pd.Series) -> pd.Series:
+        return pd.Series([fine_signature(shingles(t)) for t in batch])
+
+    closer = saved(texts.join(apart.select("id").distinct(), "id").select("id", fine("text").alias("fine")), "fine")
+    closer = closer.join(nodes.select("id", "index", F.col("n_shingles").alias("n")), "id")
+    look = saved(apart.join(closer, "id"), "look")
+    x, y = look.alias("x"), look.alias("y")
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & sizes(F.col("x.n"), F.col("y.n"))
+    meet = meet & (_bits_apart(F.col("x.fine"), F.col("y.fine")) <= FINE_DISTANCE) & (_first_slot(F.col("x.index"), F.col("y.index")) == F.col("x.slot"))
+    pairs = x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.least("x.c", "y.c").alias("low"), F.greatest("x.c", "y.c").alias("high"), _bits_apart(F.col("x.fine"), F.col("y.fine")).alias("bits"))
+    pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
+    nearest = pairs.groupBy("low", "high").agg(F.min_by(F.struct("a", "b"), F.struct("bits", "a", "b")).alias("p")).select("p.*")
+    edges = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    more = saved(_confirmed(nearest, texts), "more")
+    if more.take(1):
+        edges = edges.union(more)
+        first = saved(components(edges), "second")
+        tops = first.select("node", "component")
+        # links between components, not nodes: a pair still lies apart if its components' new components differ
+        pairs = pairs.join(tops.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(tops.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+    rest = pairs.select("a", "b").join(nearest, ["a", "b"], "left_anti")
+    last = saved(_confirmed(rest, texts), "last")
+    final = components(edges.union(last)) if last.take(1) else first
 
     by_class = classes.join(final, classes["id"] == final["node"], "left").select(*sets, F.coalesce("component", "id").alias("component_id"))
     by_class = by_class.groupBy(*sets).agg(F.min("component_id").alias("component_id"))
