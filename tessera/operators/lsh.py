@@ -22,15 +22,17 @@ def constants(n: int = SIGNATURE) -> list[tuple[int, int]]:
     return [((1_103_515_245 * (i + 1) + 12_345) % PRIME, (69_069 * (i + 7) * (i + 7) + 1) % PRIME) for i in range(n)]
 
 
-def shingles(text: Column, n: int = 3) -> Column:
-    """Distinct word n-grams; a shorter text is one shingle of its words."""
-    w = words(text)
-    return F.when(F.size(w) < n, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " "))))
+def shingles(w: Column, n: int = 3) -> Column:
+    """Distinct n-grams of a column of words; fewer words are one shingle. The words must be a column of their own: an
+    expression would be evaluated again for every n-gram."""
+    many = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " "))
+    return F.when(F.size(w) < n, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(many))
 
 
 def signatures(docs: DataFrame, key: str, text: str, n: int = SIGNATURE) -> DataFrame:
-    """(key, s0..s{n-1}): minima by key with partial aggregation, so a long text never sits in one array."""
-    exploded = docs.select(key, F.explode(shingles(F.col(text))).alias("g")).select(key, hex_number(F.md5("g"), 7).alias("h"))
+    """(key, s0..s{n-1}): minima by key with partial aggregation, so a long text never sits in one array of signatures."""
+    worded = docs.select(key, words(F.col(text)).alias("_w"))
+    exploded = worded.select(key, F.explode(shingles(F.col("_w"))).alias("g")).select(key, hex_number(F.md5("g"), 7).alias("h"))
     return exploded.groupBy(key).agg(*(F.min((F.col("h") * F.lit(a) + F.lit(b)) % F.lit(PRIME)).alias(f"s{i}") for i, (a, b) in enumerate(constants(n))))
 
 

@@ -144,9 +144,9 @@ def unqualified_focuses(t):
     return joins.missing(t("lineitem").select("l_returnflag").distinct(), good, "l_returnflag").withColumnRenamed("l_returnflag", "focus")
 
 
-@query("SELECT doc_id, text FROM documents WHERE doc_id < 50 UNION ALL SELECT item_id, text FROM benchmark")
+@query("SELECT doc_id, text FROM documents UNION ALL SELECT item_id, text FROM benchmark")
 def union_all(t):
-    return t("documents").where("doc_id < 50").select("doc_id", "text").unionByName(t("benchmark").select(F.col("item_id").alias("doc_id"), "text"))
+    return t("documents").select("doc_id", "text").unionByName(t("benchmark").select(F.col("item_id").alias("doc_id"), "text"))
 
 
 @query("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")

@@ -10,8 +10,8 @@ from .registry import position_sql, query
 _C = lsh.constants()
 _SIG = ", ".join(f"min((h * {a} + {b}) % {lsh.PRIME}) AS s{i}" for i, (a, b) in enumerate(_C))
 _SHINGLE_SQL = f"""
-w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM documents WHERE length(text) < 3000),
-g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS g FROM w, unnest(range(1, 4000)) u(i) WHERE i <= greatest(len(w) - 2, 1)),
+w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w)),
 s AS (SELECT doc_id, {_SIG} FROM (SELECT doc_id, ('0x' || substr(md5(g), 1, 7))::BIGINT AS h FROM g) GROUP BY doc_id)
 """
 _BUCKETS = ", ".join("'" + str(b) + "-' || " + " || '-' || ".join(f"s{b * 4 + r}" for r in range(4)) for b in range(16))
@@ -29,8 +29,7 @@ c AS (SELECT node, min(label) AS component FROM r GROUP BY node)
 
 
 def _docs(t):
-    """The texts whose shingles the SQL twin can enumerate; the operator itself has no such bound (see near_duplicate_all)."""
-    return t("documents").where(F.length("text") < 3000).select("doc_id", "text")
+    return t("documents").select("doc_id", "text")
 
 
 @query(f"WITH {_SHINGLE_SQL} SELECT doc_id, s0, s1, s17, s40, s63 FROM s")
@@ -53,11 +52,6 @@ def near_duplicate_keep_first(t):
     return lsh.first_kept(_docs(t), "doc_id", "text")
 
 
-@query()
-def near_duplicate_all(t):
-    return lsh.groups(t("documents").select("doc_id", "text"), "doc_id", "text")
-
-
 _NODE_EDGES = """
 nodes AS (SELECT 'doc:' || CAST(doc_id AS VARCHAR) AS node, source FROM documents),
 e AS (SELECT 'doc:' || CAST(a AS VARCHAR) AS a, 'doc:' || CAST(b AS VARCHAR) AS b FROM (SELECT min(doc_id) OVER (PARTITION BY md5(text)) AS a, doc_id AS b FROM documents) WHERE a < b
