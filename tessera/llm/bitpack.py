@@ -23,23 +23,26 @@ document that fills it; an empty table gives no shard and no row; extra columns
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .bpe import byte_letters
 from .common import prepare, saved
 
 MAGIC, VERSION = b"TSBITS\r\n", 1
 HEADER = struct.Struct("<8sHHIQQQ")
-#: Ids in a block (a multiple of 64), ids after which a shard ends, words remembered by a worker.
-BLOCK, SHARD_TOKENS, REMEMBERED = 4096, 1 << 18, 300_000
+#: Ids in a block (a multiple of 64), ids after which a shard ends, words and pieces remembered by a worker, the longest that are.
+BLOCK, SHARD_TOKENS, REMEMBERED, LONGEST = 4096, 1 << 18, 600_000, 64
 #: The id that ends each document.
 END_ID = 1
 NO_ID = -(2**63)
@@ -129,8 +132,18 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: Words that the library's normaliser leaves alone but for lower case: printable and below U+0250, where all are composed.
+_PLAIN = re.compile("[!-~¡-ɏ]+").fullmatch
+#: The vocabulary's piece pattern, without white space (a fixed value of the public format).
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+
+
 class WordEncoder:
-    """The tokenizers library, word by word: its pieces never span white space, so a text's ids are its words' ids in a row."""
+    """The tokenizers library, word by word: its pieces never span white space, so a text's ids are its words' ids in a row.
+
+    Plain words are cut into pieces here and merged by the library's model, piece by piece; all others, and words that may
+    hold an added token, go through the whole library.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -140,14 +153,30 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.model = self.tokenizer.model
+        letters = byte_letters()
+        self.letter = [letters[b] for b in range(256)]
         self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for word, e in zip(new, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
-            self.known[word] = np.array(e.ids, "<u4").tobytes()
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            mapped = "".join([self.letter[b] for b in piece.encode("utf-8")])
+            found = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+            if len(piece) <= LONGEST:
+                self.pieces[piece] = found
+        return found
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if "<|" in text or not _PLAIN(text):
+            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            found = b"".join(map(self._piece, _PIECES(text.lower())))
+        if len(word) <= LONGEST:
+            self.known[word] = found
+        return found
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text as little-endian 32-bit integers."""
@@ -155,8 +184,13 @@ class WordEncoder:
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.known.__getitem__, words))
+            pass
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        known, word = self.known.get, self._word
+        return b"".join([found if (found := known(w)) is not None else word(w) for w in words])
 
 
 def write_shards(docs: DataFrame, path: str | None = None, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
