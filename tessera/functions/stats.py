@@ -16,7 +16,7 @@ def wilson(success: Column, n: Column, z: float = Z) -> tuple[Column, Column]:
     p = success / n
     centre = (p + F.lit(z * z) / (2 * n)) / (1 + F.lit(z * z) / n)
     half = F.lit(z) * F.sqrt(p * (1 - p) / n + F.lit(z * z) / (4 * n * n)) / (1 + F.lit(z * z) / n)
-    return F.greatest(centre - half, F.lit(0.0)), F.least(centre + half, F.lit(1.0))
+    return F.when(n.isNotNull(), F.greatest(centre - half, F.lit(0.0))), F.when(n.isNotNull(), F.least(centre + half, F.lit(1.0)))
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _marked(events: DataFrame, at: str, late: str) -> DataFrame:
+    """A watermark if the frame streams; it wants a timestamp with a zone."""
+    return events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late) if events.isStreaming else events
+
+
 def tumbling(events: DataFrame, at: str, width: str, keys: list[str], late: str = "1 hour") -> DataFrame:
     """Counts and sums per window and key; rows later than the watermark are dropped when streaming."""
-    source = events.withWatermark(at, late) if events.isStreaming else events
+    source = _marked(events, at, late)
     w = F.window(F.col(at), width)
     return source.groupBy(w.alias("w"), *keys).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), *keys, "n", "total")
 
 
 def sessions(events: DataFrame, at: str, gap: str, key: str, late: str = "1 hour") -> DataFrame:
-    source = events.withWatermark(at, late) if events.isStreaming else events
+    source = _marked(events, at, late)
     w = F.session_window(F.col(at), gap)
     return source.groupBy(w.alias("w"), key).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "n")
 

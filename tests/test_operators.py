@@ -38,7 +38,7 @@ def test_wilson_bounds(spark):
     low, high = stats.wilson(F.lit(0), F.lit(0))
     assert one(spark, low) is None
     low, high = stats.wilson(F.lit(10), F.lit(10))
-    assert 0.78 < one(spark, low) < 0.79 and one(spark, high) == 1.0
+    assert one(spark, low) == pytest.approx(0.787, abs=1e-3) and one(spark, high) == pytest.approx(1.0)
 
 
 def test_text_functions(spark):
@@ -149,7 +149,7 @@ def test_readers_and_writers(spark, tmp_path):
     assert spark.read.json(out).count() == 3  # what was there stays
     assert writers.write_splits(rows_.where("id = 1"), assign, "task", out) == {"train": 1}
     (tmp_path / "x.jsonl").write_text('{"id": 1}\n\n{"id": "no"}\n')
-    assert readers.jsonl(spark, f"file://{tmp_path}/x.jsonl", "id int", tolerant=True).count() == 1
+    assert rows(readers.jsonl(spark, f"file://{tmp_path}/x.jsonl", "id int", tolerant=True)) == [(1,)]
     with pytest.raises(Exception):  # noqa: B017
         readers.jsonl(spark, f"file://{tmp_path}/x.jsonl", "id int").collect()
     once = f"file://{tmp_path}/once"
