@@ -47,6 +47,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def as_rows(docs: DataFrame) -> DataFrame:
+    """All columns as one struct `row`, so that no column a caller brings along can clash with one an operator adds."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """checkpoint() for small, purely numeric frames in loops."""
     shared_dir(df.sparkSession)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, prepare
+from .common import as_rows, crc32_mod, prepare
 
 LEARN_ROWS, WINDOWS, LANGUAGES = 3000, 4, 64
 STEPS, UNITS, BATCH, UPDATES, RATE = 64, 8, 256, 220, 0.02
@@ -258,6 +258,5 @@ LEAST_SCORE = 0.3
 
 def identified_documents(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The pipeline's stage: documents without a recognised language go."""
-    names = docs.columns
-    found = with_language(docs.select(*(F.col(c).alias(c) for c in names)), learned(docs))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)).select(*names)
+    found = with_language(as_rows(docs), learned(docs), text="row.text")
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)).select("row.*")

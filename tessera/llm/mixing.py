@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, saved
+from .common import WORD, as_rows, saved
 
 #: Weights given to sources in code point order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -136,11 +136,10 @@ def op9_curriculum_mix(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The pipeline's stage: documents as often as the mix takes them, in training order, with the columns they came with."""
-    names = docs.columns
-    keyed = docs.withColumn("_size", word_count(F.col("text")))
-    plan = mix(docs).where("times > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_n"), F.col("source").alias("_source"), F.array("position", "position_again").alias("_at"))
-    # repeated rows (same id, source and size) are taken as one; max() keeps the fuller schedule
-    plan = plan.groupBy("_id", "_n", "_source").agg(F.max("_at").alias("_at"))
-    joined = keyed.join(plan, keyed["doc_id"].eqNullSafe(plan["_id"]) & (keyed["_size"] == plan["_n"]) & keyed["source"].eqNullSafe(plan["_source"]))
-    takes = joined.withColumn("_pos", F.explode(F.filter("_at", lambda x: x.isNotNull())))
-    return takes.repartitionByRange("_pos").sortWithinPartitions("_pos", "doc_id").select(*names)
+    keyed = as_rows(docs).withColumn("n", word_count(F.col("row.text")))
+    plan = mix(docs).where("times > 0").select(F.col("doc_id").alias("pid"), F.col("size").alias("pn"), F.col("source").alias("ps"), F.array("position", "position_again").alias("at"))
+    # repeated rows (same id, source and size) are taken alike; max() keeps the fuller schedule
+    plan = plan.groupBy("pid", "pn", "ps").agg(F.max("at").alias("at"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("pid")) & (F.col("n") == F.col("pn")) & F.col("row.source").eqNullSafe(F.col("ps"))
+    takes = keyed.join(plan, same).withColumn("pos", F.explode(F.filter("at", lambda x: x.isNotNull())))
+    return takes.repartitionByRange("pos").sortWithinPartitions("pos", "row.doc_id").select("row.*")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, prepare
+from .common import as_rows, crc32_mod, prepare
 from .textstats import FEATURES, features
 
 LEARN_ROWS = 12_000
@@ -60,7 +60,7 @@ def fit(rows: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS, depth: int =
     share = float(labels.mean()) if len(labels) else 0.5
     base = float(np.log(np.clip(share, 1e-4, 1 - 1e-4) / np.clip(1 - share, 1e-4, 1 - 1e-4)))
     feature, threshold, left, right, value, roots = [], [], [], [], [], []
-    if 0 < share < 1:
+    if len(labels) and 0 < share < 1:
         edges = [np.unique(np.quantile(rows[:, f], np.linspace(0, 1, BINS + 1)[1:-1]).astype(np.float32)) for f in range(rows.shape[1])]
         binned = np.stack([np.searchsorted(e, rows[:, f], side="left") for f, e in enumerate(edges)], axis=1)
         margin = np.full(len(rows), base)
@@ -157,5 +157,4 @@ def op8_boosted_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def good_documents(docs: DataFrame, labels: DataFrame, least: float = GOOD) -> DataFrame:
     """The pipeline's stage: documents the classifier rejects go."""
-    names = docs.columns
-    return with_quality(docs, learned(docs, labels), to="_score").where(F.col("_score") >= least).select(*names)
+    return with_quality(as_rows(docs), learned(docs, labels), text="row.text", to="score").where(F.col("score") >= least).select("row.*")
