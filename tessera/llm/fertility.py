@@ -15,6 +15,7 @@ judged alike; texts of any length are measured whole; extra columns are ignored;
 
 from __future__ import annotations
 
+import base64
 import math
 import os
 from collections.abc import Iterator
@@ -27,15 +28,15 @@ from pyspark.sql import functions as F
 from .common import prepare, saved, spans
 from .textstats import SPACES, SYMBOLS, byte_counts, code_points, repeated_lines, repeated_words
 
-#: Vocabulary files: the first gives byte fallback and entropy as well.
-VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.json")
+#: Vocabulary files: a sentencepiece model, which gives byte fallback and entropy as well, and byte-pair ranks.
+VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
 #: Fewest words, and the largest share of repeated words in hundredths.
 LEAST_WORDS, MOST_REPEATED = 10, 20
 #: Half-width of a band in robust standard deviations, and the least half-widths: a + b / sqrt(tokens), as short texts vary more.
 BAND = 6.0
 FLOORS = {"chars_per_token": (0.3, 10.0), "chars_per_token_2": (0.3, 10.0), "byte_share": (0.03, 0.6), "evenness": (0.05, 1.0)}
 #: Words remembered by a worker for each vocabulary, and the longest that is.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 500_000, 64
 #: First code points of the scripts told apart (fixed values of Unicode's blocks), and their names.
 SCRIPTS = ((0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "other"), (0x0590, "Hebrew"), (0x0600, "Arabic"), (0x0780, "other"), (0x0900, "Indic"), (0x0E00, "Thai"), (0x0E80, "other"), (0x1100, "Hangul"), (0x1200, "other"), (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, "none"), (0x2C00, "other"), (0x3040, "Kana"), (0x3100, "Han"), (0xAC00, "Hangul"), (0xD7B0, "none"), (0xF900, "Han"), (0xFB00, "other"), (0x1F000, "none"), (0x20000, "Han"))
 _FIRST = np.array([a for a, _ in SCRIPTS], np.uint32)
@@ -57,29 +58,15 @@ def script(text: str, counts: np.ndarray) -> str:
     return _NAMES[int(found.argmax())] if found.any() else "none"
 
 
-class Vocabulary:
-    """Token ids of words under one vocabulary file, remembered as bytes of 32-bit integers."""
+class Pieces:
+    """Token ids of words under a sentencepiece model, remembered as bytes of 32-bit integers."""
 
-    def __init__(self, name: str, folder: str | None = None):
-        import public_tokenizers
+    def __init__(self, path: str):
+        import sentencepiece
 
-        path = os.path.join(folder, name) if folder else public_tokenizers.path(name)
-        if name.endswith(".model"):
-            import sentencepiece
-
-            model = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.encode_all = lambda words: model.encode(words, num_threads=1)
-            self.size = model.get_piece_size()
-            self.is_byte = np.array([model.is_byte(i) for i in range(self.size)])
-        else:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            model = Tokenizer.from_file(path)
-            model.encode_special_tokens = True
-            self.encode_all = lambda words: [e.ids for e in model.encode_batch([" " + w for w in words], add_special_tokens=False)]
-            self.size = model.get_vocab_size()
-            self.is_byte = np.zeros(self.size, bool)
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.size = self.model.get_piece_size()
+        self.is_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
         self.known: dict[bytes, bytes] = {}
 
     def ids(self, words: list[bytes]) -> np.ndarray:
@@ -89,13 +76,43 @@ class Vocabulary:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
             new = list({w for w in words if w not in self.known})
-            fresh = {w: np.array(i, "<u4").tobytes() for w, i in zip(new, self.encode_all([w.decode("utf-8", "replace") for w in new]), strict=True)}
+            found = self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
+            fresh = {w: np.array(i, "<u4").tobytes() for w, i in zip(new, found, strict=True)}
             self.known.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST)
             look = self.known.get
             return np.frombuffer(b"".join([look(w) or fresh.get(w, b"") for w in words]), "<u4")
 
 
-def measure(text: str | None, vocabularies: list[Vocabulary]) -> tuple:
+class Ranks:
+    """Token counts of words, each after a blank, under a file of byte-pair ranks; counts are remembered."""
+
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
+        self.encode = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.known: dict[bytes, int] = {}
+
+    def count(self, words: list[bytes]) -> int:
+        try:
+            return sum(map(self.known.__getitem__, words))
+        except KeyError:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            total, known, encode = 0, self.known, self.encode
+            for w in words:
+                n = known.get(w)
+                if n is None:
+                    n = len(encode(" " + w.decode("utf-8", "replace")))
+                    if len(w) <= LONGEST:
+                        known[w] = n
+                total += n
+            return total
+
+
+def measure(text: str | None, pieces: Pieces, ranks: Ranks) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, script, chars_per_token, chars_per_token_2, byte_share, evenness, n_tokens."""
     data = text.encode("utf-8", "replace") if text else b""
     hashes, starts, lengths = spans(data)
@@ -105,14 +122,14 @@ def measure(text: str | None, vocabularies: list[Vocabulary]) -> tuple:
     counts = byte_counts(data)
     chars = code_points(counts) - sum(int(counts[c]) for c in SPACES)
     words = data.split()
-    first, second = (v.ids(words) for v in vocabularies)
+    first, second = pieces.ids(words), ranks.count(words)
     tokens = len(first)
     ordered = np.sort(first)
     held = np.diff(np.flatnonzero(np.concatenate([ordered[1:] != ordered[:-1], [True]])), prepend=-1) / max(1, tokens)
-    most = math.log2(max(2, min(tokens, vocabularies[0].size)))
+    most = math.log2(max(2, min(tokens, pieces.size)))
     evenness = -float(np.dot(held, np.log2(held))) / most if tokens else 0.0
-    fallback = float(np.count_nonzero(vocabularies[0].is_byte[first])) / max(1, tokens)
-    return n, chars, sum(int(counts[c]) for c in SYMBOLS), repeated_lines(data), repeated_words(hashes), script(text, counts), chars / max(1, tokens), chars / max(1, len(second)), fallback, evenness, tokens
+    fallback = float(np.count_nonzero(pieces.is_byte[first])) / max(1, tokens)
+    return n, chars, sum(int(counts[c]) for c in SYMBOLS), repeated_lines(data), repeated_words(hashes), script(text, counts), chars / max(1, tokens), chars / max(1, second), fallback, evenness, tokens
 
 
 _COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, script string, chars_per_token double, chars_per_token_2 double, byte_share double, evenness double, n_tokens long"
@@ -124,10 +141,13 @@ def with_measures(docs: DataFrame, vocabularies=VOCABULARIES, folder: str | None
 
     @F.pandas_udf(_COLUMNS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        loaded = [Vocabulary(v, folder) for v in vocabularies]
+        import public_tokenizers
+
+        pieces_path, ranks_path = (os.path.join(folder, v) if folder else public_tokenizers.path(v) for v in vocabularies)
+        pieces, ranks = Pieces(pieces_path), Ranks(ranks_path)
         names = [c.split()[0] for c in _COLUMNS.split(", ")]
         for texts in batches:
-            yield pd.DataFrame([measure(t, loaded) for t in texts], columns=names)
+            yield pd.DataFrame([measure(t, pieces, ranks) for t in texts], columns=names)
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     return docs.select("doc_id", lang.alias("lang"), run(F.col("text")).alias("m")).select("doc_id", "lang", "m.*")
