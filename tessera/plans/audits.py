@@ -148,3 +148,61 @@ SELECT CAST(sum(CASE WHEN n < 12 OR n > 400 THEN 1 ELSE 0 END) AS BIGINT) AS len
 def scenario_validation(t):
     b = t("benchmark").select(F.length("text").alias("n"), F.md5("text").alias("h"))
     return b.agg(F.count_if((F.col("n") < 12) | (F.col("n") > 400)).alias("lengths"), (F.count("*") - F.countDistinct("h")).alias("repeated"))
+
+
+@query("""
+SELECT a.doc_id, a.quality AS first, CASE WHEN a.doc_id % 2 = 0 THEN 1 - a.toxic END AS second FROM labels a
+""")
+def second_scores(t):
+    second = t("labels").where("doc_id % 2 = 0").select("doc_id", (1 - F.col("toxic")).alias("second"))
+    return t("labels").select("doc_id", F.col("quality").alias("first")).join(second, "doc_id", "left")
+
+
+@query("""
+SELECT o_custkey, min(n) AS rows FROM (SELECT o_custkey, o_orderpriority, count(*) AS n, bool_and(o_orderstatus = 'F') AS p, bool_or(o_orderstatus = 'F') AS s FROM orders GROUP BY 1, 2) WHERE s GROUP BY 1
+""")
+def offered_trials(t):
+    per = t("orders").groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"), F.bool_or(F.col("o_orderstatus") == "F").alias("some"))
+    return per.where("some").groupBy("o_custkey").agg(F.min("n").alias("rows"))
+
+
+@query("""
+SELECT user_id, CASE WHEN count(*) <> count(DISTINCT event_id) THEN 'repeated' WHEN count(*) FILTER (WHERE event_type = 'signup') <> 1 THEN 'dispatch' WHEN count(*) FILTER (WHERE value < 0.05) > 0 THEN 'unsettled' END AS violation FROM events GROUP BY 1
+HAVING count(*) <> count(DISTINCT event_id) OR count(*) FILTER (WHERE event_type = 'signup') <> 1 OR count(*) FILTER (WHERE value < 0.05) > 0
+""")
+def call_controls(t):
+    g = t("events").groupBy("user_id").agg((F.count("*") == F.countDistinct("event_id")).alias("unique"), F.count_if(F.col("event_type") == "signup").alias("dispatched"), F.count_if(F.col("value") < 0.05).alias("open"))
+    return validation.row_violations(g, ["user_id"], [("repeated", F.col("unique")), ("dispatch", F.col("dispatched") == 1), ("unsettled", F.col("open") == 0)])
+
+
+@query("""
+WITH e AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders), a AS (SELECT l_orderkey AS k, CASE WHEN bool_or(l_linestatus = 'O') THEN 'O' ELSE 'F' END AS v FROM lineitem GROUP BY 1)
+SELECT coalesce(e.k, a.k) AS k, CASE WHEN a.k IS NULL THEN 'removed' WHEN e.k IS NULL THEN 'added' ELSE 'changed' END AS difference FROM e FULL JOIN a ON e.k = a.k WHERE e.k IS NULL OR a.k IS NULL OR e.v IS DISTINCT FROM a.v
+""")
+def attempts_equal_outcomes(t):
+    e = t("orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
+    a = t("lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.when(F.bool_or(F.col("l_linestatus") == "O"), "O").otherwise("F").alias("v"))
+    return joins.differences(e, a, ["k"], ["v"]).select("k", "difference")
+
+
+@query("""
+SELECT c_mktsegment AS identity, sha256(string_agg(CAST(c_custkey AS VARCHAR) || ':' || sha256(c_name), chr(10) ORDER BY c_custkey)) AS digest FROM customer GROUP BY 1
+""")
+def ordered_digests(t):
+    g = t("customer").groupBy(F.col("c_mktsegment").alias("identity")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", F.sha2("c_name", 256).alias("h")))).alias("s"))
+    return g.select("identity", F.sha2(F.array_join(F.transform("s", lambda x: F.concat_ws(":", x["c_custkey"].cast("string"), x["h"])), "\n"), 256).alias("digest"))
+
+
+@query("""
+SELECT n_regionkey AS component, count(*) FILTER (WHERE n_name IS NOT NULL) AS declared FROM nation GROUP BY 1 HAVING count(*) FILTER (WHERE n_name LIKE '%_1%') = 0
+""")
+def undeclared_components(t):
+    g = t("nation").groupBy(F.col("n_regionkey").alias("component")).agg(F.count("n_name").alias("declared"), F.count_if(F.col("n_name").contains("1")).alias("sources"))
+    return g.where("sources = 0").select("component", "declared")
+
+
+@query("""
+SELECT o.o_custkey, count(DISTINCT o.o_orderpriority) AS tasks FROM orders o GROUP BY 1 HAVING count(DISTINCT o.o_orderpriority) > 1
+""")
+def one_task_per_session(t):
+    return t("orders").groupBy("o_custkey").agg(F.countDistinct("o_orderpriority").alias("tasks")).where("tasks > 1")
