@@ -191,8 +191,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = saved(components(links), "first")
 
     placed = members.select("key", "slot", "id").join(first, members["id"] == first["node"], "left").select("key", "slot", "id", F.coalesce("component", "id").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    apart = saved(placed.join(mixed, "key"), "apart")
+    # of a bucket's components the one with most members only has to meet the others
+    shares = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
+    mixed = shares.groupBy("key").agg(F.count("*").alias("held"), F.max_by("c", F.struct("n", "c")).alias("major")).where("held > 1").select("key", "major")
+    apart = saved(placed.join(mixed, "key").select("key", "slot", "id", "c", (F.col("c") != F.col("major")).alias("minor")), "apart")
 
     @F.pandas_udf("array<long>")
     def fine(batch: pd.Series) -> pd.Series:
@@ -201,10 +203,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     closer = saved(texts.join(apart.select("id").distinct(), "id").select("id", fine("text").alias("fine")), "fine")
     closer = closer.join(nodes.select("id", "index", F.col("n_shingles").alias("n")), "id")
     look = saved(apart.join(closer, "id"), "look")
-    x, y = look.alias("x"), look.alias("y")
-    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & sizes(F.col("x.n"), F.col("y.n"))
+    x, y = look.where("minor").alias("x"), look.alias("y")
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (~F.col("y.minor") | (F.col("x.id") < F.col("y.id"))) & sizes(F.col("x.n"), F.col("y.n"))
     meet = meet & (_bits_apart(F.col("x.fine"), F.col("y.fine")) <= FINE_DISTANCE) & (_first_slot(F.col("x.index"), F.col("y.index")) == F.col("x.slot"))
-    pairs = x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.least("x.c", "y.c").alias("low"), F.greatest("x.c", "y.c").alias("high"), _bits_apart(F.col("x.fine"), F.col("y.fine")).alias("bits"))
+    pairs = x.join(y, meet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.least("x.c", "y.c").alias("low"), F.greatest("x.c", "y.c").alias("high"), _bits_apart(F.col("x.fine"), F.col("y.fine")).alias("bits"))
     pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     nearest = pairs.groupBy("low", "high").agg(F.min_by(F.struct("a", "b"), F.struct("bits", "a", "b")).alias("p")).select("p.*")
     edges = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
