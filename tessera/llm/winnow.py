@@ -24,7 +24,7 @@ from .common import saved
 #: Units in a gram, grams in a window, code points in a unit.
 GRAM, WINDOW, UNIT = 4, 4, 12
 #: Distinct ids in a bucket of neighbours: a power of two.
-NEIGHBOURS = 1024
+NEIGHBOURS = 128
 _PATTERN = rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"
 
 
@@ -112,10 +112,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     firsts = rows.groupBy("bucket").agg(F.min_by("text", F.struct("doc_id", "text")).alias("first_text"))
     firsts = saved(firsts, "firsts")
     after = _next_bucket(firsts.select("bucket")).join(firsts.select(F.col("bucket").alias("next"), "first_text"), "next").select("bucket", "first_text")
-    last = W.partitionBy("bucket").orderBy("doc_id", "text")
-    rows = rows.repartition("bucket").withColumn("within", F.lead("text").over(last))
-    ends = rows.where("within is null").drop("within").join(after, "bucket").withColumnRenamed("first_text", "within")
-    return rows.where("within is not null").unionByName(ends).select("doc_id", "text", F.col("within").alias("next_text"))
+    # the first document of the next block stands at the end of a block as a guest
+    guests = after.select(F.lit(None).cast("long").alias("doc_id"), F.col("first_text").alias("text"), "bucket", F.lit(1).alias("guest"))
+    every = rows.withColumn("guest", F.lit(0)).unionByName(guests)
+    order = W.partitionBy("bucket").orderBy("guest", "doc_id", "text")
+    return every.withColumn("next_text", F.lead("text").over(order)).where("guest = 0").select("doc_id", "text", "next_text")
 
 
 def op7_winnow_fingerprints(docs: DataFrame) -> DataFrame:
