@@ -224,7 +224,7 @@ def learned(docs: DataFrame, bound: int = LEARN_ROWS) -> Network | None:
     if chosen is None:
         return None
     # windows are all that training looks at, but which ones depends on whole texts
-    got = rows.where(key <= chosen).toPandas().sort_values(["doc_id", "text"]).head(bound)
+    got = rows.where(key <= chosen).orderBy(key, F.xxhash64("text")).limit(bound).toPandas()
     return train(list(zip(got["text"], got["lang"], strict=True)))
 
 

@@ -128,7 +128,9 @@ def learned(docs: DataFrame, labels: DataFrame, bound: int = LEARN_ROWS) -> Fore
     keep = crc32_mod(F.col("doc_id"), FOLDS) != HELD_OUT
     known = labels.where(F.col("quality").isNotNull() & keep).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    got = docs.select("doc_id", "text").where(keep).join(F.broadcast(chosen), "doc_id").select("doc_id", text_features("text").alias("x"), "quality").toPandas()
+    # repeated rows could bring more vectors than ids, so the bound holds for rows as well
+    got = docs.select("doc_id", "text").where(keep).join(F.broadcast(chosen), "doc_id").select("doc_id", text_features("text").alias("x"), "quality")
+    got = got.orderBy(F.xxhash64("doc_id"), F.xxhash64("x")).limit(bound).toPandas()
     if not len(got):
         return fit(np.zeros((0, len(FEATURES)), np.float32), np.zeros(0))
     x = np.stack(got["x"].to_list())

@@ -183,8 +183,9 @@ def learned(docs: DataFrame, labels: DataFrame, bound: int = LEARN_ROWS) -> Mode
     known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = docs.select("doc_id", "text").where(crc32_mod(F.col("doc_id"), FOLDS) != HELD_OUT)
     chosen = known.where(crc32_mod(F.col("doc_id"), FOLDS) != HELD_OUT).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    got = rows.join(F.broadcast(chosen), "doc_id").select("text", "toxic").toLocalIterator(prefetchPartitions=False)
-    return train([(r.text or "", r.toxic) for r in got])
+    # repeated rows could bring more texts than ids, so the bound holds for rows as well
+    got = rows.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(bound).select("text", "toxic").toPandas()
+    return train([(t or "", y) for t, y in zip(got["text"], got["toxic"], strict=True)])
 
 
 def with_segments(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
