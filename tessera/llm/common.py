@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -52,6 +53,20 @@ def as_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for the jobs that run inside; what was set before comes back."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """checkpoint() for small, purely numeric frames in loops."""
     shared_dir(df.sparkSession)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, saved, spans, window_hashes
+from .common import prepare, saved, setting, spans, window_hashes
 from .components import components
 
 #: Words in a shingle, and the linking similarity in hundredths.
@@ -207,7 +207,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (~F.col("y.minor") | (F.col("x.id") < F.col("y.id"))) & sizes(F.col("x.n"), F.col("y.n"))
     meet = meet & (_bits_apart(F.col("x.fine"), F.col("y.fine")) <= FINE_DISTANCE) & (_first_slot(F.col("x.index"), F.col("y.index")) == F.col("x.slot"))
     pairs = x.join(y, meet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.least("x.c", "y.c").alias("low"), F.greatest("x.c", "y.c").alias("high"), _bits_apart(F.col("x.fine"), F.col("y.fine")).alias("bits"))
-    pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
+    # the condition's code is too large for the JIT in one method; below this limit Spark compiles it in parts instead
+    with setting(docs.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"):
+        pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     nearest = pairs.groupBy("low", "high").agg(F.min_by(F.struct("a", "b"), F.struct("bits", "a", "b")).alias("p")).select("p.*")
     edges = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
     more = saved(_confirmed(nearest, texts), "more")
