@@ -1,8 +1,11 @@
 r"""Operator 7 [native]: document fingerprints by winnowing.
 
-Units are words, pieces of at most UNIT code points of runs without white space (so text without spaces has units too). A gram is
-GRAM units in a row, hashed to 31 bits; every WINDOW grams in a row select the one with the least hash, the rightmost among
-equals. Two texts that share GRAM + WINDOW - 1 units in a row share a selected gram; its position (of the gram's first unit) is kept.
+Units are runs without white space of at most UNIT code points (words) and, in longer runs (text without spaces), the UNIT code
+points from every place of the run on, so that a gram starts at every code point there. A gram is GRAM units in a row, hashed to 31
+bits; every WINDOW grams in a row select the one with the least hash, the rightmost among equals. Two texts that share
+GRAM + WINDOW - 1 units in a row share a selected gram: as many words, or UNIT + GRAM + WINDOW - 2 code points of a longer run,
+wherever it stands in its run. Kept with its hash is a gram's position, the piece in which its first unit starts: a word, or a step
+of UNIT code points of a longer run (the last one takes the rest); from the last piece with GRAM - 1 more behind it on, that one.
 
 All of it is array work in the JVM: a gram is one long, hash << 32 | (2^32 - 1 - position), so that the minimum of longs is the
 selection rule, ties included.
@@ -21,28 +24,47 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-#: Units in a gram, grams in a window, code points in a unit.
+#: Units in a gram, grams in a window, most code points in a unit.
 GRAM, WINDOW, UNIT = 4, 4, 12
 #: Distinct ids in a bucket of neighbours: a power of two.
 NEIGHBOURS = 128
-_PATTERN = rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"
+#: A run, or its next 2 UNIT - 1 code points: the units that start in the first UNIT of them. Only those are passed over then.
+_PATTERN = rf"(?=([^\x20\x09-\x0D]{{1,{2 * UNIT - 1}}}+))(?:\1(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]{{{UNIT}}})"
 
 
-def units(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(_PATTERN), F.lit(0))
+def pieces(text: Column) -> Column:
+    """Words, and longer runs in steps of UNIT code points, each with what its units reach into."""
+    return F.regexp_extract_all(text, F.lit(_PATTERN), F.lit(1))
 
 
-def _hashed(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+def _starts(piece: Column) -> Column:
+    """Units that start in a piece."""
+    return F.greatest(F.char_length(piece) - (UNIT - 1), F.lit(1))
 
 
-def _grams(hashed: Column, gram: int) -> Column:
+def _long(found: Column) -> Column:
+    return F.exists(found, lambda w: F.char_length(w) > UNIT)
+
+
+def _hashed(found: Column) -> Column:
+    """Hashes of all units; of the pieces themselves where all are words."""
+    every = F.transform(found, lambda w: F.transform(F.sequence(F.lit(1), _starts(w)), lambda k: F.xxhash64(F.substring(w, k, F.lit(UNIT)))))
+    return F.when(_long(found), F.flatten(every)).otherwise(F.transform(found, lambda w: F.xxhash64(w)))
+
+
+def _places(found: Column, gram: int) -> Column:
+    """The position of each unit; null where all pieces are words, whose positions are their indexes."""
+    last = F.greatest(F.size(found) - gram, F.lit(0))
+    return F.when(_long(found), F.flatten(F.transform(found, lambda w, j: F.array_repeat(F.least(j, last), _starts(w)))))
+
+
+def _grams(hashed: Column, places: Column, gram: int) -> Column:
     """Grams as longs that order by (hash, later position first). A text of fewer units is one gram of all of them."""
     count = F.when(F.size(hashed) == 0, 0).otherwise(F.greatest(F.size(hashed) - (gram - 1), F.lit(1)))
 
     def packed(h: Column, i: Column) -> Column:
         rolled = F.xxhash64(h, *(F.get(hashed, i + k) for k in range(1, gram)))
-        return F.shiftrightunsigned(rolled, 33) * F.lit(2**32) + (F.lit(2**32 - 1) - i.cast("long"))
+        return F.shiftrightunsigned(rolled, 33) * F.lit(2**32) + (F.lit(2**32 - 1) - F.coalesce(F.get(places, i), i).cast("long"))
 
     return F.transform(F.slice(hashed, 1, count), packed)
 
@@ -64,9 +86,9 @@ def gram_position(packed: Column) -> Column:
 def with_picks(df: DataFrame, texts: dict[str, str], gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Adds the fingerprint of each text column under the given name. Steps are columns of their own, so none is evaluated twice."""
     names = list(texts)
-    df = df.withColumns({f"_u_{n}": units(F.col(t)) for n, t in texts.items()})
-    df = df.withColumns({f"_h_{n}": _hashed(F.col(f"_u_{n}")) for n in names}).drop(*(f"_u_{n}" for n in names))
-    df = df.withColumns({f"_g_{n}": _grams(F.col(f"_h_{n}"), gram) for n in names}).drop(*(f"_h_{n}" for n in names))
+    df = df.withColumns({f"_u_{n}": pieces(F.col(t)) for n, t in texts.items()})
+    df = df.withColumns({f"_h_{n}": _hashed(F.col(f"_u_{n}")) for n in names} | {f"_p_{n}": _places(F.col(f"_u_{n}"), gram) for n in names}).drop(*(f"_u_{n}" for n in names))
+    df = df.withColumns({f"_g_{n}": _grams(F.col(f"_h_{n}"), F.col(f"_p_{n}"), gram) for n in names}).drop(*(f"_{k}_{n}" for k in "hp" for n in names))
     return df.withColumns({n: _selected(F.col(f"_g_{n}"), window) for n in names}).drop(*(f"_g_{n}" for n in names))
 
 

@@ -399,3 +399,18 @@ def test_pipeline(spark):
     assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     kept = [n for n, _ in corpus_pipeline.STAGES]
     assert kept == ["language", "quality", "near_duplicates", "mix", "tokens"]
+
+
+def test_winnowing_unspaced(spark):
+    """A passage without spaces is found again wherever it stands in its run."""
+    r = random.Random(8)
+    passage = "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(400)) + "𠀀" * 2 + "end"
+    least = passage[100 : 100 + winnow.UNIT + winnow.GRAM + winnow.WINDOW - 2]
+    rows = [(0, passage), (1, "x" + passage), (2, "two words " + passage[5:]), (3, "甲乙丙" + least + "丁")]
+    found = {x["doc_id"]: x["fingerprint"] for x in winnow.with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hashes = {i: {p["hash"] for p in f} for i, f in found.items()}
+    for i in (1, 2):
+        assert len(hashes[0] & hashes[i]) > 0.9 * len(hashes[0] | hashes[i])
+    assert hashes[0] & hashes[3]
+    # a run of 405 code points makes 33 pieces, of which the last takes the rest
+    assert {p["position"] for p in found[0]} == set(range(33 - winnow.GRAM + 1))
