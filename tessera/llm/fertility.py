@@ -2,15 +2,19 @@
 
 Base rules look at words, symbols and repetition. Fertility rules ask how well public vocabularies fit a text: code points per
 token of each vocabulary, the share of tokens that are bare bytes of the first one, and the entropy of its token distribution
-(against the most that so many tokens could have). Texts are judged against the band of their group (dominant script,
-language, and length class): median +- BAND robust deviations, never narrower than a floor. The bands are statistics of all
+(against the most that so many tokens could have). Texts are judged against the band of their cell, the dominant script and
+language, over all lengths: a centre +- BAND robust deviations, never narrower than a floor; deviations and floors are in units
+that widen for short texts. The centre is the median; evenness falls with length, so its centre is a line in
+log2 of the tokens, through the medians with the median slope. A cell with fewer than LEAST_TEXTS distinct texts (by a sketch, that
+is near exact for so few) takes the band of its script, a script with fewer that of all texts. The bands are statistics of all
 documents that pass the base rules.
 
 Words are tokenised alone (the vocabularies never merge across white space), and each worker remembers words, up to a bound.
 
 Defined results: a null text has no word, fails the base rules and is not kept, as do empty and blank texts; a null language
-is a group of its own; a group without any passing text rejects nothing; repeated rows count as often as they stand and are
-judged alike; texts of any length are measured whole; extra columns are ignored; a table without `lang` uses scripts alone.
+is a language of its own; a table of fewer than LEAST_TEXTS distinct texts is judged by the band of all; repeated rows count as
+often as they stand (but as one text towards LEAST_TEXTS) and are judged alike; texts of any length are measured whole; extra
+columns are ignored; a table without `lang` uses scripts alone.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, saved, spans
@@ -33,8 +37,10 @@ VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
 #: Fewest words, and the largest share of repeated words in hundredths.
 LEAST_WORDS, MOST_REPEATED = 10, 20
 #: Half-width of a band in robust standard deviations, and the least half-widths: a + b / sqrt(tokens), as short texts vary more.
-BAND = 6.0
-FLOORS = {"chars_per_token": (0.3, 10.0), "chars_per_token_2": (0.3, 10.0), "byte_share": (0.03, 0.6), "evenness": (0.05, 1.0)}
+BAND = 4.0
+FLOORS = {"chars_per_token": (0.3, 3.0), "chars_per_token_2": (0.3, 3.0), "byte_share": (0.02, 0.3), "evenness": (0.05, 0.6)}
+#: Distinct texts that make a band.
+LEAST_TEXTS = 30
 #: Words remembered by a worker for each vocabulary, and the longest that is.
 REMEMBERED, LONGEST = 500_000, 64
 #: First code points of the scripts told apart (fixed values of Unicode's blocks), and their names.
@@ -136,7 +142,7 @@ _COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 
 
 def with_measures(docs: DataFrame, vocabularies=VOCABULARIES, folder: str | None = None) -> DataFrame:
-    """doc_id, lang and the measures of every text."""
+    """doc_id, lang, a hash of the text and the measures of every text."""
     prepare(docs.sparkSession)
 
     @F.pandas_udf(_COLUMNS)
@@ -150,26 +156,45 @@ def with_measures(docs: DataFrame, vocabularies=VOCABULARIES, folder: str | None
             yield pd.DataFrame([measure(t, pieces, ranks) for t in texts], columns=names)
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    return docs.select("doc_id", lang.alias("lang"), run(F.col("text")).alias("m")).select("doc_id", "lang", "m.*")
+    return docs.select("doc_id", lang.alias("lang"), F.xxhash64("text").alias("text_hash"), run(F.col("text")).alias("m")).select("doc_id", "lang", "text_hash", "m.*")
+
+
+def _off(measure: str) -> Column:
+    """Distance from a band's centre, in units of the least half-width."""
+    floor, spread = FLOORS[measure]
+    centre = F.col(f"mid_{measure}") + (F.col("tilt") * (F.col("log_tokens") - F.col("mid_log_tokens")) if measure == "evenness" else 0)
+    return F.abs(F.col(measure) - centre) / (F.lit(floor) + F.lit(spread) / F.sqrt(F.greatest(F.col("n_tokens"), F.lit(1))))
+
+
+def bands(passing: DataFrame) -> DataFrame:
+    """The band of each cell, each script and all texts, from three passes of mergeable sketches, so a huge group costs no more than its partials."""
+    median = lambda c: F.percentile_approx(c, 0.5, 10_000)
+    rows = passing.select(F.explode(F.array("cell", "script", F.lit(""))).alias("band"), "text_hash", "n_tokens", "log_tokens", *FLOORS)
+    # bands are few (scripts x languages); read from a file, their size is known and the planner broadcasts them if they are small
+    middle = saved(rows.groupBy("band").agg(F.approx_count_distinct("text_hash", 0.01).alias("n_texts"), *(median(m).alias(f"mid_{m}") for m in (*FLOORS, "log_tokens"))), "middle")
+    middle = middle.where((F.col("n_texts") >= LEAST_TEXTS) | (F.col("band") == ""))
+    apart = F.col("log_tokens") - F.col("mid_log_tokens")
+    slope = F.when(F.abs(apart) >= 1, (F.col("evenness") - F.col("mid_evenness")) / apart)
+    tilts = rows.join(middle, "band").groupBy("band").agg(F.coalesce(median(slope), F.lit(0.0)).alias("tilt"))
+    tilted = saved(middle.join(tilts, "band"), "tilted")
+    deviations = rows.join(tilted, "band").groupBy("band").agg(*(median(_off(m)).alias(f"dev_{m}") for m in FLOORS))
+    return saved(tilted.join(deviations, "band"), "bands")
 
 
 def judged(measured: DataFrame, band: float = BAND) -> DataFrame:
-    """Adds base_failed and kept. Bands come from two passes of mergeable quantile sketches, so a huge group costs no more than its partials."""
+    """Adds base_failed and kept."""
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
-    length = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1))) / 2).cast("string")
-    group = F.concat_ws("|", "script", F.coalesce("lang", F.lit("")), length)
-    measured = measured.withColumn("base_failed", failed).withColumn("band_group", group)
+    measured = measured.withColumn("base_failed", failed).withColumn("cell", F.concat_ws("|", "script", F.coalesce("lang", F.lit("")))).withColumn("log_tokens", F.log2(F.greatest(F.col("n_tokens"), F.lit(1))))
     passing = measured.where(~F.col("base_failed"))
-    # groups are few (scripts x languages x some ten length classes); the planner broadcasts them if they are small
-    middle = passing.groupBy("band_group").agg(*(F.percentile_approx(m, 0.5, 10_000).alias(f"mid_{m}") for m in FLOORS))
-    near = passing.join(middle, "band_group")
-    bands = near.groupBy("band_group").agg(*(F.first(f"mid_{m}").alias(f"mid_{m}") for m in FLOORS), *(F.percentile_approx(F.abs(F.col(m) - F.col(f"mid_{m}")), 0.5, 10_000).alias(f"dev_{m}") for m in FLOORS))
+    found = bands(passing)
+    # the first band there is: of the cell, the script, all
+    cells = passing.groupBy("cell", "script").agg(F.count("*").alias("n")).select("cell", F.posexplode(F.array("cell", "script", F.lit(""))).alias("rank", "band"))
+    values = [c for c in found.columns if c not in ("band", "n_texts")]
+    chosen = saved(cells.join(found, "band").groupBy("cell").agg(F.min_by(F.struct(*values), "rank").alias("b")).select("cell", "b.*"), "chosen")
     inside = F.lit(True)
-    for m, (floor, spread) in FLOORS.items():
-        half = F.greatest(F.col(f"dev_{m}") * F.lit(1.4826 * band), F.lit(floor) + F.lit(spread) / F.sqrt(F.greatest(F.col("n_tokens"), F.lit(1))))
-        inside = inside & F.coalesce(F.abs(F.col(m) - F.col(f"mid_{m}")) <= half, F.lit(True))
-    joined = measured.join(bands, "band_group", "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & inside).drop("band_group", *(f"{k}_{m}" for k in ("mid", "dev") for m in FLOORS))
+    for m in FLOORS:
+        inside = inside & F.coalesce(_off(m) <= F.greatest(F.col(f"dev_{m}") * F.lit(1.4826 * band), F.lit(1.0)), F.lit(True))
+    return measured.join(chosen, "cell", "left").withColumn("kept", ~F.col("base_failed") & inside).drop("cell", "log_tokens", "text_hash", *values)
 
 
 def op6_tokenizer_fertility(docs: DataFrame) -> DataFrame:

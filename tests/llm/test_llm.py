@@ -414,3 +414,17 @@ def test_winnowing_unspaced(spark):
     assert hashes[0] & hashes[3]
     # a run of 405 code points makes 33 pieces, of which the last takes the rest
     assert {p["position"] for p in found[0]} == set(range(33 - winnow.GRAM + 1))
+
+
+def test_fertility_bands(spark):
+    """Gibberish goes wherever its length, language and script put it; texts of rare languages are judged by their script."""
+    r = random.Random(9)
+    noise = lambda n: " ".join("".join(r.choice("bcdfghjklmnpqrstvwxz0123456789") for _ in range(r.randint(4, 9))) for _ in range(n))
+    rows = [(i, make_text(r, r.randint(20, 400)), ("en", "de")[i % 2]) for i in range(160)] + [(i, make_text(r, 150), "rare") for i in (200, 201)]
+    junk = [(300, noise(200), "en"), (301, noise(20_000), "en"), (302, noise(20_000), "de"), (303, noise(100), "rarer"), (304, noise(100), None), (305, "ѣ" * 9 + " " + " ".join("".join(chr(r.randint(0x460, 0x52F)) for _ in range(8)) for _ in range(60)), "zz")]
+    out = {x["doc_id"]: x for x in fertility.op6_tokenizer_fertility(spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")).collect()}
+    assert not any(out[i]["base_failed"] for i, _, _ in junk) and not [i for i, _, _ in junk if out[i]["kept"]]
+    assert sum(out[i]["kept"] for i, _, _ in rows) >= 0.95 * len(rows) and out[200]["kept"] and out[201]["kept"]
+    # copies of one text make no band
+    copies = spark.createDataFrame(rows + [(400 + i, junk[3][1], "zz") for i in range(60)], "doc_id long, text string, lang string")
+    assert not any(x["kept"] for x in fertility.op6_tokenizer_fertility(copies).where("doc_id >= 400").collect())
