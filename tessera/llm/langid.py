@@ -6,8 +6,9 @@ probability of a language is the mean over all its positions. The network is tra
 time with Adam. Gates and candidates use x / (1 + |x|) in place of the exponential functions (a gate is half of it plus a
 half), which numpy computes several times faster.
 
-Bounds: learns from at most LEARN_ROWS documents (the lowest by a seeded hash of doc_id, outside the held-out fold) and
-WINDOWS windows of each; at most LANGUAGES languages, the most frequent in that sample. Every position of every text is labelled.
+Bounds: learns from at most LEARN_ROWS documents, the same number of each language but LEAST_ROWS at least (the lowest by a seeded
+hash of doc_id, outside the held-out fold), and WINDOWS windows of each. Every language that stands there is predicted, and
+every position of every text is labelled.
 
 Defined results: a null text, or one without any letter, is `und` with score 0; without anything to learn from all are `und`; a null
 doc_id counts as fold 0 (learned from); a null lang is not learned from; repeated rows score alike; an empty table gives an empty result;
@@ -22,15 +23,20 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import as_rows, crc32_mod, prepare
+from .common import as_rows, crc32_mod, prepare, saved
 
-LEARN_ROWS, WINDOWS, LANGUAGES = 3000, 4, 64
+LEARN_ROWS, WINDOWS = 3000, 4
+#: Documents learned from of each language, if there are so many languages that LEARN_ROWS would give fewer.
+LEAST_ROWS = 30
 STEPS, UNITS, BATCH, UPDATES, RATE = 64, 8, 256, 220, 0.02
 FOLDS, HELD_OUT, UNKNOWN = 3, 1, "und"
-#: Windows that run through the network at once.
-RUN = 2048
+#: Windows that run through the network at once, for up to RUN_LANGUAGES languages; fewer for more.
+RUN, RUN_LANGUAGES = 2048, 64
+#: Leading bits of a hash by which a language's documents are counted.
+BITS = 12
 
 
 def _soft(x: np.ndarray) -> np.ndarray:
@@ -160,7 +166,7 @@ def train(rows: list[tuple[str, str]], updates: int = UPDATES, seed: int = 7) ->
             w, n = windows(text.encode("utf-8", "replace"))
             chosen = r.permutation(len(w))[:WINDOWS]
             by.setdefault(lang, []).extend((w[i], n[i]) for i in chosen)
-    languages = sorted(sorted(by, key=lambda k: (-len(by[k]), k))[:LANGUAGES])
+    languages = sorted(by)
     if not languages:
         return None
     net = blank(languages, seed)
@@ -190,8 +196,9 @@ def probabilities(net: Network, texts: list[str | None]) -> np.ndarray:
 
     def run() -> None:
         x, own, n = np.concatenate(cut), np.concatenate(owner), np.concatenate(lengths)
-        for at in range(0, len(x), RUN):
-            part = slice(at, at + RUN)
+        most = max(1, RUN * RUN_LANGUAGES // max(RUN_LANGUAGES, len(net.languages)))
+        for at in range(0, len(x), most):
+            part = slice(at, at + most)
             p, _ = positions(net, np.ascontiguousarray(x[part].T))
             if (n[part] == STEPS).all():
                 sums = p.sum(axis=0)
@@ -215,16 +222,26 @@ def probabilities(net: Network, texts: list[str | None]) -> np.ndarray:
     return np.divide(out, total, out=np.zeros_like(out), where=total > 0)
 
 
+def chosen(docs: DataFrame, bound: int = LEARN_ROWS, least: int = LEAST_ROWS) -> DataFrame:
+    """text and lang of the documents to learn from: of each language, the lowest by hash, up to an equal share of the bound."""
+    # rows without a letter teach nothing and take no place
+    rows = docs.select("doc_id", "text", "lang").where((crc32_mod(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", F.xxhash64(F.lit("lang"), "doc_id").alias("k"), F.xxhash64("text").alias("h"), "text")
+    rows = rows.withColumn("bucket", F.shiftright("k", 64 - BITS))
+    # how far to read comes from counts by bucket, so that neither texts nor all ids of a language ever meet
+    counts = saved(rows.groupBy("lang", "bucket").count(), "learned-counts")
+    each = max(least, bound // max(1, counts.select("lang").distinct().count()))
+    before = F.coalesce(F.sum("count").over(W.partitionBy("lang").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    last = counts.withColumn("before", before).where(F.col("before") < each).groupBy("lang").agg(F.max("bucket").alias("last"))
+    # one row a language, as the network has
+    got = rows.join(F.broadcast(last), "lang").where(F.col("bucket") <= F.col("last"))
+    return got.withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy("k", "h"))).where(F.col("at") <= each).orderBy("k", "h", "lang").select("text", "lang")
+
+
 def learned(docs: DataFrame, bound: int = LEARN_ROWS) -> Network | None:
-    """Fit on at most `bound` documents, chosen by hash; only those texts come to the driver."""
-    rows = docs.select("doc_id", "text", "lang").where((crc32_mod(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # the bound-th lowest hash, from ids alone, so that sorting never moves texts
-    key = F.xxhash64(F.lit("lang"), "doc_id")
-    chosen = rows.select(key.alias("k")).orderBy("k").limit(bound).agg(F.max("k")).first()[0]
-    if chosen is None:
-        return None
+    """Fit on a bounded number of documents; only those texts come to the driver."""
     # windows are all that training looks at, but which ones depends on whole texts
-    got = rows.where(key <= chosen).orderBy(key, F.xxhash64("text")).limit(bound).toPandas()
+    got = chosen(docs, bound).toPandas()
     return train(list(zip(got["text"], got["lang"], strict=True)))
 
 

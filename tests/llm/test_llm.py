@@ -428,3 +428,21 @@ def test_fertility_bands(spark):
     # copies of one text make no band
     copies = spark.createDataFrame(rows + [(400 + i, junk[3][1], "zz") for i in range(60)], "doc_id long, text string, lang string")
     assert not any(x["kept"] for x in fertility.op6_tokenizer_fertility(copies).where("doc_id >= 400").collect())
+
+
+def test_rare_languages_are_learned(spark):
+    """A language is learned from and predicted, however rare it is and however many others there are."""
+    r = random.Random(6)
+    make = lambda s: " ".join("".join(r.choice(s) for _ in range(r.randint(2, 7))) for _ in range(40))
+    rows = [(i, make("abcdefg"), "many") for i in range(3000)] + [(5000 + i, make("éèêlmno"), "rare") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).cache()
+    got = Counter(x["lang"] for x in langid.chosen(docs, 200).collect())
+    kept = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % langid.FOLDS != langid.HELD_OUT]
+    assert got == {"many": 100, "rare": sum(i >= 5000 for i in kept)}
+    out = langid.with_language(docs.where("doc_id >= 5000"), langid.learned(docs, 200)).collect()
+    assert {x["lang_pred"] for x in out} == {"rare"}
+    # copies of a document stay within the bound
+    copies = docs.where("lang = 'rare'").withColumn("doc_id", F.lit(5000).cast("long")).withColumn("text", F.lit("a b")).crossJoin(spark.range(9).select()).unionByName(docs)
+    assert max(Counter(x["lang"] for x in langid.chosen(copies, 60).collect()).values()) == 30
+    net = langid.train([(chr(0x4E00 + k) * 9, f"l{k:02}") for k in range(70)], updates=1)
+    assert len(net.languages) == 70 and langid.probabilities(net, ["x"]).shape == (1, 70)
