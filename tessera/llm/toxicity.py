@@ -8,7 +8,8 @@ chance; lambda solves sum p * exp(lambda * s) = 1 over clean text and K is calib
 score is 1 - exp(-(evidence)) of its most significant segments against chance, between 0 and 1.
 
 Bounds: the model learns from at most LEARN_ROWS labelled rows, the lowest by a seeded hash of doc_id (a documented bound on
-fitting), and holds at most MODEL_TOKENS tokens. All rows are scored, over whole texts.
+fitting), and holds at most MODEL_TOKENS tokens. Of near copies with one label the first is counted: texts that share the least or
+the greatest hash of their 5-word runs and NEAR of the least hashes in SLOTS parts of the range. All rows are scored, over whole texts.
 
 Defined results: null and empty texts have no segment and score 0; without any labelled toxic or clean row the model is empty
 and all texts score 0; a null doc_id counts as fold 0 (held out); repeated rows score alike; labels that are null are not
@@ -36,6 +37,9 @@ FOLDS, HELD_OUT = 5, 0
 #: A segment is reported, and a document called toxic, below this expectation by chance.
 EXPECTED = 0.5
 
+#: Parts of the range of hashes that give one least hash each, and the share of them that near copies have in common.
+SLOTS, NEAR = 64, 0.5
+
 _PUNCTUATION = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -92,12 +96,39 @@ def decay_rate(values: np.ndarray, shares: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def sketches(words: list[bytes]) -> list[int]:
-    """Two minimum hashes of a text's 5-word runs: near copies share one of them."""
+def sketches(words: list[bytes]) -> tuple[list[int], np.ndarray]:
+    """Of the hashes of a text's 5-word runs: the least and the greatest, and the least in each of SLOTS parts of the range (0: none)."""
+    least = np.zeros(SLOTS, np.uint32)
     if not words:
-        return []
-    hashes = window_hashes(spans(b" ".join(words))[0], 5)
-    return [int(hashes.min()), ~int(hashes.max())]
+        return [], least
+    hashes = np.sort(window_hashes(spans(b" ".join(words))[0], 5))
+    slots, first = np.unique(hashes >> np.uint64(64 - SLOTS.bit_length() + 1), return_index=True)
+    least[slots.astype(np.int64)] = (hashes[first] & np.uint64(0xFFFFFFFF)) | np.uint64(1)
+    return [int(hashes[0]), ~int(hashes[-1])], least
+
+
+class Seen:
+    """Texts of one label that have been counted."""
+
+    def __init__(self):
+        self.by: dict[int, list[int]] = {}
+        self.least = np.zeros((64, SLOTS), np.uint32)
+        self.n = 0
+
+    def add(self, words: list[bytes]) -> bool:
+        """Whether the text is new, that is no near copy of one before."""
+        ends, least = sketches(words)
+        before = self.least[sorted({i for e in ends for i in self.by.get(e, ())})]
+        filled = (before > 0) | (least > 0)
+        if len(before) and (((before == least) & filled).sum(axis=1) >= NEAR * filled.sum(axis=1)).any():
+            return False
+        if self.n == len(self.least):
+            self.least = np.concatenate([self.least, np.zeros_like(self.least)])
+        self.least[self.n] = least
+        for e in ends:
+            self.by.setdefault(e, []).append(self.n)
+        self.n += 1
+        return True
 
 
 def train(rows: list[tuple[str, int]]) -> Model:
@@ -108,12 +139,10 @@ def train(rows: list[tuple[str, int]]) -> Model:
     counts = ({}, {})
     holders: dict[bytes, int] = {}
     texts = [(tokens(t), int(y)) for t, y in rows]
-    seen: set[int] = set()
+    seen = (Seen(), Seen())
     for words, y in texts:
-        sketch = sketches(words)
-        if not seen.isdisjoint(sketch):
+        if not seen[y].add(words):
             continue  # a copy or near copy of a text that has been counted would count its rare tokens again
-        seen.update(sketch)
         own = counts[y]
         for w in words:
             own[w] = own.get(w, 0) + 1

@@ -446,3 +446,21 @@ def test_rare_languages_are_learned(spark):
     assert max(Counter(x["lang"] for x in langid.chosen(copies, 60).collect()).values()) == 30
     net = langid.train([(chr(0x4E00 + k) * 9, f"l{k:02}") for k in range(70)], updates=1)
     assert len(net.languages) == 70 and langid.probabilities(net, ["x"]).shape == (1, 70)
+
+
+def test_toxic_versions_of_clean_texts_are_learned():
+    """A toxic text made of a clean one is no copy of it; texts that share a passage are counted; copies with one label once."""
+    r = random.Random(12)
+    clean = [make_text(r, 80) for _ in range(120)]
+    rows = [x for t in clean for x in ((t, 0), (t + " you vile vile scum", 1))]
+    assert {b"vile", b"scum"} <= set(toxicity.train(rows).weights)
+    shared = make_text(r, 60)
+    seen = toxicity.Seen()
+    assert all(seen.add(toxicity.tokens(f"{t} {shared}")) for t in clean)
+    near = [t.split() for t in clean]
+    assert not any(seen.add(toxicity.tokens(" ".join([*t, shared]))) for t in near)
+    for t in near:
+        t[40] = "changed"
+    assert sum(seen.add(toxicity.tokens(" ".join([*t, shared]))) for t in near) < 10
+    once = toxicity.train([(t, 0) for t in clean] + [("rareword " * 3 + clean[0], 1)] * 50)
+    assert b"rareword" not in once.weights
