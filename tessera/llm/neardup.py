@@ -17,8 +17,9 @@ No bucket is ever expanded into all its pairs up front:
 A link between texts of one component is never needed, so nothing is lost.
 
 Defined results: null, empty and blank texts have no shingle, are linked with nothing and kept; texts of fewer than 5 words are
-one shingle; a null doc_id has a null component and is kept; rows that repeat a doc_id share its node, one result row for
-each input row; an empty table gives an empty result; extra columns are ignored.
+one shingle; a null doc_id has a null component and is kept; rows that repeat a doc_id are judged each by its own text, one
+result row for each input row; a component is named by its least doc_id, so two of them may have one name where a doc_id stands for
+different texts; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -72,7 +73,7 @@ def fine_signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_hash (two longs), index (array of 16-bit symbols), screen (eight longs of 8-bit symbols)."""
+    """doc_id, text_hash, n_shingles, set_hash (two longs), index (array of 16-bit symbols), screen (eight longs of 8-bit symbols)."""
     prepare(docs.sparkSession)
 
     @F.pandas_udf("n_shingles long, set_high long, set_low long, index array<smallint>, screen array<long>")
@@ -90,7 +91,7 @@ def signed(docs: DataFrame) -> DataFrame:
                     rows.append((0, high, low, None, None))
             yield pd.DataFrame(rows, columns=["n_shingles", "set_high", "set_low", "index", "screen"])
 
-    return docs.select("doc_id", sign(F.col("text")).alias("s")).select("doc_id", "s.*")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), sign(F.col("text")).alias("s")).select("doc_id", "text_hash", "s.*")
 
 
 #: The symbols that a posting keeps: all selections of CHUNK - ERRORS symbols from each chunk, in a fixed order.
@@ -163,23 +164,34 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+    """One row per document: doc_id, text_hash, n_shingles, component (a node, null without shingles), component_id, kept."""
     signs = saved(signed(docs), "signs")
     sets = ["n_shingles", "set_high", "set_low"]
     full = signs.where("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy(*sets).agg(F.min("doc_id").alias("id"))
-    # a class carries one signature; equal sets have equal ones
-    classes = saved(classes.join(full.select(F.col("doc_id").alias("id"), *sets, "index", "screen").dropDuplicates(["id", *sets]), ["id", *sets]), "classes")
-    nodes = classes.dropDuplicates(["id"])
+    least = full.groupBy(*sets).agg(F.min("doc_id").alias("least"))
+    # a class carries one signature and one text; equal sets have equal signatures
+    one = full.select(F.col("doc_id").alias("least"), *sets, "text_hash", "index", "screen").dropDuplicates(["least", *sets])
+    classes = least.join(one, ["least", *sets])
+    # a class is a node by its least doc_id; of classes that share it (a doc_id with different texts) all but one go by a hash
+    shared = saved(least.groupBy("least").agg(F.count("*").alias("held"), F.min(F.struct(*sets)).alias("first")).where("held > 1"), "shared")
+    repeated = bool(shared.take(1))
+    if repeated:
+        classes = classes.join(shared.select("least", "first"), "least", "left")
+        own = F.col("first").isNull() | (F.struct(*sets) == F.col("first"))
+        classes = classes.withColumn("id", F.when(own, F.col("least")).otherwise(F.xxhash64(*sets))).drop("first")
+    else:
+        classes = classes.withColumn("id", F.col("least"))
+    nodes = classes = saved(classes, "classes")
     posted = _postings(nodes)
     buckets = posted.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
     members = saved(posted.join(buckets, "key"), "members")
     weights = members.groupBy("id").agg(F.sum("held").alias("weight"))
     hubs = members.join(weights, "id").groupBy("key").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"))
     screens = nodes.select("id", "screen", F.col("n_shingles").alias("n"))
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    # one text stands for a doc_id (rows may repeat it)
-    texts = saved(texts.join(weights.select("id"), "id").dropDuplicates(["id"]), "texts")
+    # one text stands for a class
+    wanted = classes.join(weights.select("id"), "id").select("id", F.col("least").alias("doc_id"), "text_hash")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["doc_id", "text_hash"])
+    texts = saved(texts.select("id", "text").dropDuplicates(["id"]), "texts")
 
     sizes = lambda x, y: F.greatest(x, y) * PERCENT <= F.least(x, y) * 100
     left = screens.select(F.col("id").alias("a"), F.col("screen").alias("as"), F.col("n").alias("an"))
@@ -223,25 +235,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     last = saved(_confirmed(rest, texts), "last")
     final = components(edges.union(last)) if last.take(1) else first
 
-    by_class = classes.join(final, classes["id"] == final["node"], "left").select(*sets, F.coalesce("component", "id").alias("component_id"))
-    by_class = by_class.groupBy(*sets).agg(F.min("component_id").alias("component_id"))
-    out = signs.select("doc_id", *sets).join(by_class, sets, "left")
+    by_class = classes.join(final, classes["id"] == final["node"], "left").select(*sets, "least", "id", F.coalesce("component", "id").alias("component"))
+    if repeated:
+        # components with a node that goes by a hash: their least doc_id isn't their least node
+        by_class = saved(by_class, "by-class")
+        named = by_class.join(by_class.where("id <> least").select("component").distinct(), "component").groupBy("component").agg(F.min("least").alias("name"))
+        by_class = by_class.join(named, "component", "left").withColumn("component_id", F.coalesce("name", "component"))
+    else:
+        by_class = by_class.withColumn("component_id", F.col("component"))
+    out = signs.select("doc_id", "text_hash", *sets).join(by_class.select(*sets, "component", "component_id"), sets, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "text_hash", "n_shingles", "component", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op3_near_duplicates(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs)
+    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """The pipeline's stage: one document of each group stays, with the columns it came with."""
     found = near_duplicates(docs)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    # a doc_id may stand for texts of different components, each of which keeps one
+    stay = found.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id", "component").agg(F.min("text_hash").alias("_text_hash"))
     names = docs.columns
-    stay = docs.join(gone, "doc_id", "left_anti").select(*names)
-    known = stay.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return known.unionByName(stay.where("doc_id is null"))
-
-
+    keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    known = keyed.join(stay.select("doc_id", "_text_hash"), ["doc_id", "_text_hash"], "left_semi").dropDuplicates(["doc_id", "_text_hash"]).select(*names)
+    return known.unionByName(docs.where("doc_id is null"))

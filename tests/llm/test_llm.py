@@ -464,3 +464,24 @@ def test_toxic_versions_of_clean_texts_are_learned():
     assert sum(seen.add(toxicity.tokens(" ".join([*t, shared]))) for t in near) < 10
     once = toxicity.train([(t, 0) for t in clean] + [("rareword " * 3 + clean[0], 1)] * 50)
     assert b"rareword" not in once.weights
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """A doc_id with different texts: each text finds its own copies, and none goes without one."""
+    r = random.Random(14)
+    texts = [make_text(r, 120) for _ in range(24)]
+
+    def near(t):
+        w = t.split()
+        w[60] = "changed"
+        return " ".join(w)
+
+    rows = [(5, t) for t in texts] + [(100 + i, near(t)) for i, t in enumerate(texts)] + [(3, near(texts[0]) + " end"), (5, texts[1]), (5, near(texts[2]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = Counter((x["doc_id"], x["component_id"], x["kept"]) for x in neardup.op3_near_duplicates(docs).collect())
+    # text 0 is a copy of document 3's, all others under id 5 are originals
+    want = Counter({(3, 3, True): 1, (5, 3, False): 1, (100, 3, False): 1, (5, 5, True): 25})
+    assert out == want + Counter({(100 + i, 5, False): 1 for i in range(1, 24)})
+    kept = Counter((x["doc_id"], x["text"]) for x in neardup.without_near_duplicates(docs).collect())
+    assert len(kept) == 24 and set(kept.values()) == {1} and kept[(3, near(texts[0]) + " end")] == 1
+    assert all(kept[(5, t)] for t in (texts[1], *texts[3:])) and kept[(5, texts[2])] + kept[(5, near(texts[2]))] == 1
