@@ -1,19 +1,20 @@
 r"""Operator 7 [native]: document fingerprints by winnowing.
 
 Units are runs without white space of at most UNIT code points (words) and, in longer runs (text without spaces), the UNIT code
-points from every place of the run on, so that a gram starts at every code point there. A gram is GRAM units in a row, hashed to 31
-bits; every WINDOW grams in a row select the one with the least hash, the rightmost among equals. Two texts that share
-GRAM + WINDOW - 1 units in a row share a selected gram: as many words, or UNIT + GRAM + WINDOW - 2 code points of a longer run,
-wherever it stands in its run. Kept with its hash is a gram's position, the piece in which its first unit starts: a word, or a step
-of UNIT code points of a longer run (the last one takes the rest); from the last piece with GRAM - 1 more behind it on, that one.
+points from every place of the run on, so that a gram starts at every code point there. A gram is GRAM units in a row. Its hash rolls: it
+is a polynomial in its units' hashes modulo the prime 2^31 - 1, put together from the hashes of its two halves, so all grams take
+log2(GRAM) passes over the units and no gram is hashed afresh. Every WINDOW grams in a row select the one with the least hash, the
+rightmost among equals. Two texts that share GRAM + WINDOW - 1 units in a row share a selected gram: as many words, or
+UNIT + GRAM + WINDOW - 2 code points of a longer run, wherever it stands in its run. Kept with its hash is a gram's position, the
+index of its first unit.
 
 All of it is array work in the JVM: a gram is one long, hash << 32 | (2^32 - 1 - position), so that the minimum of longs is the
 selection rule, ties included.
 
 Defined results: a null text counts as an empty one; a text without units has an empty fingerprint; a text of fewer than GRAM
 units is one gram, of fewer than WINDOW grams one window; two empty fingerprints are alike 1.0, an empty and a full one 0.0;
-documents follow each other by (doc_id, text), null ids first; the only document follows itself; rows that repeat
-a doc_id follow each other; extra columns are ignored.
+documents follow each other by (doc_id, hash of the text, text), null ids first, the last by the first; the only document follows itself; rows that repeat
+a doc_id follow each other; extra columns are ignored by the query and kept by with_fingerprint, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import as_rows, saved
 
 #: Units in a gram, grams in a window, most code points in a unit.
 GRAM, WINDOW, UNIT = 4, 4, 12
-#: Distinct ids in a bucket of neighbours: a power of two.
-NEIGHBOURS = 128
+#: The modulus and the base of the polynomial; products of two remainders fit into a long.
+PRIME, BASE = 2**31 - 1, 1_000_003
+#: Bits of the distinct ids in a block of neighbours. Rows from which a block is dealt out further, by hash.
+NEIGHBOURS, HOT_ROWS, HOT_PARTS = 7, 4096, 4096
 #: A run, or its next 2 UNIT - 1 code points: the units that start in the first UNIT of them. Only those are passed over then.
 _PATTERN = rf"(?=([^\x20\x09-\x0D]{{1,{2 * UNIT - 1}}}+))(?:\1(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]{{{UNIT}}})"
 
@@ -37,36 +40,27 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_PATTERN), F.lit(1))
 
 
-def _starts(piece: Column) -> Column:
-    """Units that start in a piece."""
-    return F.greatest(F.char_length(piece) - (UNIT - 1), F.lit(1))
+def _unit_hash(unit: Column) -> Column:
+    return F.pmod(F.xxhash64(unit), F.lit(PRIME))
 
 
-def _long(found: Column) -> Column:
-    return F.exists(found, lambda w: F.char_length(w) > UNIT)
-
-
-def _hashed(found: Column) -> Column:
+def unit_hashes(found: Column) -> Column:
     """Hashes of all units; of the pieces themselves where all are words."""
-    every = F.transform(found, lambda w: F.transform(F.sequence(F.lit(1), _starts(w)), lambda k: F.xxhash64(F.substring(w, k, F.lit(UNIT)))))
-    return F.when(_long(found), F.flatten(every)).otherwise(F.transform(found, lambda w: F.xxhash64(w)))
+    starts = lambda w: F.greatest(F.char_length(w) - (UNIT - 1), F.lit(1))
+    every = F.transform(found, lambda w: F.transform(F.sequence(F.lit(1), starts(w)), lambda k: _unit_hash(F.substring(w, k, F.lit(UNIT)))))
+    return F.when(F.exists(found, lambda w: F.char_length(w) > UNIT), F.flatten(every)).otherwise(F.transform(found, _unit_hash))
 
 
-def _places(found: Column, gram: int) -> Column:
-    """The position of each unit; null where all pieces are words, whose positions are their indexes."""
-    last = F.greatest(F.size(found) - gram, F.lit(0))
-    return F.when(_long(found), F.flatten(F.transform(found, lambda w, j: F.array_repeat(F.least(j, last), _starts(w)))))
+def joined_hashes(left: Column, right: Column, apart: int, length: int) -> Column:
+    """Hashes of runs that start at every unit: left's run there, and right's run of `length` units that starts `apart` units later."""
+    factor = F.lit(pow(BASE, length, PRIME))
+    return F.transform(left, lambda h, i: F.pmod(h * factor + F.coalesce(F.get(right, i + apart), F.lit(0)), F.lit(PRIME)))
 
 
-def _grams(hashed: Column, places: Column, gram: int) -> Column:
+def _packed(hashes: Column, gram: int) -> Column:
     """Grams as longs that order by (hash, later position first). A text of fewer units is one gram of all of them."""
-    count = F.when(F.size(hashed) == 0, 0).otherwise(F.greatest(F.size(hashed) - (gram - 1), F.lit(1)))
-
-    def packed(h: Column, i: Column) -> Column:
-        rolled = F.xxhash64(h, *(F.get(hashed, i + k) for k in range(1, gram)))
-        return F.shiftrightunsigned(rolled, 33) * F.lit(2**32) + (F.lit(2**32 - 1) - F.coalesce(F.get(places, i), i).cast("long"))
-
-    return F.transform(F.slice(hashed, 1, count), packed)
+    count = F.when(F.size(hashes) == 0, 0).otherwise(F.greatest(F.size(hashes) - (gram - 1), F.lit(1)))
+    return F.transform(F.slice(hashes, 1, count), lambda h, i: h * F.lit(2**32) + (F.lit(2**32 - 1) - i.cast("long")))
 
 
 def _selected(packed: Column, window: int) -> Column:
@@ -83,13 +77,19 @@ def gram_position(packed: Column) -> Column:
     return F.lit(2**32 - 1) - packed.bitwiseAND(F.lit(2**32 - 1))
 
 
-def with_picks(df: DataFrame, texts: dict[str, str], gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """Adds the fingerprint of each text column under the given name. Steps are columns of their own, so none is evaluated twice."""
-    names = list(texts)
-    df = df.withColumns({f"_u_{n}": pieces(F.col(t)) for n, t in texts.items()})
-    df = df.withColumns({f"_h_{n}": _hashed(F.col(f"_u_{n}")) for n in names} | {f"_p_{n}": _places(F.col(f"_u_{n}"), gram) for n in names}).drop(*(f"_u_{n}" for n in names))
-    df = df.withColumns({f"_g_{n}": _grams(F.col(f"_h_{n}"), F.col(f"_p_{n}"), gram) for n in names}).drop(*(f"_{k}_{n}" for k in "hp" for n in names))
-    return df.withColumns({n: _selected(F.col(f"_g_{n}"), window) for n in names}).drop(*(f"_g_{n}" for n in names))
+def with_picks(df: DataFrame, text: str, to: str, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+    """Adds the selected grams of a text column, packed. Steps are columns of their own, so none is evaluated twice."""
+    if gram < 1 or window < 2:
+        raise ValueError("a gram has a unit at least, a window two grams")
+    name = lambda n: f"_{to}_{n}"
+    df = df.withColumn(name("pieces"), pieces(F.coalesce(F.col(text), F.lit("")))).withColumn(name(1), unit_hashes(F.col(name("pieces")))).drop(name("pieces"))
+    lengths = [gram]
+    for n in lengths:  # a run of n units is one of n // 2 and one of the rest
+        lengths += [x for x in dict.fromkeys((n // 2, n - n // 2)) if n > 1 and x not in lengths]
+    for n in sorted(lengths)[1 if 1 in lengths else 0 :]:
+        df = df.withColumn(name(n), joined_hashes(F.col(name(n // 2)), F.col(name(n - n // 2)), n // 2, n - n // 2))
+    df = df.withColumn(name("grams"), _packed(F.col(name(gram)), gram)).drop(*(name(n) for n in lengths))
+    return df.withColumn(to, _selected(F.col(name("grams")), window)).drop(name("grams"))
 
 
 def said(picked: Column) -> Column:
@@ -97,6 +97,10 @@ def said(picked: Column) -> Column:
     return F.array_join(F.transform(picked, lambda p: F.concat(gram_position(p).cast("string"), F.lit(":"), F.hex(gram_hash(p)))), ",")
 
 
+def hashes_of(picked: Column) -> Column:
+    return F.array_distinct(F.transform(picked, lambda p: gram_hash(p).cast("int")))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of common hashes among all hashes of two fingerprints (arrays of distinct hashes)."""
     common = F.size(F.array_intersect(a, b))
@@ -105,49 +109,75 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", to: str = "fingerprint") -> DataFrame:
-    """The operator: adds an array of (position, hash)."""
-    df = with_picks(docs.withColumn("_text", F.coalesce(F.col(text), F.lit(""))), {"_picks": "_text"})
-    return df.withColumn(to, F.transform("_picks", lambda p: F.struct(gram_position(p).alias("position"), gram_hash(p).alias("hash")))).drop("_text", "_picks")
+    """The operator: adds an array of (position, hash) to a frame, whatever its other columns are called."""
+    df = with_picks(as_rows(docs), f"row.`{text}`", "picks")
+    found = F.transform("picks", lambda p: F.struct(gram_position(p).alias("position"), gram_hash(p).alias("hash")))
+    return df.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != to), found.alias(to))
 
 
-def _next_bucket(buckets: DataFrame) -> DataFrame:
-    """(bucket, next) of distinct buckets, the last's next being the first; in two levels, so that no task sees all buckets."""
-    b = buckets.select("bucket", F.floor(F.col("bucket") / NEIGHBOURS).alias("block"))
-    inside = W.partitionBy("block").orderBy("bucket")
-    b = b.withColumn("next", F.lead("bucket").over(inside))
-    blocks = b.groupBy("block").agg(F.min("bucket").alias("first"))
-    one = W.orderBy("block")
-    blocks = blocks.select("block", F.coalesce(F.lead("first").over(one), F.first("first").over(one.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("after"))
-    return b.join(blocks, "block").select("bucket", F.coalesce("next", "after").alias("next"))
+def _followers(nodes: DataFrame) -> DataFrame:
+    """(block, part, next_block, next_part) for distinct (block, part), the last one's next being the first.
+
+    Parts follow each other within their block, blocks within blocks of 2^NEIGHBOURS blocks, and so on up to one
+    on either side of zero: nine levels at most, and no task sees more than the members of one block.
+    """
+    at = W.partitionBy("block").orderBy("part")
+    first = saved(nodes.groupBy("block").agg(F.min("part").alias("part")), "blocks")
+    levels = [first.select("block", F.col("block").alias("least"))]
+    up = F.shiftright("block", NEIGHBOURS)
+    while levels[-1].where("block not in (-1, 0)").take(1):
+        levels.append(saved(levels[-1].groupBy(up.alias("block")).agg(F.min("least").alias("least")), "blocks"))
+    # `after`: the least block (of level 0) that follows all below a block; at the top, of two rows at most, the circle closes
+    top = W.orderBy("block")
+    after = levels.pop().select("block", F.coalesce(F.lead("least").over(top), F.first("least").over(top)).alias("after"))
+    for level in reversed(levels):
+        inside = level.withColumn("up", up).withColumn("own", F.lead("least").over(W.partitionBy("up").orderBy("block")))
+        after = inside.join(after.select(F.col("block").alias("up"), "after"), "up").select("block", F.coalesce("own", "after").alias("after"))
+    starts = first.select(F.col("block").alias("after"), F.col("part").alias("after_part"))
+    after = after.join(starts, "after")
+    own = nodes.withColumn("own", F.lead("part").over(at)).join(after, "block")
+    return own.select("block", "part", F.when(F.col("own").isNull(), F.col("after")).otherwise(F.col("block")).alias("next_block"), F.coalesce("own", "after_part").alias("next_part"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_text: each document with the next one by (doc_id, text), the last with the first.
+    """doc_id, text, picks, next_text, next_picks: each document with the next one by (doc_id, hash of the text, text), the last with the first.
 
     Documents are dealt by the block of ids they lie in, so one shuffle brings neighbours together; only the first
-    document of each block travels once more, to the block before it.
+    document of each block travels once more, to the block before it. A block of HOT_ROWS rows or more (an id, or none, that stands
+    for many texts) is dealt out by id and leading bits of the hash, in the same order; only equal rows can't be parted.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # null ids come first, in a block of their own
-    bucket = F.coalesce(F.floor(F.col("doc_id") / NEIGHBOURS), F.lit(-(2**62)))
-    rows = rows.withColumn("bucket", bucket)
-    firsts = rows.groupBy("bucket").agg(F.min_by("text", F.struct("doc_id", "text")).alias("first_text"))
-    firsts = saved(firsts, "firsts")
-    after = _next_bucket(firsts.select("bucket")).join(firsts.select(F.col("bucket").alias("next"), "first_text"), "next").select("bucket", "first_text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    # null ids come first, in a block of their own, before that of the least long
+    rows = rows.withColumn("block", F.coalesce(F.shiftright("doc_id", NEIGHBOURS), F.lit(-(2**62))))
+    fine = F.coalesce(F.pmod("doc_id", F.lit(2**NEIGHBOURS)), F.lit(0)) * HOT_PARTS + F.floor((F.col("h").cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.lit(HOT_PARTS - 1))
+    hot = saved(rows.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_ROWS).select("block", F.lit(True).alias("hot")), "hot")
+    if hot.take(1):
+        rows = rows.join(hot, "block", "left").withColumn("part", F.when(F.col("hot"), fine).otherwise(F.lit(0)).cast("long")).drop("hot")
+    else:
+        rows = rows.withColumn("part", F.lit(0).cast("long"))
+    key = ["block", "part"]
+    first = F.min_by("text", F.struct("doc_id", "h", "text"))
+    firsts = saved(rows.groupBy(*key).agg(first.alias("first_text")), "firsts")
+    follow = _followers(firsts.select(*key))
+    texts = firsts.select(F.col("block").alias("next_block"), F.col("part").alias("next_part"), F.col("first_text").alias("text"))
     # the first document of the next block stands at the end of a block as a guest
-    guests = after.select(F.lit(None).cast("long").alias("doc_id"), F.col("first_text").alias("text"), "bucket", F.lit(1).alias("guest"))
-    every = rows.withColumn("guest", F.lit(0)).unionByName(guests)
-    order = W.partitionBy("bucket").orderBy("guest", "doc_id", "text")
-    return every.withColumn("next_text", F.lead("text").over(order)).where("guest = 0").select("doc_id", "text", "next_text")
+    guests = follow.join(texts, ["next_block", "next_part"]).select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(None).cast("long").alias("h"), *key, F.lit(1).alias("guest"))
+    every = rows.select("doc_id", "text", "h", *key, F.lit(0).alias("guest")).unionByName(guests)
+    order = ["guest", "doc_id", "h", "text"]
+    # dealt and sorted here, so that fingerprints are taken once a row, between the shuffle and the window, which needs no other
+    every = with_picks(every.repartition(*key).sortWithinPartitions(*key, *order), "text", "picks")
+    every = every.withColumn("hashes", hashes_of(F.col("picks")))
+    after = W.partitionBy(*key).orderBy(*order)
+    return every.withColumns({"next_text": F.lead("text").over(after), "next_hashes": F.lead("hashes").over(after)}).where("guest = 0").select("doc_id", "text", "picks", "hashes", "next_text", "next_hashes")
 
 
 def op7_winnow_fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of each text, its edited text and the next document's text, with their likeness."""
+    """Fingerprints of each text and of its edited text, and its likeness to the edited text's and to the next document's."""
     both = with_next(docs)
-    cut = F.floor(F.char_length("text") / 4).cast("int")
-    both = both.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("cut", cut)
-    both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.col("cut")).cast("int")), F.substring("next_text", F.lit(1), F.col("cut"))))
-    both = both.select("doc_id", "n_chars", "text", "edited", "next_text", F.sha2("edited", 256).alias("edited_sha256"))
-    both = with_picks(both, {"own": "text", "changed": "edited", "following": "next_text"}).drop("text", "edited", "next_text")
-    both = both.withColumns({f"h_{n}": F.array_distinct(F.transform(n, gram_hash)) for n in ("own", "changed", "following")})
-    return both.select("doc_id", "n_chars", "edited_sha256", F.sha2(said(F.col("own")), 256).alias("fingerprint"), F.sha2(said(F.col("changed")), 256).alias("edited_fingerprint"), likeness(F.col("h_own"), F.col("h_changed")).alias("near_edited"), likeness(F.col("h_own"), F.col("h_following")).alias("near_next"), F.size("own").alias("n_picks"))
+    n = F.char_length("text")
+    cut = F.floor(n / 4).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
+    both = both.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "picks", "hashes", likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"))
+    both = with_picks(both, "edited", "changed").withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+    near = likeness(F.col("hashes"), hashes_of(F.col("changed")))
+    return both.select("doc_id", "n_chars", "edited_sha256", said(F.col("picks")).alias("fingerprint"), said(F.col("changed")).alias("edited_fingerprint"), near.alias("near_edited"), "near_next", F.size("picks").alias("n_picks"))

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tessera.llm import bitpack, bpe, common, components, fertility, fixity, langid, mixing, neardup, quality, textstats, toxicity, winnow
@@ -251,11 +252,21 @@ def test_fertility(docs, empty):
     assert fertility.op6_tokenizer_fertility(docs.drop("lang")).count() == docs.count()
 
 
-def brute_picks(units, gram, window, h):
+def brute_units(text):
+    out = []
+    for run in words(text):
+        out += [run] if len(run) <= winnow.UNIT else [run[i : i + winnow.UNIT] for i in range(len(run) - winnow.UNIT + 1)]
+    return out
+
+
+def brute_picks(text, gram=winnow.GRAM, window=winnow.WINDOW):
+    """(position, hash) of the selected grams, by the definition."""
+    units = [xxhash.xxh64_intdigest(u.encode(), seed=42) for u in brute_units(text)]
+    units = [(h - 2**64 if h >= 2**63 else h) % winnow.PRIME for h in units]
     if not units:
         return []
-    grams = [tuple(units[i : i + gram]) for i in range(max(1, len(units) - gram + 1))]
-    hs = [h(g) for g in grams]
+    units += [0] * (gram - len(units))
+    hs = [sum(h * winnow.BASE ** (gram - 1 - k) for k, h in enumerate(units[i : i + gram])) % winnow.PRIME for i in range(len(units) - gram + 1)]
     out = []
     for s in range(max(1, len(hs) - window + 1)):
         part = hs[s : s + window]
@@ -265,37 +276,71 @@ def brute_picks(units, gram, window, h):
     return out
 
 
-def test_winnowing(spark, docs, empty):
-    df = winnow.with_fingerprint(docs.select("doc_id", "text", F.lit(1).alias("_picks_x")))
-    found = {x["doc_id"]: [(p["position"], p["hash"]) for p in x["fingerprint"]] for x in df.collect()}
-    texts = {x["doc_id"]: x["text"] or "" for x in docs.collect()}
-    for i, text in texts.items():
-        units = re.findall(r"[^\x20\x09-\x0D]{1,12}", text)
-        hashes = dict(found[i])
-        picked = [p for p, _ in found[i]]
-        n = max(1, len(units) - winnow.GRAM + 1) if units else 0
-        # every window holds a pick, and all picks are grams of the text
-        assert all(0 <= p < n for p in picked) and len(hashes) == len(picked)
-        for s in range(max(0, n - winnow.WINDOW + 1)):
-            assert any(s <= p < s + winnow.WINDOW for p in picked)
-        grams = {}
-        for p, v in found[i]:
-            assert grams.setdefault(tuple(units[p : p + winnow.GRAM]), v) == v  # equal grams have equal hashes
-    # exact selection, ties to the right, with the hashes of a table of grams
-    tied = spark.createDataFrame([(0, "a a a a a a a a a a a")], "doc_id long, text string")
-    assert [p["position"] for p in winnow.with_fingerprint(tied).first()["fingerprint"]] == [p for p, _ in brute_picks(["a"] * 11, winnow.GRAM, winnow.WINDOW, lambda g: 1)]
-    out = winnow.op7_winnow_fingerprints(docs).collect()
-    rows = sorted(((x["doc_id"], x["text"] or "") for x in docs.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
-    edited = Counter()
+def brute_likeness(a, b):
+    a, b = {h for _, h in a}, {h for _, h in b}
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def signed_hash(text):
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def brute_prints(rows):
+    """All columns of the query for (doc_id, text) rows."""
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda x: (x[0] is not None, x[0] or 0, signed_hash(x[1]), x[1]))
+    out = Counter()
     for k, (i, text) in enumerate(rows):
-        cut = len(text) // 4
-        edited[(i, len(text), hashlib.sha256((text[: len(text) - cut] + rows[(k + 1) % len(rows)][1][:cut]).encode()).hexdigest())] += 1
-    assert Counter((x["doc_id"], x["n_chars"], x["edited_sha256"]) for x in out) == edited
-    assert all(0 <= x["near_edited"] <= 1 and 0 <= x["near_next"] <= 1 for x in out)
-    prints = {}
-    for x in out:
-        assert prints.setdefault(texts[x["doc_id"]], x["fingerprint"]) == x["fingerprint"]
+        cut, after = len(text) // 4, rows[(k + 1) % len(rows)][1]
+        edited = text[: len(text) - cut] + after[:cut]
+        own, changed = brute_picks(text), brute_picks(edited)
+        say = lambda p: ",".join(f"{a}:{b:X}" for a, b in p)
+        out[(i, len(text), hashlib.sha256(edited.encode()).hexdigest(), say(own), say(changed), round(brute_likeness(own, changed), 9), round(brute_likeness(own, brute_picks(after)), 9), len(own))] += 1
+    return out
+
+
+def printed(df):
+    return Counter((x["doc_id"], x["n_chars"], x["edited_sha256"], x["fingerprint"], x["edited_fingerprint"], round(x["near_edited"], 9), round(x["near_next"], 9), x["n_picks"]) for x in df.collect())
+
+
+def test_winnowing(spark, docs, empty, monkeypatch):
+    clash = docs.select("doc_id", "text", F.lit(1).alias("picks"), F.lit(2).alias("_picks_grams"), F.lit(3).alias("fingerprint"))
+    df = winnow.with_fingerprint(clash)
+    assert df.columns == ["doc_id", "text", "picks", "_picks_grams", "fingerprint"]
+    for x in df.collect():
+        assert [tuple(p) for p in x["fingerprint"]] == brute_picks(x["text"]) and (x["picks"], x["_picks_grams"]) == (1, 2)
+    tied = spark.createDataFrame([(0, "a a a a a a a a a a a")], "doc_id long, text string")
+    assert [tuple(p) for p in winnow.with_fingerprint(tied).first()["fingerprint"]] == brute_picks("a a a a a a a a a a a")
+    for gram, window in ((1, 2), (3, 5), (5, 4), (8, 3)):
+        got = winnow.with_picks(docs.select("text"), "text", "p", gram, window).select("text", F.transform("p", lambda p: F.struct(winnow.gram_position(p), winnow.gram_hash(p))).alias("p"))
+        assert all([tuple(p) for p in x["p"]] == brute_picks(x["text"], gram, window) for x in got.collect())
+    rows = [(x["doc_id"], x["text"]) for x in docs.collect()]
+    assert printed(winnow.op7_winnow_fingerprints(docs)) == brute_prints(rows)
     assert winnow.op7_winnow_fingerprints(empty).count() == 0
+    one = docs.where("doc_id = 5")
+    assert printed(winnow.op7_winnow_fingerprints(one)) == brute_prints([(x["doc_id"], x["text"]) for x in one.collect()])
+    # sparse, negative and repeated ids, many null ids: the same order, dealt out by levels and hashes
+    monkeypatch.setattr(winnow, "HOT_ROWS", 20)
+    r = random.Random(4)
+    rows = [(r.randint(-(2**63), 2**63 - 1), make_text(r, 9)) for _ in range(40)] + [(None, make_text(r, 7)) for _ in range(30)] + [(77, make_text(r, 8)) for _ in range(50)] + [(78, "same text again and again")] * 3
+    assert printed(winnow.op7_winnow_fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))) == brute_prints(rows)
+
+
+def test_winnowing_guarantee(spark):
+    """A passage of GRAM + WINDOW - 1 units, or its code points without spaces, shares a pick wherever it stands; very long texts work."""
+    r = random.Random(8)
+    passage = "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(400)) + "𠀀" * 2 + "end"
+    least = passage[100 : 100 + winnow.UNIT + winnow.GRAM + winnow.WINDOW - 2]
+    words7 = make_text(r, winnow.GRAM + winnow.WINDOW - 1)
+    long = make_text(r, 60_000)
+    rows = [(0, passage), (1, "x" + passage), (2, "two words " + passage[5:]), (3, "甲乙丙" + least + "丁"), (4, words7), (5, f"{make_text(r, 30)} {words7} {make_text(r, 3)}"), (6, long), (7, "x" * 200_000), (8, long + " end")]
+    found = {x["doc_id"]: x["fingerprint"] for x in winnow.with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hashes = {i: {p["hash"] for p in f} for i, f in found.items()}
+    for i in (1, 2):
+        assert len(hashes[0] & hashes[i]) > 0.9 * len(hashes[0] | hashes[i])
+    assert hashes[0] & hashes[3] and hashes[4] & hashes[5]
+    assert [tuple(p) for p in found[0]] == brute_picks(passage) and [tuple(p) for p in found[6]] == brute_picks(long)
+    assert len(hashes[7]) == 1 and len(hashes[6] & hashes[8]) > 0.99 * len(hashes[6])
 
 
 def test_boosting(docs, empty, labels):
@@ -401,21 +446,6 @@ def test_pipeline(spark):
     assert kept == ["language", "quality", "near_duplicates", "mix", "tokens"]
 
 
-def test_winnowing_unspaced(spark):
-    """A passage without spaces is found again wherever it stands in its run."""
-    r = random.Random(8)
-    passage = "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(400)) + "𠀀" * 2 + "end"
-    least = passage[100 : 100 + winnow.UNIT + winnow.GRAM + winnow.WINDOW - 2]
-    rows = [(0, passage), (1, "x" + passage), (2, "two words " + passage[5:]), (3, "甲乙丙" + least + "丁")]
-    found = {x["doc_id"]: x["fingerprint"] for x in winnow.with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    hashes = {i: {p["hash"] for p in f} for i, f in found.items()}
-    for i in (1, 2):
-        assert len(hashes[0] & hashes[i]) > 0.9 * len(hashes[0] | hashes[i])
-    assert hashes[0] & hashes[3]
-    # a run of 405 code points makes 33 pieces, of which the last takes the rest
-    assert {p["position"] for p in found[0]} == set(range(33 - winnow.GRAM + 1))
-
-
 def test_fertility_bands(spark):
     """Gibberish goes wherever its length, language and script put it; texts of rare languages are judged by their script."""
     r = random.Random(9)
