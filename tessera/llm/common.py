@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -40,14 +41,48 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths written by the innermost open scratch().
+_WRITTEN: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("written", default=None)
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet into the shared folder and read it back: lineage ends there and a lost executor loses nothing."""
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), "tessera", f"{name}-{uuid.uuid4().hex}")
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """What is saved inside goes when the block ends, also by an error; a result that is read later must be saved by `result` from here."""
+    token = _WRITTEN.set([])
+    kept: list[str] = []
+
+    def result(df: DataFrame, name: str) -> DataFrame:
+        out = saved(df, name)
+        kept.append(_WRITTEN.get()[-1])
+        return out
+
+    try:
+        yield result
+    finally:
+        paths = _WRITTEN.get()
+        _WRITTEN.reset(token)
+        for path in paths:
+            if path not in kept:
+                _removed(spark, path)
+        if (outer := _WRITTEN.get()) is not None:
+            outer.extend(kept)
+
+
 def as_rows(docs: DataFrame) -> DataFrame:
     """All columns as one struct `row`, so that no column a caller brings along can clash with one an operator adds."""
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
@@ -67,12 +102,6 @@ def setting(spark: SparkSession, name: str, value: str):
             spark.conf.set(name, before)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """checkpoint() for small, purely numeric frames in loops."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def crc32_mod(column: Column, n: int) -> Column:
     """crc32 of an id's decimal text, modulo n: the fold rule of the learned operators. Null ids count as 0."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % F.lit(n), F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import saved, scratch
 
 #: Rounds after which something must be wrong: the number needed grows with the logarithm of a component's size.
 MOST_ROUNDS = 60
@@ -28,15 +28,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) with component the smallest node reachable; nodes without links don't appear. Nulls and loops are dropped."""
     edges = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
-    edges = cut(edges)
-    before = None
-    for _ in range(MOST_ROUNDS):
-        edges = cut(_small_star(_large_star(edges)))
-        now = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before or now[0] == 0:
-            break
-        before = now
-    else:
-        raise RuntimeError("components did not settle")
-    stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
+    with scratch(links.sparkSession) as result:
+        edges = saved(edges, "edges")
+        before = None
+        for _ in range(MOST_ROUNDS):
+            edges = saved(_small_star(_large_star(edges)), "edges")
+            now = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if now == before or now[0] == 0:
+                break
+            before = now
+        else:
+            raise RuntimeError("components did not settle")
+        stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        return result(stars.union(stars.select(F.col("component").alias("node"), "component").distinct()), "components")

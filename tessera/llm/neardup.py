@@ -1,12 +1,13 @@
 """Operator 3: MinHash near-duplicates by a multi-index Hamming join over b-bit signatures.
 
-Every text gets SYMBOLS minimum hashes of its distinct 5-word shingles. The first INDEXED of them, cut to 16 bits, form the
-index signature, split into chunks. By the pigeonhole principle two signatures that differ in at most
-``chunks * (errors + 1) - 1`` symbols agree in some chunk but for ``errors`` symbols, so posting each chunk under all
-selections of ``symbols - errors`` of its symbols brings all such pairs together, without exception. All SYMBOLS hashes, cut
-to 8 bits and packed into eight longs, are a second signature by which candidates are screened, and texts that need a closer
-look get a third of FINE one-bit hashes (the bounds of all three lie more than four standard deviations beyond what a pair at
-the linking similarity shows). Pairs that remain are confirmed on the full shingle sets.
+Every text gets SYMBOLS minimum hashes of its distinct 5-word shingles, cut to 16 bits: its signature, split into chunks. By the
+pigeonhole principle two signatures that differ in at most ``chunks * (errors + 1) - 1`` symbols agree in some chunk but for
+``errors`` symbols, so posting each chunk under all selections of ``symbols - errors`` of its symbols brings all such pairs
+together, without exception. Nothing that comes after drops a linked pair among them: candidates are screened by a
+bound that always holds. A text's parity sketch has one bit for each of n hash values, set where an odd number of its shingles
+falls; two sketches differ in at most as many bits as the sets differ in shingles, and linked sets of x and y shingles differ in
+at most (x + y) / 7. n grows with the set, four bits a shingle and 1024 at least, so the bound stays sharp for long texts. Pairs that remain
+are confirmed on the full shingle sets.
 
 No bucket is ever expanded into all its pairs up front:
 1. texts with equal shingle sets become one class, so exact copies cost one row;
@@ -19,7 +20,8 @@ A link between texts of one component is never needed, so nothing is lost.
 Defined results: null, empty and blank texts have no shingle, are linked with nothing and kept; texts of fewer than 5 words are
 one shingle; a null doc_id has a null component and is kept; rows that repeat a doc_id are judged each by its own text, one
 result row for each input row; a component is named by its least doc_id, so two of them may have one name where a doc_id stands for
-different texts; an empty table gives an empty result; extra columns are ignored.
+different texts; an empty table gives an empty result; extra columns are ignored. All tables written on the way are deleted
+in the end, but for the result's.
 """
 
 from __future__ import annotations
@@ -33,24 +35,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, saved, setting, spans, window_hashes
+from .common import prepare, saved, scratch, setting, spans, window_hashes
 from .components import components
 
 #: Words in a shingle, and the linking similarity in hundredths.
 WORDS, PERCENT = 5, 75
-#: Minimum hashes of a text; how many are indexed; symbols in a chunk; errors allowed in a chunk.
-SYMBOLS, INDEXED, CHUNK, ERRORS = 64, 25, 5, 2
-#: Largest distance of index signatures that the chunks guarantee to find, and of the screening signatures.
-INDEX_DISTANCE = INDEXED // CHUNK * (ERRORS + 1) - 1
-SCREEN_DISTANCE = 32
-#: One-bit hashes of the closer look, and the largest distance there: a linked pair differs in FINE / 8 bits, give or take.
-FINE, FINE_DISTANCE = 1024, 178
+#: Minimum hashes of a text, 16 bits each; symbols in a chunk; errors allowed in a chunk.
+SYMBOLS, CHUNK, ERRORS = 25, 5, 2
+#: Largest distance of signatures that the chunks guarantee to find.
+INDEX_DISTANCE = SYMBOLS // CHUNK * (ERRORS + 1) - 1
+#: Longs of the least parity sketch, and bits a shingle of longer ones.
+SKETCH, SKETCH_BITS = 16, 4
 
 _RNG = np.random.Generator(np.random.PCG64(20240501))
-_FACTORS = _RNG.integers(0, 2**63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _RNG.integers(0, 2**63, FINE, dtype=np.uint64)
+_FACTORS = _RNG.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _RNG.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
 #: Shingles hashed at once: bounds the memory that a very long text takes.
-_BLOCK = 512
+_BLOCK = 2048
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -58,25 +59,32 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(window_hashes(spans(text.encode("utf-8", "replace"), lower=True)[0], WORDS)) if text else np.empty(0, np.uint64)
 
 
-def signature(hashes: np.ndarray, n: int = SYMBOLS) -> np.ndarray:
-    """n minimum hashes, 64 bits each."""
-    out = np.full(n, np.uint64(2**64 - 1))
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """The minimum hashes, 64 bits each."""
+    out = np.full(SYMBOLS, np.uint64(2**64 - 1))
     for at in range(0, len(hashes), _BLOCK):
-        np.minimum(out, ((hashes[at : at + _BLOCK][None, :] ^ _SHIFTS[:n, None]) * _FACTORS[:n, None]).min(axis=1), out=out)
+        np.minimum(out, ((hashes[at : at + _BLOCK][None, :] ^ _SHIFTS[:, None]) * _FACTORS[:, None]).min(axis=1), out=out)
     return out
 
 
-def fine_signature(hashes: np.ndarray) -> np.ndarray:
-    """FINE one-bit hashes in longs."""
-    bits = ((signature(hashes, FINE) >> np.uint64(20)) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits, bitorder="little").view("<i8")
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """The parity sketch: a power of two of longs. Halves of a longer one, XORed, are the sketch of half its length."""
+    n = 64 * SKETCH
+    while n < SKETCH_BITS * len(hashes):
+        n *= 2
+    odd = np.bincount((hashes & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def folded(wide: np.ndarray) -> np.ndarray:
+    return np.bitwise_xor.reduce(wide.reshape(-1, SKETCH), axis=0)
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_shingles, set_hash (two longs), index (array of 16-bit symbols), screen (eight longs of 8-bit symbols)."""
+    """doc_id, text_hash, n_shingles, set_hash (two longs), index (array of 16-bit symbols), odd (sketch of SKETCH longs), wide (a longer one, for more shingles)."""
     prepare(docs.sparkSession)
 
-    @F.pandas_udf("n_shingles long, set_high long, set_low long, index array<smallint>, screen array<long>")
+    @F.pandas_udf("n_shingles long, set_high long, set_low long, index array<smallint>, odd array<long>, wide array<long>")
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
@@ -85,17 +93,18 @@ def signed(docs: DataFrame) -> DataFrame:
                 digest = xxhash.xxh3_128_digest(found.tobytes())
                 high, low = np.frombuffer(digest, dtype="<i8").tolist()
                 if len(found):
-                    low16 = signature(found) >> np.uint64(16)
-                    rows.append((len(found), high, low, (low16[:INDEXED] & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16), (low16 & np.uint64(0xFF)).astype(np.uint8).view("<i8")))
+                    index = ((signature(found) >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
+                    wide = sketch(found)
+                    rows.append((len(found), high, low, index, folded(wide), wide if len(wide) > SKETCH else None))
                 else:
-                    rows.append((0, high, low, None, None))
-            yield pd.DataFrame(rows, columns=["n_shingles", "set_high", "set_low", "index", "screen"])
+                    rows.append((0, high, low, None, None, None))
+            yield pd.DataFrame(rows, columns=["n_shingles", "set_high", "set_low", "index", "odd", "wide"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), sign(F.col("text")).alias("s")).select("doc_id", "text_hash", "s.*")
 
 
 #: The symbols that a posting keeps: all selections of CHUNK - ERRORS symbols from each chunk, in a fixed order.
-SELECTIONS = [tuple(c * CHUNK + k for k in kept) for c in range(INDEXED // CHUNK) for kept in combinations(range(CHUNK), CHUNK - ERRORS)]
+SELECTIONS = [tuple(c * CHUNK + k for k in kept) for c in range(SYMBOLS // CHUNK) for kept in combinations(range(CHUNK), CHUNK - ERRORS)]
 
 
 def _postings(classes: DataFrame) -> DataFrame:
@@ -105,8 +114,8 @@ def _postings(classes: DataFrame) -> DataFrame:
 
 
 def _first_slot(a: Column, b: Column) -> Column:
-    """The first selection in which two index signatures agree: the one bucket of all they share that reports the pair."""
-    same = [a.getItem(k) == b.getItem(k) for k in range(INDEXED)]
+    """The first selection in which two signatures agree: the one bucket of all they share that reports the pair."""
+    same = [a.getItem(k) == b.getItem(k) for k in range(SYMBOLS)]
     found = None
     for i, kept in enumerate(SELECTIONS):
         hit = same[kept[0]]
@@ -116,24 +125,29 @@ def _first_slot(a: Column, b: Column) -> Column:
     return found
 
 
-def _bits_apart(a: Column, b: Column) -> Column:
+def _odd_apart(a: Column, b: Column) -> Column:
     total = None
-    for i in range(FINE // 64):
+    for i in range(SKETCH):
         n = F.bit_count(a.getItem(i).bitwiseXOR(b.getItem(i)))
         total = n if total is None else total + n
     return total
 
 
-def _distance(a: Column, b: Column) -> Column:
-    """How many of the 8-bit symbols packed into eight longs differ: bytes of the XOR that aren't zero."""
-    total = None
-    for i in range(SYMBOLS // 8):
-        x = a.getItem(i).bitwiseXOR(b.getItem(i))
-        for shift in (4, 2, 1):  # the lowest bit of each byte becomes the OR of its bits
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        n = F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
-        total = n if total is None else total + n
-    return total
+def _wide_apart(a: Column, b: Column) -> Column:
+    """Differing bits of two longer sketches, at the length of the shorter; null if one side has none."""
+    half = lambda x: F.zip_with(F.slice(x, F.lit(1), F.size(x) / 2), F.slice(x, F.size(x) / 2 + 1, F.size(x) / 2), lambda p, q: p.bitwiseXOR(q))
+    apart = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, n: total + n)
+    # linked sets differ in size by a third at most, so their sketches differ in length by one step at most
+    return F.when(F.size(a) == F.size(b), apart(a, b)).when(F.size(a) == F.size(b) * 2, apart(half(a), b)).when(F.size(a) * 2 == F.size(b), apart(a, half(b)))
+
+
+def _may_link(x: str, y: str) -> Column:
+    """What holds for every linked pair: sizes alike, and sketches that differ in no more bits than linked sets differ in shingles."""
+    c = lambda side, name: F.col(f"{side}.{name}")
+    n, m = c(x, "n"), c(y, "n")
+    most = (n + m) * (100 - PERCENT)
+    alike = (F.greatest(n, m) * PERCENT <= F.least(n, m) * 100) & (_odd_apart(c(x, "odd"), c(y, "odd")) * (100 + PERCENT) <= most)
+    return alike & (F.coalesce(_wide_apart(c(x, "wide"), c(y, "wide")), F.lit(0)) * (100 + PERCENT) <= most)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -165,39 +179,39 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, text_hash, n_shingles, component (a node, null without shingles), component_id, kept."""
+    with scratch(docs.sparkSession) as result:
+        return result(_linked_documents(docs), "near-duplicates")
+
+
+def _linked_documents(docs: DataFrame) -> DataFrame:
     signs = saved(signed(docs), "signs")
     sets = ["n_shingles", "set_high", "set_low"]
     full = signs.where("n_shingles > 0 and doc_id is not null")
-    least = full.groupBy(*sets).agg(F.min("doc_id").alias("least"))
-    # a class carries one signature and one text; equal sets have equal signatures
-    one = full.select(F.col("doc_id").alias("least"), *sets, "text_hash", "index", "screen").dropDuplicates(["least", *sets])
-    classes = least.join(one, ["least", *sets])
+    # a class carries one signature and one text, those of its least doc_id; equal sets have equal signatures
+    least = F.min_by(F.struct("doc_id", "text_hash", "index", "odd", "wide"), F.struct("doc_id", "text_hash"))
+    classes = saved(full.groupBy(*sets).agg(least.alias("l")).select(*sets, F.col("l.doc_id").alias("least"), "l.text_hash", "l.index", "l.odd", "l.wide"), "sets")
     # a class is a node by its least doc_id; of classes that share it (a doc_id with different texts) all but one go by a hash
-    shared = saved(least.groupBy("least").agg(F.count("*").alias("held"), F.min(F.struct(*sets)).alias("first")).where("held > 1"), "shared")
+    shared = saved(classes.groupBy("least").agg(F.count("*").alias("held"), F.min(F.struct(*sets)).alias("first")).where("held > 1"), "shared")
     repeated = bool(shared.take(1))
     if repeated:
         classes = classes.join(shared.select("least", "first"), "least", "left")
         own = F.col("first").isNull() | (F.struct(*sets) == F.col("first"))
-        classes = classes.withColumn("id", F.when(own, F.col("least")).otherwise(F.xxhash64(*sets))).drop("first")
+        classes = saved(classes.withColumn("id", F.when(own, F.col("least")).otherwise(F.xxhash64(*sets))).drop("first"), "classes")
     else:
         classes = classes.withColumn("id", F.col("least"))
-    nodes = classes = saved(classes, "classes")
-    posted = _postings(nodes)
+    posted = _postings(classes)
     buckets = posted.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
     members = saved(posted.join(buckets, "key"), "members")
     weights = members.groupBy("id").agg(F.sum("held").alias("weight"))
     hubs = members.join(weights, "id").groupBy("key").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"))
-    screens = nodes.select("id", "screen", F.col("n_shingles").alias("n"))
+    nodes = classes.select("id", "index", "odd", "wide", F.col("n_shingles").alias("n"))
     # one text stands for a class
     wanted = classes.join(weights.select("id"), "id").select("id", F.col("least").alias("doc_id"), "text_hash")
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["doc_id", "text_hash"])
     texts = saved(texts.select("id", "text").dropDuplicates(["id"]), "texts")
 
-    sizes = lambda x, y: F.greatest(x, y) * PERCENT <= F.least(x, y) * 100
-    left = screens.select(F.col("id").alias("a"), F.col("screen").alias("as"), F.col("n").alias("an"))
-    right = screens.select(F.col("id").alias("b"), F.col("screen").alias("bs"), F.col("n").alias("bn"))
     stars = members.join(hubs, "key").where("id <> hub").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
-    stars = stars.join(right, "b").join(left, "a").where(sizes(F.col("an"), F.col("bn")) & (_distance(F.col("as"), F.col("bs")) <= SCREEN_DISTANCE))
+    stars = stars.join(nodes.alias("x"), F.col("a") == F.col("x.id")).join(nodes.alias("y"), F.col("b") == F.col("y.id")).where(_may_link("x", "y"))
     stars = saved(stars.select("a", "b"), "stars")
     links = saved(_confirmed(stars, texts), "links")
     first = saved(components(links), "first")
@@ -206,28 +220,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # of a bucket's components the one with most members only has to meet the others
     shares = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
     mixed = shares.groupBy("key").agg(F.count("*").alias("held"), F.max_by("c", F.struct("n", "c")).alias("major")).where("held > 1").select("key", "major")
-    apart = saved(placed.join(mixed, "key").select("key", "slot", "id", "c", (F.col("c") != F.col("major")).alias("minor")), "apart")
-
-    @F.pandas_udf("array<long>")
-    def fine(batch: pd.Series) -> pd.Series:
-        return pd.Series([fine_signature(shingles(t)) for t in batch])
-
-    closer = saved(texts.join(apart.select("id").distinct(), "id").select("id", fine("text").alias("fine")), "fine")
-    closer = closer.join(nodes.select("id", "index", F.col("n_shingles").alias("n")), "id")
-    look = saved(apart.join(closer, "id"), "look")
+    apart = placed.join(mixed, "key").select("key", "slot", "id", "c", (F.col("c") != F.col("major")).alias("minor"))
+    look = saved(apart.join(nodes, "id"), "look")
     x, y = look.where("minor").alias("x"), look.alias("y")
-    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (~F.col("y.minor") | (F.col("x.id") < F.col("y.id"))) & sizes(F.col("x.n"), F.col("y.n"))
-    meet = meet & (_bits_apart(F.col("x.fine"), F.col("y.fine")) <= FINE_DISTANCE) & (_first_slot(F.col("x.index"), F.col("y.index")) == F.col("x.slot"))
-    pairs = x.join(y, meet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.least("x.c", "y.c").alias("low"), F.greatest("x.c", "y.c").alias("high"), _bits_apart(F.col("x.fine"), F.col("y.fine")).alias("bits"))
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (~F.col("y.minor") | (F.col("x.id") < F.col("y.id")))
+    meet = meet & _may_link("x", "y") & (_first_slot(F.col("x.index"), F.col("y.index")) == F.col("x.slot"))
+    pairs = x.join(y, meet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.least("x.c", "y.c").alias("low"), F.greatest("x.c", "y.c").alias("high"), (_odd_apart(F.col("x.odd"), F.col("y.odd")) / (F.col("x.n") + F.col("y.n"))).alias("apart"))
     # the condition's code is too large for the JIT in one method; below this limit Spark compiles it in parts instead
     with setting(docs.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"):
         pairs = saved(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-    nearest = pairs.groupBy("low", "high").agg(F.min_by(F.struct("a", "b"), F.struct("bits", "a", "b")).alias("p")).select("p.*")
+    nearest = pairs.groupBy("low", "high").agg(F.min_by(F.struct("a", "b"), F.struct("apart", "a", "b")).alias("p")).select("p.*")
     edges = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
     more = saved(_confirmed(nearest, texts), "more")
     if more.take(1):
         edges = edges.union(more)
-        first = saved(components(edges), "second")
+        first = components(edges)
         tops = first.select("node", "component")
         # links between components, not nodes: a pair still lies apart if its components' new components differ
         pairs = pairs.join(tops.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(tops.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
