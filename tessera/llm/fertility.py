@@ -1,8 +1,8 @@
 """Operator 6: quality rules by tokeniser fertility.
 
-Base rules look at words, symbols and repetition. Fertility rules ask how well public vocabularies fit a text: code points per
-token of each vocabulary, the share of tokens that are bare bytes of the first one, and the entropy of its token distribution
-(against the most that so many tokens could have). Texts are judged against the band of their cell, the dominant script and
+Base rules look at words, symbols and repetition. Fertility rules ask how well two public vocabularies fit a text, each by code points per
+token, the share of tokens that are bare bytes, and the entropy of the token distribution (against the most that so many tokens
+could have). Texts are judged against the band of their cell, the dominant script and
 language, over all lengths: a centre +- BAND robust deviations, never narrower than a floor; deviations and floors are in units
 that widen for short texts. The centre is the median; evenness falls with length, so its centre is a line in
 log2 of the tokens, through the medians with the median slope. A cell with fewer than LEAST_TEXTS distinct texts (by a sketch, that
@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import math
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,9 @@ VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
 LEAST_WORDS, MOST_REPEATED = 10, 20
 #: Half-width of a band in robust standard deviations, and the least half-widths: a + b / sqrt(tokens), as short texts vary more.
 BAND = 4.0
-FLOORS = {"chars_per_token": (0.3, 3.0), "chars_per_token_2": (0.3, 3.0), "byte_share": (0.02, 0.3), "evenness": (0.05, 0.6)}
+FLOORS = {f"{m}{k}": v for k in ("", "_2") for m, v in (("chars_per_token", (0.3, 3.0)), ("byte_share", (0.02, 0.3)), ("evenness", (0.05, 0.6)))}
+#: Measures that fall with length, so that a band's centre is a line.
+TILTED = ("evenness", "evenness_2")
 #: Distinct texts that make a band.
 LEAST_TEXTS = 30
 #: Words remembered by a worker for each vocabulary, and the longest that is.
@@ -64,17 +67,19 @@ def script(text: str, counts: np.ndarray) -> str:
     return _NAMES[int(found.argmax())] if found.any() else "none"
 
 
-class Pieces:
-    """Token ids of words under a sentencepiece model, remembered as bytes of 32-bit integers."""
+class Vocabulary:
+    """Token ids of words, remembered as bytes of 32-bit integers. What remembers is bounded, and lives as long as the worker."""
 
-    def __init__(self, path: str):
-        import sentencepiece
+    size: int
+    #: By id: whether the token is a bare byte, or bytes that are no text by themselves.
+    is_byte: np.ndarray
 
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.size = self.model.get_piece_size()
-        self.is_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
+    def __init__(self):
         self.known: dict[bytes, bytes] = {}
 
+    def encoded(self, words: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
     def ids(self, words: list[bytes]) -> np.ndarray:
         try:
             return np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
@@ -82,63 +87,96 @@ class Pieces:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
             new = list({w for w in words if w not in self.known})
-            found = self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
-            fresh = {w: np.array(i, "<u4").tobytes() for w, i in zip(new, found, strict=True)}
+            found = self.encoded([w.decode("utf-8", "replace") for w in new])
+            fresh = {w: array("I", i).tobytes() for w, i in zip(new, found, strict=True)}
             self.known.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST)
             look = self.known.get
             return np.frombuffer(b"".join([look(w) or fresh.get(w, b"") for w in words]), "<u4")
 
+    def measured(self, words: list[bytes], chars: int) -> tuple[float, float, float, int]:
+        """Code points per token, share of byte tokens, entropy against the most that so many tokens could have, number of tokens."""
+        ids = self.ids(words)
+        tokens = len(ids)
+        if not tokens:
+            return float(chars), 0.0, 0.0, 0
+        ordered = np.sort(ids)
+        held = np.diff(np.flatnonzero(np.concatenate([ordered[1:] != ordered[:-1], [True]])), prepend=-1) / tokens
+        most = math.log2(max(2, min(tokens, self.size)))
+        return chars / tokens, float(np.count_nonzero(self.is_byte[ids])) / tokens, -float(np.dot(held, np.log2(held))) / most, tokens
 
-class Ranks:
-    """Token counts of words, each after a blank, under a file of byte-pair ranks; counts are remembered."""
+
+class Pieces(Vocabulary):
+    """A sentencepiece model, whose byte tokens stand in for what it doesn't know."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        super().__init__()
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.size = self.model.get_piece_size()
+        self.is_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
+
+    def encoded(self, words: list[str]) -> list[list[int]]:
+        return self.model.encode(words, num_threads=1)
+
+
+def _whole(token: bytes) -> bool:
+    try:
+        token.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+class Ranks(Vocabulary):
+    """Byte-pair ranks, each word after a blank; a byte token is one that isn't valid UTF-8 by itself."""
 
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
 
+        super().__init__()
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
         self.encode = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[bytes, int] = {}
+        self.size = max(ranks.values()) + 1
+        self.is_byte = np.zeros(self.size, bool)
+        self.is_byte[[rank for token, rank in ranks.items() if not _whole(token)]] = True
 
-    def count(self, words: list[bytes]) -> int:
-        try:
-            return sum(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            total, known, encode = 0, self.known, self.encode
-            for w in words:
-                n = known.get(w)
-                if n is None:
-                    n = len(encode(" " + w.decode("utf-8", "replace")))
-                    if len(w) <= LONGEST:
-                        known[w] = n
-                total += n
-            return total
-
-
-def measure(text: str | None, pieces: Pieces, ranks: Ranks) -> tuple:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, script, chars_per_token, chars_per_token_2, byte_share, evenness, n_tokens."""
+    def encoded(self, words: list[str]) -> list[list[int]]:
+        return [self.encode(" " + w) for w in words]
+
+
+_LOADED: dict[str, Vocabulary] = {}
+
+
+def vocabulary(path: str) -> Vocabulary:
+    """One of each a worker process: a sentencepiece model by its ending, byte-pair ranks otherwise."""
+    if path not in _LOADED:
+        _LOADED[path] = (Pieces if path.endswith(".model") else Ranks)(path)
+    return _LOADED[path]
+
+
+#: What is measured for each vocabulary; the second one's have the suffix _2.
+MEASURES = ("chars_per_token", "byte_share", "evenness")
+
+
+def measure(text: str | None, first: Vocabulary, second: Vocabulary) -> tuple:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, script, the measures of both vocabularies, n_tokens of the first."""
     data = text.encode("utf-8", "replace") if text else b""
     hashes, starts, lengths = spans(data)
     n = len(hashes)
     if not n:
-        return 0, 0, sum(map(data.count, SYMBOLS)) if data else 0, 0, 0, "none", None, None, None, None, 0
+        return 0, 0, 0, 0, 0, "none", *(None,) * 6, 0
     counts = byte_counts(data)
     chars = code_points(counts) - sum(int(counts[c]) for c in SPACES)
     words = data.split()
-    first, second = pieces.ids(words), ranks.count(words)
-    tokens = len(first)
-    ordered = np.sort(first)
-    held = np.diff(np.flatnonzero(np.concatenate([ordered[1:] != ordered[:-1], [True]])), prepend=-1) / max(1, tokens)
-    most = math.log2(max(2, min(tokens, pieces.size)))
-    evenness = -float(np.dot(held, np.log2(held))) / most if tokens else 0.0
-    fallback = float(np.count_nonzero(pieces.is_byte[first])) / max(1, tokens)
-    return n, chars, sum(int(counts[c]) for c in SYMBOLS), repeated_lines(data), repeated_words(hashes), script(text, counts), chars / max(1, tokens), chars / max(1, second), fallback, evenness, tokens
+    *own, tokens = first.measured(words, chars)
+    *other, _ = second.measured(words, chars)
+    return n, chars, sum(int(counts[c]) for c in SYMBOLS), repeated_lines(data), repeated_words(hashes), script(text, counts), *own, *other, tokens
 
 
-_COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, script string, chars_per_token double, chars_per_token_2 double, byte_share double, evenness double, n_tokens long"
+_COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, script string, " + "".join(f"{m}{k} double, " for k in ("", "_2") for m in MEASURES) + "n_tokens long"
 
 
 def with_measures(docs: DataFrame, vocabularies=VOCABULARIES, folder: str | None = None) -> DataFrame:
@@ -149,11 +187,10 @@ def with_measures(docs: DataFrame, vocabularies=VOCABULARIES, folder: str | None
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
 
-        pieces_path, ranks_path = (os.path.join(folder, v) if folder else public_tokenizers.path(v) for v in vocabularies)
-        pieces, ranks = Pieces(pieces_path), Ranks(ranks_path)
+        first, second = (vocabulary(os.path.join(folder, v) if folder else public_tokenizers.path(v)) for v in vocabularies)
         names = [c.split()[0] for c in _COLUMNS.split(", ")]
         for texts in batches:
-            yield pd.DataFrame([measure(t, pieces, ranks) for t in texts], columns=names)
+            yield pd.DataFrame([measure(t, first, second) for t in texts], columns=names)
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     return docs.select("doc_id", lang.alias("lang"), F.xxhash64("text").alias("text_hash"), run(F.col("text")).alias("m")).select("doc_id", "lang", "text_hash", "m.*")
@@ -162,7 +199,7 @@ def with_measures(docs: DataFrame, vocabularies=VOCABULARIES, folder: str | None
 def _off(measure: str) -> Column:
     """Distance from a band's centre, in units of the least half-width."""
     floor, spread = FLOORS[measure]
-    centre = F.col(f"mid_{measure}") + (F.col("tilt") * (F.col("log_tokens") - F.col("mid_log_tokens")) if measure == "evenness" else 0)
+    centre = F.col(f"mid_{measure}") + (F.col(f"tilt_{measure}") * (F.col("log_tokens") - F.col("mid_log_tokens")) if measure in TILTED else 0)
     return F.abs(F.col(measure) - centre) / (F.lit(floor) + F.lit(spread) / F.sqrt(F.greatest(F.col("n_tokens"), F.lit(1))))
 
 
@@ -174,8 +211,8 @@ def bands(passing: DataFrame) -> DataFrame:
     middle = saved(rows.groupBy("band").agg(F.approx_count_distinct("text_hash", 0.01).alias("n_texts"), *(median(m).alias(f"mid_{m}") for m in (*FLOORS, "log_tokens"))), "middle")
     middle = middle.where((F.col("n_texts") >= LEAST_TEXTS) | (F.col("band") == ""))
     apart = F.col("log_tokens") - F.col("mid_log_tokens")
-    slope = F.when(F.abs(apart) >= 1, (F.col("evenness") - F.col("mid_evenness")) / apart)
-    tilts = rows.join(middle, "band").groupBy("band").agg(F.coalesce(median(slope), F.lit(0.0)).alias("tilt"))
+    slope = lambda m: F.when(F.abs(apart) >= 1, (F.col(m) - F.col(f"mid_{m}")) / apart)
+    tilts = rows.join(middle, "band").groupBy("band").agg(*(F.coalesce(median(slope(m)), F.lit(0.0)).alias(f"tilt_{m}") for m in TILTED))
     tilted = saved(middle.join(tilts, "band"), "tilted")
     deviations = rows.join(tilted, "band").groupBy("band").agg(*(median(_off(m)).alias(f"dev_{m}") for m in FLOORS))
     return saved(tilted.join(deviations, "band"), "bands")
@@ -199,4 +236,4 @@ def judged(measured: DataFrame, band: float = BAND) -> DataFrame:
 
 def op6_tokenizer_fertility(docs: DataFrame) -> DataFrame:
     measured = saved(with_measures(docs), "fertility")
-    return judged(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "script", F.round("chars_per_token", 4).alias("chars_per_token"), F.round("byte_share", 4).alias("byte_share"), F.round("evenness", 4).alias("evenness"))
+    return judged(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "script", *(F.round(m, 4).alias(m) for m in FLOORS))

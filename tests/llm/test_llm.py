@@ -1,5 +1,6 @@
 """The text operators on small tables, edge cases included, against brute force."""
 
+import base64
 import hashlib
 import random
 import re
@@ -252,6 +253,80 @@ def test_fertility(docs, empty):
     assert fertility.op6_tokenizer_fertility(docs.drop("lang")).count() == docs.count()
 
 
+def brute_verdicts(rows):
+    """doc_id -> kept, by the bands' definition, from rows of measures."""
+    low_median = lambda v: sorted(v)[-(-len(v) // 2) - 1] if v else None
+
+    def off(x, m, b):
+        a, c = fertility.FLOORS[m]
+        centre = b["mid"][m] + (b["tilt"][m] * (x["log"] - b["mid"]["log"]) if m in fertility.TILTED else 0)
+        return abs(x[m] - centre) / (a + c / np.sqrt(max(1, x["n_tokens"])))
+
+    data = [r.asDict() | {"log": float(np.log2(max(1, r["n_tokens"]))), "bands": (f"{r['script']}|{r['lang'] or ''}", r["script"], "")} for r in rows]
+    passing = [x for x in data if not (x["n_words"] < 10 or 100 * x["n_repeat_words"] > 20 * x["n_words"])]
+    found = {}
+    for name in {b for x in passing for b in x["bands"]}:
+        own = [x for x in passing if name in x["bands"]]
+        if name and len({x["text_hash"] for x in own}) < fertility.LEAST_TEXTS:
+            continue
+        b = {"mid": {m: low_median([x[m] for x in own]) for m in (*fertility.FLOORS, "log")}}
+        b["tilt"] = {m: low_median([(x[m] - b["mid"][m]) / (x["log"] - b["mid"]["log"]) for x in own if abs(x["log"] - b["mid"]["log"]) >= 1]) or 0.0 for m in fertility.TILTED}
+        b["dev"] = {m: low_median([off(x, m, b) for x in own]) for m in fertility.FLOORS}
+        found[name] = b
+    out = {x["doc_id"]: False for x in data}
+    for x in passing:
+        b = next(found[n] for n in x["bands"] if n in found)
+        out[x["doc_id"]] = all(off(x, m, b) <= max(1.0, 1.4826 * fertility.BAND * b["dev"][m]) for m in fertility.FLOORS)
+    return out
+
+
+def test_fertility_measures_and_verdicts(spark, docs):
+    """Measures against the libraries word by word; `kept` against the bands' definition, on a whole table; planted junk goes."""
+    import public_tokenizers
+    import sentencepiece
+    import tiktoken
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(fertility.VOCABULARIES[0]))
+    ranks = {}
+    with open(public_tokenizers.path(fertility.VOCABULARIES[1]), "rb") as f:
+        for line in f:
+            token, rank = line.split()
+            ranks[base64.b64decode(token)] = int(rank)
+    pairs = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = {x["doc_id"]: x["text"] for x in docs.collect()}
+    for x in fertility.with_measures(docs).collect():
+        w = words(texts[x["doc_id"]])
+        if not w:
+            assert x["chars_per_token"] is None and x["n_tokens"] == 0
+            continue
+        for k, ids, bare in (("", [i for v in w for i in model.encode(v)], model.is_byte), ("_2", [i for v in w for i in pairs.encode_ordinary(" " + v)], lambda i: b"\xef\xbf\xbd" in pairs.decode_bytes([i]).decode("utf-8", "replace").encode())):
+            n = len(ids)
+            entropy = -sum(c / n * np.log2(c / n) for c in Counter(ids).values())
+            assert x[f"chars_per_token{k}"] == pytest.approx(sum(map(len, w)) / n)
+            assert x[f"byte_share{k}"] == pytest.approx(sum(bool(bare(i)) for i in ids) / n)
+            assert x[f"evenness{k}"] == pytest.approx(max(0.0, entropy) / np.log2(max(2, min(n, len(ranks) if k else model.get_piece_size()))), abs=1e-9)
+    real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    r = random.Random(21)
+    clean = [x["text"] for x in real.where("lang = 'en' and length(text) between 800 and 6000").orderBy("doc_id").limit(40).collect()]
+    plant = lambda n, base, out: " ".join([*base.split()[:n], *out])
+    noise = lambda n: base64.b64encode(r.randbytes(n)).decode()
+    junk = {
+        1_000_001: " ".join(noise(45) for _ in range(60)),
+        1_000_002: plant(20, clean[0], [noise(60) for _ in range(40)]),
+        1_000_003: "".join(chr(r.randint(0x410, 0x44F)) if r.random() < 0.85 else " " for _ in range(2000)),
+        1_000_004: " ".join("".join(r.choice("ÃÂ©¨€â™œžÅ") for _ in range(7)) for _ in range(200)),
+        1_000_005: " ".join("".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(5)) for _ in range(100)),
+    }
+    both = real.unionByName(spark.createDataFrame([(i, t, "en") for i, t in junk.items()], "doc_id long, text string, lang string"))
+    measured = fertility.with_measures(both).collect()
+    kept = {x["doc_id"]: x["kept"] for x in fertility.op6_tokenizer_fertility(both).collect()}
+    assert kept == brute_verdicts(measured)
+    assert not any(kept[i] for i in junk)
+    failed = {x["doc_id"] for x in measured if x["n_words"] < 10 or 100 * x["n_repeat_words"] > 20 * x["n_words"]}
+    good = {x["doc_id"] for x in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").where("quality = 1").collect()} - failed
+    assert sum(kept[i] for i in good) >= 0.95 * len(good)
+
+
 def brute_units(text):
     out = []
     for run in words(text):
