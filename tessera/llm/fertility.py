@@ -5,15 +5,14 @@ token, the share of tokens that are bare bytes, and the entropy of the token dis
 could have). Texts are judged against the band of their cell, the dominant script and
 language, over all lengths: a centre +- BAND robust deviations, never narrower than a floor; deviations and floors are in units
 that widen for short texts. The centre is the median; evenness falls with length, so its centre is a line in
-log2 of the tokens, through the medians with the median slope. A cell with fewer than LEAST_TEXTS distinct texts (by a sketch, that
-is near exact for so few) takes the band of its script, a script with fewer that of all texts. The bands are statistics of all
-documents that pass the base rules.
+log2 of the tokens, through the medians with the median slope. A cell with fewer than LEAST_TEXTS distinct texts takes the band of its script, a script with fewer that of all texts; these mix languages, so they are wider. The bands are statistics of all
+distinct texts that pass the base rules.
 
 Words are tokenised alone (the vocabularies never merge across white space), and each worker remembers words, up to a bound.
 
 Defined results: a null text has no word, fails the base rules and is not kept, as do empty and blank texts; a null language
-is a language of its own; a table of fewer than LEAST_TEXTS distinct texts is judged by the band of all; repeated rows count as
-often as they stand (but as one text towards LEAST_TEXTS) and are judged alike; texts of any length are measured whole; extra
+is a language of its own; a table of fewer than LEAST_TEXTS distinct texts is judged by the band of all; copies of
+a text count once in a cell's band, and are judged alike; texts of any length are measured whole; extra
 columns are ignored; a table without `lang` uses scripts alone.
 """
 
@@ -42,6 +41,8 @@ BAND = 4.0
 FLOORS = {f"{m}{k}": v for k in ("", "_2") for m, v in (("chars_per_token", (0.3, 3.0)), ("byte_share", (0.02, 0.3)), ("evenness", (0.05, 0.6)))}
 #: Measures that fall with length, so that a band's centre is a line.
 TILTED = ("evenness", "evenness_2")
+#: A band of several languages is as wide as this quantile of their distances, times a margin, at least: its median knows only the commonest.
+MIXED_QUANTILE, MIXED_MARGIN = 0.9, 1.5
 #: Distinct texts that make a band.
 LEAST_TEXTS = 30
 #: Words remembered by a worker for each vocabulary, and the longest that is.
@@ -203,18 +204,23 @@ def _off(measure: str) -> Column:
     return F.abs(F.col(measure) - centre) / (F.lit(floor) + F.lit(spread) / F.sqrt(F.greatest(F.col("n_tokens"), F.lit(1))))
 
 
-def bands(passing: DataFrame) -> DataFrame:
+def bands(passing: DataFrame, band: float = BAND) -> DataFrame:
     """The band of each cell, each script and all texts, from three passes of mergeable sketches, so a huge group costs no more than its partials."""
     median = lambda c: F.percentile_approx(c, 0.5, 10_000)
-    rows = passing.select(F.explode(F.array("cell", "script", F.lit(""))).alias("band"), "text_hash", "n_tokens", "log_tokens", *FLOORS)
+    # copies of a text count once: they have equal measures, and are folded before they move
+    distinct = saved(passing.select("cell", "script", "text_hash", "n_tokens", "log_tokens", *FLOORS).dropDuplicates(["cell", "text_hash"]), "distinct-texts")
+    rows = distinct.select(F.explode(F.array("cell", "script", F.lit(""))).alias("band"), "n_tokens", "log_tokens", *FLOORS)
     # bands are few (scripts x languages); read from a file, their size is known and the planner broadcasts them if they are small
-    middle = saved(rows.groupBy("band").agg(F.approx_count_distinct("text_hash", 0.01).alias("n_texts"), *(median(m).alias(f"mid_{m}") for m in (*FLOORS, "log_tokens"))), "middle")
+    middle = saved(rows.groupBy("band").agg(F.count("*").alias("n_texts"), *(median(m).alias(f"mid_{m}") for m in (*FLOORS, "log_tokens"))), "middle")
     middle = middle.where((F.col("n_texts") >= LEAST_TEXTS) | (F.col("band") == ""))
     apart = F.col("log_tokens") - F.col("mid_log_tokens")
     slope = lambda m: F.when(F.abs(apart) >= 1, (F.col(m) - F.col(f"mid_{m}")) / apart)
     tilts = rows.join(middle, "band").groupBy("band").agg(*(F.coalesce(median(slope(m)), F.lit(0.0)).alias(f"tilt_{m}") for m in TILTED))
     tilted = saved(middle.join(tilts, "band"), "tilted")
-    deviations = rows.join(tilted, "band").groupBy("band").agg(*(median(_off(m)).alias(f"dev_{m}") for m in FLOORS))
+    one = F.col("band").contains("|")
+    wide = lambda m: F.when(one, F.lit(0.0)).otherwise(F.percentile_approx(_off(m), MIXED_QUANTILE, 10_000) * MIXED_MARGIN)
+    half = lambda m: F.greatest(median(_off(m)) * F.lit(1.4826 * band), wide(m), F.lit(1.0))
+    deviations = rows.join(tilted, "band").groupBy("band").agg(*(half(m).alias(f"half_{m}") for m in FLOORS))
     return saved(tilted.join(deviations, "band"), "bands")
 
 
@@ -223,14 +229,14 @@ def judged(measured: DataFrame, band: float = BAND) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     measured = measured.withColumn("base_failed", failed).withColumn("cell", F.concat_ws("|", "script", F.coalesce("lang", F.lit("")))).withColumn("log_tokens", F.log2(F.greatest(F.col("n_tokens"), F.lit(1))))
     passing = measured.where(~F.col("base_failed"))
-    found = bands(passing)
+    found = bands(passing, band)
     # the first band there is: of the cell, the script, all
     cells = passing.groupBy("cell", "script").agg(F.count("*").alias("n")).select("cell", F.posexplode(F.array("cell", "script", F.lit(""))).alias("rank", "band"))
     values = [c for c in found.columns if c not in ("band", "n_texts")]
     chosen = saved(cells.join(found, "band").groupBy("cell").agg(F.min_by(F.struct(*values), "rank").alias("b")).select("cell", "b.*"), "chosen")
     inside = F.lit(True)
     for m in FLOORS:
-        inside = inside & F.coalesce(_off(m) <= F.greatest(F.col(f"dev_{m}") * F.lit(1.4826 * band), F.lit(1.0)), F.lit(True))
+        inside = inside & F.coalesce(_off(m) <= F.col(f"half_{m}"), F.lit(True))
     return measured.join(chosen, "cell", "left").withColumn("kept", ~F.col("base_failed") & inside).drop("cell", "log_tokens", "text_hash", *values)
 
 

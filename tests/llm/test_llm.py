@@ -266,17 +266,19 @@ def brute_verdicts(rows):
     passing = [x for x in data if not (x["n_words"] < 10 or 100 * x["n_repeat_words"] > 20 * x["n_words"])]
     found = {}
     for name in {b for x in passing for b in x["bands"]}:
-        own = [x for x in passing if name in x["bands"]]
-        if name and len({x["text_hash"] for x in own}) < fertility.LEAST_TEXTS:
+        own = list({(x["bands"][0], x["text_hash"]): x for x in passing if name in x["bands"]}.values())
+        if name and len(own) < fertility.LEAST_TEXTS:
             continue
         b = {"mid": {m: low_median([x[m] for x in own]) for m in (*fertility.FLOORS, "log")}}
         b["tilt"] = {m: low_median([(x[m] - b["mid"][m]) / (x["log"] - b["mid"]["log"]) for x in own if abs(x["log"] - b["mid"]["log"]) >= 1]) or 0.0 for m in fertility.TILTED}
-        b["dev"] = {m: low_median([off(x, m, b) for x in own]) for m in fertility.FLOORS}
+        offs = {m: sorted(off(x, m, b) for x in own) for m in fertility.FLOORS}
+        wide = lambda v: 0.0 if "|" in name else fertility.MIXED_MARGIN * v[int(np.ceil(fertility.MIXED_QUANTILE * len(v))) - 1]  # noqa: E731, B023
+        b["half"] = {m: max(1.0, 1.4826 * fertility.BAND * low_median(v), wide(v)) for m, v in offs.items()}
         found[name] = b
     out = {x["doc_id"]: False for x in data}
     for x in passing:
         b = next(found[n] for n in x["bands"] if n in found)
-        out[x["doc_id"]] = all(off(x, m, b) <= max(1.0, 1.4826 * fertility.BAND * b["dev"][m]) for m in fertility.FLOORS)
+        out[x["doc_id"]] = all(off(x, m, b) <= b["half"][m] for m in fertility.FLOORS)
     return out
 
 
