@@ -1,14 +1,16 @@
 """Operator 2: toxic passages by maximum-scoring segment search.
 
 A model is a weight per token: the log-odds of the token in toxic against clean labelled texts, both smoothed by a Dirichlet
-prior proportional to the token's share of all labelled texts, kept where its z-score is significant, and shifted so that an
+prior proportional to the token's share of all labelled texts, kept where the same log-odds over texts that hold the token has a
+significant z-score (a token that one text repeats is one observation), and shifted so that an
 average token of clean text scores below zero. A linear-time scan finds every maximal scoring segment of a text. Segment
 scores follow an extreme-value law, so a segment of score S among n tokens has an expectation K * n * exp(-lambda * S) by
 chance; lambda solves sum p * exp(lambda * s) = 1 over clean text and K is calibrated on the same learned rows. A document's
-score is 1 - exp(-(evidence)) of its most significant segments against chance, between 0 and 1.
+score is that of all its significant segments together against chance or, without one, of its best: 0.5 where chance would give EXPECTED
+such segments, less with all that chance would give more often, 0 without any token in favour.
 
 Bounds: the model learns from at most LEARN_ROWS labelled rows, the lowest by a seeded hash of doc_id (a documented bound on
-fitting), and holds at most MODEL_TOKENS tokens. Of near copies with one label the first is counted: texts that share the least or
+fitting). Of near copies with one label the first is counted: texts that share the least or
 the greatest hash of their 5-word runs and NEAR of the least hashes in SLOTS parts of the range. All rows are scored, over whole texts.
 
 Defined results: null and empty texts have no segment and score 0; without any labelled toxic or clean row the model is empty
@@ -21,18 +23,20 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, prepare, spans, window_hashes
+from .common import as_rows, crc32_mod, prepare, spans, window_hashes
 
-#: Labelled rows that may be learned from, tokens a model may hold, and the prior's weight as a share of the learned tokens.
-LEARN_ROWS, MODEL_TOKENS, PRIOR = 12_000, 50_000, 1.0
-#: A token is kept from this z-score, log-odds (of the smoothed classes) and number of toxic texts that hold it.
-LEAST_Z, LEAST_ODDS, LEAST_DOCS = 4.0, 1.0, 3
+#: Labelled rows that may be learned from, and the prior's weight as a share of the learned tokens.
+LEARN_ROWS, PRIOR = 12_000, 1.0
+#: A token is kept from such a z-score that FALSE_TOKENS of all tokens tested would reach it by chance, from these log-odds (of the smoothed
+#: classes) and from this number of toxic texts that hold it.
+FALSE_TOKENS, LEAST_ODDS, LEAST_DOCS = 0.3, 1.0, 3
 FOLDS, HELD_OUT = 5, 0
 #: A segment is reported, and a document called toxic, below this expectation by chance.
 EXPECTED = 0.5
@@ -131,13 +135,22 @@ class Seen:
         return True
 
 
+def log_odds(a: float, b: float, n1: float, n0: float) -> tuple[float, float]:
+    """Log-odds of a among n1 against b among n0, both smoothed by the prior, and its z-score."""
+    both = PRIOR * (a + b) / (n1 + n0)
+    x1, x0 = a + both * n1, b + both * n0
+    odds = math.log(x1 / max((1 + PRIOR) * n1 - x1, 0.5)) - math.log(x0 / max((1 + PRIOR) * n0 - x0, 0.5))
+    return odds, odds / math.sqrt(1 / x1 + 1 / x0)
+
+
 def train(rows: list[tuple[str, int]]) -> Model:
     """Fit weights and calibrate chance on (text, label) rows.
 
     The prior gives each class PRIOR times its size in tokens, dealt by a token's share of both classes together.
     """
     counts = ({}, {})
-    holders: dict[bytes, int] = {}
+    holders = ({}, {})
+    held_texts = [0, 0]
     texts = [(tokens(t), int(y)) for t, y in rows]
     seen = (Seen(), Seen())
     for words, y in texts:
@@ -146,24 +159,22 @@ def train(rows: list[tuple[str, int]]) -> Model:
         own = counts[y]
         for w in words:
             own[w] = own.get(w, 0) + 1
-        if y:
-            for w in set(words):
-                holders[w] = holders.get(w, 0) + 1
+        held_texts[y] += 1
+        own = holders[y]
+        for w in set(words):
+            own[w] = own.get(w, 0) + 1
     n1, n0 = sum(counts[1].values()), sum(counts[0].values())
     if not n1 or not n0:
         return Model({}, -1.0, 1.0, 1.0)
     kept = []
-    for w, docs in holders.items():
-        if docs < LEAST_DOCS:
-            continue
-        a, b = counts[1][w], counts[0].get(w, 0)
-        both = PRIOR * (a + b) / (n1 + n0)
-        x1, x0 = a + both * n1, b + both * n0
-        odds = math.log(x1 / ((1 + PRIOR) * n1 - x1)) - math.log(x0 / ((1 + PRIOR) * n0 - x0))
-        z = odds / math.sqrt(1 / x1 + 1 / x0)
-        if z >= LEAST_Z and odds >= LEAST_ODDS:
+    tested = [(w, docs) for w, docs in holders[1].items() if docs >= LEAST_DOCS]
+    least_z = NormalDist().inv_cdf(1 - min(0.01, FALSE_TOKENS / max(1, len(tested))))
+    for w, docs in tested:
+        odds, _ = log_odds(counts[1][w], counts[0].get(w, 0), n1, n0)
+        _, z = log_odds(docs, holders[0].get(w, 0), *held_texts[::-1])
+        if z >= least_z and odds >= LEAST_ODDS:
             kept.append((z, w, odds))
-    kept = sorted(kept, key=lambda x: (-x[0], x[1]))[:MODEL_TOKENS]
+    kept.sort(key=lambda x: (-x[0], x[1]))
     weights = {w: odds for _, w, odds in kept}
     clean = sum(counts[0].get(w, 0) * s for w, s in weights.items()) / n0
     other = -max(0.1, 4 * clean)  # an ordinary token lowers a segment's score, so that chance segments end
@@ -190,21 +201,27 @@ def expected(score: float, n: int, model: Model) -> float:
     return model.scale * n * math.exp(-min(model.rate * score, 700.0))
 
 
-def segments(text: str | None, model: Model, most: float = EXPECTED) -> list[tuple[int, int, float, float]]:
-    """Significant segments of a text: start and end in tokens, score, expectation by chance."""
+def all_segments(text: str | None, model: Model) -> list[tuple[int, int, float, float]]:
+    """All maximal segments of a text: start and end in tokens, score, expectation by chance."""
     words = tokens(text)
     if not words or model.weights.keys().isdisjoint(words):
         return []
-    found = ((s, e, x, expected(x, len(words), model)) for s, e, x in maximal_segments(scored(words, model)))
-    return [f for f in found if f[3] <= most]
+    return [(s, e, x, expected(x, len(words), model)) for s, e, x in maximal_segments(scored(words, model))]
+
+
+def segments(text: str | None, model: Model, most: float = EXPECTED) -> list[tuple[int, int, float, float]]:
+    """Significant segments of a text."""
+    return [f for f in all_segments(text, model) if f[3] <= most]
 
 
 def document_score(found: list[tuple[int, int, float, float]]) -> float:
-    """0.5 at an expectation of EXPECTED, towards 1 as the segments' joint expectation falls. No segment: 0."""
+    """0.5 at an expectation of EXPECTED, towards 1 as the significant segments' joint expectation falls, towards 0 as the best one's
+    grows. A text without any segment has no evidence at all: 0."""
     if not found:
         return 0.0
-    best = sum(math.log(EXPECTED / max(f[3], 1e-300)) for f in found)
-    return 1.0 / (1.0 + math.exp(-min(best, 50.0)))
+    evidence = [math.log(EXPECTED / max(f[3], 1e-300)) for f in found]
+    total = sum(x for x in evidence if x > 0) or max(evidence)
+    return 1.0 / (1.0 + math.exp(-min(total, 50.0)))
 
 
 def learned(docs: DataFrame, labels: DataFrame, bound: int = LEARN_ROWS) -> Model:
@@ -218,7 +235,7 @@ def learned(docs: DataFrame, labels: DataFrame, bound: int = LEARN_ROWS) -> Mode
 
 
 def with_segments(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The operator: adds toxic_segments, an array of (start, end, score, expected) in tokens, and toxic_score."""
+    """The operator: adds toxic_segments, an array of (start, end, score, expected) in tokens, and toxic_score (columns of these names are replaced)."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -226,10 +243,13 @@ def with_segments(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for texts in batches:
-            found = [segments(t, m) for t in texts]
-            yield pd.DataFrame({"segments": [[dict(zip(("start", "end", "score", "expected"), f, strict=True)) for f in x] for x in found], "score": [document_score(x) for x in found]})
+            found = [all_segments(t, m) for t in texts]
+            shown = [[dict(zip(("start", "end", "score", "expected"), f, strict=True)) for f in x if f[3] <= EXPECTED] for x in found]
+            yield pd.DataFrame({"segments": shown, "score": [document_score(x) for x in found]})
 
-    return docs.withColumn("_r", search(F.col(text))).withColumn("toxic_segments", F.col("_r.segments")).withColumn("toxic_score", F.col("_r.score")).drop("_r")
+    found = as_rows(docs).select("row", search(F.col(f"row.`{text}`")).alias("found"))
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("toxic_segments", "toxic_score")]
+    return found.select(*own, F.col("found.segments").alias("toxic_segments"), F.col("found.score").alias("toxic_score"))
 
 
 def op2_toxic_segments(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -102,6 +102,12 @@ def test_fixity(spark):
     assert place[0][0] == 0 and place[1][0] == place[0][1] and place[2][0] == place[0][1] + place[1][1]
 
 
+def signed_long_hash(i):
+    """Spark's xxhash64 of a long."""
+    h = xxhash.xxh64_intdigest(int(i).to_bytes(8, "little", signed=True), seed=42)
+    return h - 2**64 if h >= 2**63 else h
+
+
 def brute_maximal(scores):
     """All maximal scoring segments by their recursive definition."""
     def best(a, b):
@@ -133,19 +139,64 @@ def test_maximal_segments():
         assert got == brute_maximal(scores)
 
 
+def brute_toxic_score(text, model):
+    """A document's score by the definition: segments by recursion, their expectation by the law."""
+    w = re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (text or "").lower())
+    scores = [model.weights.get(x.encode(), model.other) for x in w]
+    evidence = [np.log(toxicity.EXPECTED / (model.scale * len(w) * np.exp(-model.rate * s))) for _, _, s in brute_maximal(scores)] if any(x > 0 for x in scores) else []
+    if not evidence:
+        return 0.0
+    return 1 / (1 + np.exp(-min(sum(x for x in evidence if x > 0) or max(evidence), 50.0)))
+
+
 def test_toxicity(spark, docs, empty, labels):
     r = random.Random(2)
     rows = [(make_text(r, 80) + (" you vile pathetic scum, vile scum!" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
     model = toxicity.train(rows[:300])
     assert {b"vile", b"scum", b"pathetic"} <= set(model.weights)
-    right = [int(toxicity.document_score(toxicity.segments(t, model)) >= 0.5) == y for t, y in rows[300:]]
-    assert np.mean(right) > 0.97
-    assert toxicity.document_score(toxicity.segments(None, model)) == 0.0 == toxicity.document_score(toxicity.segments("", model))
+    # a weight is the log-odds of the token among the tokens of either class, smoothed by its share of both
+    count = lambda y: Counter(w for t, z in rows[:300] if z == y for w in toxicity.tokens(t))
+    n = [sum(count(y).values()) for y in (0, 1)]
+    a, share = count(1)[b"vile"], count(1)[b"vile"] / sum(n)
+    x1, x0 = a + share * n[1], share * n[0]
+    assert model.weights[b"vile"] == pytest.approx(np.log(x1 / (2 * n[1] - x1)) - np.log(x0 / (2 * n[0] - x0)))
+    score = lambda t: toxicity.document_score(toxicity.all_segments(t, model))
+    assert np.mean([int(score(t) >= 0.5) == y for t, y in rows[300:]]) > 0.97
+    assert score(None) == 0.0 == score("")
+    for t, _ in rows[300:]:
+        part = " ".join(t.split()[-40:])
+        assert score(part) == pytest.approx(brute_toxic_score(part, model), abs=1e-6)
+    # one weak word in a long text stays below the threshold, and the shorter the text the higher
+    weak = toxicity.Model({b"bad": 1.5}, -0.1, 2.0, 0.5)
+    ranked = [toxicity.document_score(toxicity.all_segments("bad " + "word " * k, weak)) for k in (1000, 100, 30, 2)]
+    assert ranked == sorted(set(ranked)) and 0 < ranked[0] < ranked[1] < 0.5 < ranked[3]
+    # the query against brute force, on texts that fit it, with a very long one
+    table = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)] + [(1000, "word " * 300_000 + "vile scum vile"), (1001, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, y, y) for i, (_, y) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    order = sorted((i for i in range(400) if fold(i)), key=lambda i: signed_long_hash(i))
+    model = toxicity.train([rows[i] for i in order])
+    out = {x["doc_id"]: x for x in toxicity.op2_toxic_segments(table, marks).collect()}
+    assert len(out) == 402 and out[1000]["score"] == pytest.approx(toxicity.document_score(toxicity.all_segments("word " * 300_000 + "vile scum vile", model)))
+    for i, (t, _) in enumerate(rows):
+        assert out[i]["score"] == pytest.approx(toxicity.document_score(toxicity.all_segments(t, model)), abs=1e-9) and out[i]["held_out"] == (fold(i) == 0)
     out = toxicity.op2_toxic_segments(docs, labels).collect()
     assert len(out) == docs.count() and all(0 <= x["score"] <= 1 and x["predicted"] == int(x["score"] >= 0.5) for x in out)
     assert all(x["held_out"] == (zlib.crc32(str(x["doc_id"]).encode()) % 5 == 0) for x in out if x["doc_id"] is not None)
     assert toxicity.op2_toxic_segments(empty, labels).count() == 0
     assert {x["score"] for x in toxicity.op2_toxic_segments(docs, labels.limit(0)).collect()} == {0.0}
+    clash = toxicity.with_segments(docs.select("text", F.lit(1).alias("found"), F.lit(2).alias("_r"), F.lit(3).alias("toxic_score")), model)
+    assert clash.columns == ["text", "found", "_r", "toxic_segments", "toxic_score"] and {(x["found"], x["_r"]) for x in clash.collect()} == {(1, 2)}
+
+
+def test_toxicity_held_out(spark):
+    """Held-out documents of a scale factor: few clean ones are called toxic, and the score ranks."""
+    sf = "/root/testdata/sf0.1"
+    marks = spark.read.parquet(f"{sf}/labels.parquet")
+    out = toxicity.op2_toxic_segments(spark.read.parquet(f"{sf}/documents.parquet"), marks).where("held_out").join(marks, "doc_id").select("toxic", "score").collect()
+    bad, good = ([x["score"] for x in out if x["toxic"] == y] for y in (1, 0))
+    assert np.mean([s >= 0.5 for s in bad]) > 0.9 and np.mean([s >= 0.5 for s in good]) < 0.02
+    assert np.mean([(a > b) + 0.5 * (a == b) for a in bad for b in good]) > 0.95
 
 
 def test_near_duplicates(docs, empty):
