@@ -1,167 +1,204 @@
 """Operator 1: Merkle fixity audit of archived web records.
 
-A page becomes a WARC response record; its leaf is the SHA-256 of the record. Records lie in archive files in the order of page_id,
-FILE_PAGES ids a file, at byte offsets that are running sums of the records' lengths. A tree stands over the ordered ids: a
-node of level k covers FANOUT^k of them, and its digest is the SHA-256 of its children's digests in order, up to one root. An
-audit compares the roots of two replicas and descends into mismatching branches only, down to records, which are reported with
-their place in the primary.
-
-All is DataFrame work. A node has FANOUT children at most, so no list grows with the data. Records under one page_id are a
-multiset, folded into the leaf by sums (copies of one record are counted first), so a page_id with any number of rows costs one row.
-
-Defined results: a null url or html counts as empty; a null page_id is a page of its own, first in order, in file null;
-repeated rows are copies and must be as many in both replicas; two empty replicas have equal roots; a replica against an
-empty one reports every record; extra columns are ignored.
+A page becomes a WARC resource record. Records lie in archive files in the order of page_id, FILE_PAGES ids a file, at byte offsets that are
+running sums of the records' lengths (``layout``). A tree stands over the ordered offsets of each file: the lowest nodes cover
+2^RANGE_BITS bytes of a file, a node of the next level FANOUT of those in order, up to one that covers the file, and then files in order up to one root.
+A lowest node's digest is the SHA-256 of the offsets, lengths, copies and SHA-256s of the records that start in its range, in order of
+offset; a higher one's that of its children's places and digests. So a record that is altered, lost, doubled, moved or swapped with its
+neighbour changes the digests above it. An audit (``audit``) compares the roots of two replicas and descends into mismatching branches only,
+down to records.
+
+All is DataFrame work. A node has FANOUT children at most, or as many records as 2^RANGE_BITS bytes hold, so no list grows with the data.
+Equal records under one page_id lie behind each other and are one row, a run of copies; running sums go in three levels (ids of a file, slices of an id
+by digest, records of a slice), so an id with any number of rows is spread.
+
+Defined results: a null url or html counts as empty; a null page_id lies in a file of its own, reported as null (as does the least long); two empty
+replicas have equal roots; a replica against an empty one reports every record; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, scratch
 
-#: Children of a node, and ids in an archive file.
-FANOUT, FILE_PAGES = 64, 4096
-#: The query's replica: of ids with these remainders modulo DAMAGED, records are altered, lost, doubled.
-DAMAGED, ALTERED, LOST, DOUBLED = 97, 13, 41, 73
+#: Bits of the lowest ranges of bytes, children of a node as bits, and ids in an archive file as bits.
+RANGE_BITS, FANOUT_BITS, FILE_BITS = 16, 6, 12
+#: The date that records bear: the table has none.
+WARC_DATE = "2024-01-01T00:00:00Z"
+#: The query's replica: of ids with these remainders modulo DAMAGED, records are altered, lost, stored again at the file's end, or swapped with the next id's.
+DAMAGED, ALTERED, LOST, DOUBLED, SWAPPED = 97, 13, 41, 73, 29
+#: What stands for a null id, and the file of records without one, lower than that of any id.
+NO_ID, NO_FILE = -(2**63), -(2**52)
 
 
-def warc_record(url: str, html: str):
-    """The bytes of a WARC response record as text."""
-    body = F.coalesce(F.col(html), F.lit(""))
-    head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.coalesce(F.col(url), F.lit("")), F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
-    return F.concat(head, body, F.lit("\r\n\r\n"))
+def record_id(page_id: Column, url: Column) -> Column:
+    """A record's urn, from its id and url, so that replicas agree."""
+    h = F.md5(F.concat_ws("\n", F.coalesce(page_id.cast("string"), F.lit("")), url))
+    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *(F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))), F.lit(">"))
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """(page_id, record_sha256, length, copies): one row for each distinct record of a page."""
-    one = pages.select(F.col("page_id").cast("long").alias("page_id"), warc_record("url", "html").alias("record"))
-    one = one.select("page_id", F.sha2("record", 256).alias("record_sha256"), F.octet_length("record").cast("long").alias("length"))
-    return one.groupBy("page_id", "record_sha256", "length").agg(F.count("*").alias("copies"))
+def warc_record(page_id: Column, url: Column, html: Column) -> Column:
+    """The bytes of a WARC resource record as text."""
+    url, body = F.coalesce(url, F.lit("")), F.coalesce(html, F.lit(""))
+    head = (("WARC-Type", F.lit("resource")), ("WARC-Record-ID", record_id(page_id, url)), ("WARC-Date", F.lit(WARC_DATE)), ("WARC-Target-URI", url), ("Content-Type", F.lit("text/html")), ("Content-Length", F.octet_length(body).cast("string")))
+    lines = [F.concat(F.lit(f"{name}: "), value) for name, value in head]
+    return F.concat(F.concat_ws("\r\n", F.lit("WARC/1.0"), *lines), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
-def leaves(recs: DataFrame) -> DataFrame:
-    """(key, digest): a page's records as a multiset, by sums of digest parts weighted with copies."""
-    part = lambda k: F.sum(F.conv(F.substring("record_sha256", 16 * k + 1, 15), 16, 10).cast("decimal(20,0)") * F.col("copies")).cast("string")
-    return recs.groupBy(F.col("page_id").alias("key")).agg(F.sha2(F.concat_ws(",", F.sum("copies").cast("string"), *(part(k) for k in range(4))), 256).alias("digest"))
+def layout(pages: DataFrame) -> DataFrame:
+    """(file, offset, length, copies, record_sha256, altered_sha256, page_id): one row for each run of equal records of a page.
+
+    altered_sha256 is that of the record with its first byte damaged, for tests of an audit.
+    """
+    one = pages.select(F.col("page_id").cast("long").alias("page_id"), warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+    damaged = F.sha2(F.concat(F.lit("w"), F.substring("record", 2, 2**31 - 1)), 256)
+    one = one.select("page_id", F.sha2("record", 256).alias("record_sha256"), damaged.alias("altered_sha256"), F.octet_length("record").cast("long").alias("length"))
+    runs = one.groupBy("page_id", "record_sha256").agg(F.first("altered_sha256").alias("altered_sha256"), F.first("length").alias("length"), F.count("*").alias("copies"))
+    # ids as keys without nulls: the null id is lower than all others
+    runs = saved(runs.withColumn("id", F.coalesce("page_id", F.lit(NO_ID))).withColumn("slice", F.substring("record_sha256", 1, 2)), "runs")
+    size, zero = F.col("length") * F.col("copies"), F.lit(0).cast("long")
+    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    file = F.when(F.col("id") == NO_ID, NO_FILE).otherwise(F.shiftright("id", FILE_BITS))
+    slices = runs.groupBy("id", "slice").agg(F.sum(size).alias("bytes"))
+    ids = slices.groupBy("id").agg(F.sum("bytes").alias("bytes")).withColumn("file", file)
+    ids = ids.select("id", "file", F.coalesce(F.sum("bytes").over(before(W.partitionBy("file").orderBy("id"))), zero).alias("id_at"))
+    slices = slices.select("id", "slice", F.coalesce(F.sum("bytes").over(before(W.partitionBy("id").orderBy("slice"))), zero).alias("slice_at"))
+    runs = runs.withColumn("at", F.coalesce(F.sum(size).over(before(W.partitionBy("id", "slice").orderBy("record_sha256"))), zero))
+    placed = runs.join(slices, ["id", "slice"]).join(ids, "id")
+    return placed.select("file", (F.col("id_at") + F.col("slice_at") + F.col("at")).alias("offset"), "length", "copies", "record_sha256", "altered_sha256", "page_id")
+
+
+def _joined(digest: Column) -> Column:
+    """One digest of children (place, text) in order of place."""
+    return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("place"), digest.alias("text")))), lambda c: F.concat_ws(":", c["place"].cast("string"), c["text"])), ","), 256)
 
 
-def parents(nodes: DataFrame) -> DataFrame:
-    """The level above: digests of up to FANOUT children in order of their keys."""
-    up = F.floor(F.col("key") / FANOUT).cast("long")
-    children = F.array_sort(F.collect_list(F.struct(F.col("key"), F.col("digest"))))
-    return nodes.groupBy(up.alias("up")).agg(F.sha2(F.array_join(F.transform(children, lambda c: F.concat_ws(":", c["key"].cast("string"), c["digest"])), ","), 256).alias("digest")).withColumnRenamed("up", "key")
+def lowest(records: DataFrame) -> DataFrame:
+    """(file, range, digest) of the ranges of bytes that records start in. Runs that start at one place are told apart by their digest."""
+    own = F.concat_ws(":", F.col("length").cast("string"), F.col("copies").cast("string"), F.col("record_sha256"))
+    return records.withColumn("place", F.col("offset")).groupBy("file", F.shiftright("offset", RANGE_BITS).alias("range")).agg(_joined(own).alias("digest"))
 
 
-def tree(recs: DataFrame, levels: int) -> list[DataFrame]:
-    """All levels, leaves first."""
-    out = [saved(leaves(recs), "leaves")]
-    for _ in range(levels):
-        out.append(saved(parents(out[-1]), "nodes"))
-    return out
+def parents(nodes: DataFrame, of_files: bool) -> DataFrame:
+    """The level above: of ranges within a file, or, where every file is one range, of files."""
+    place = "file" if of_files else "range"
+    up = F.shiftright(place, FANOUT_BITS)
+    keys = (up.alias("file"), F.lit(0).cast("long").alias("range")) if of_files else (F.col("file"), up.alias("range"))
+    return nodes.withColumn("place", F.col(place)).groupBy(*keys).agg(_joined(F.col("digest")).alias("digest"))
 
 
 def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Keys whose digests differ or that only one side has."""
-    a, b = a.select(F.col("key").alias("ka"), F.col("digest").alias("da")), b.select(F.col("key").alias("kb"), F.col("digest").alias("db"))
-    return a.join(b, a["ka"].eqNullSafe(b["kb"]), "full").where(~F.col("da").eqNullSafe(F.col("db"))).select(F.when(F.col("da").isNotNull(), F.col("ka")).otherwise(F.col("kb")).alias("key"))
+    """Nodes whose digests differ or that only one side has."""
+    both = a.withColumnRenamed("digest", "x").join(b.withColumnRenamed("digest", "y"), ["file", "range"], "full")
+    return both.where(~F.col("x").eqNullSafe(F.col("y"))).select("file", "range")
 
 
-def _below(nodes: DataFrame, wrong: DataFrame) -> DataFrame:
+def _below(nodes: DataFrame, wrong: DataFrame, of_files: bool) -> DataFrame:
     """The children of mismatching nodes."""
-    up = F.floor(F.col("key") / FANOUT).cast("long")
-    return nodes.join(wrong.select(F.col("key").alias("up")), up.eqNullSafe(F.col("up")), "left_semi")
+    if of_files:
+        up = nodes.withColumn("up", F.shiftright("file", FANOUT_BITS))
+        return up.join(wrong.select(F.col("file").alias("up")), "up", "left_semi").drop("up")
+    up = nodes.withColumn("up", F.shiftright("range", FANOUT_BITS))
+    return up.join(wrong.select("file", F.col("range").alias("up")), ["file", "up"], "left_semi").drop("up")
 
 
 def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
-    """Damaged records of two page tables: page_id, record_sha256, status, copies on both sides, file, offset and length.
+    """Places where two replicas (file, offset, length, copies, record_sha256, page_id) differ.
 
-    status: `missing` (fewer copies in the replica) or `extra` (more). An altered record shows as both, under its two digests.
-    The offset is that of the first copy in the primary's file; extra records have none.
+    file, offset, page_id, status, primary_sha256, replica_sha256, length, primary_copies, replica_copies: `missing` where the
+    replica has no record, `extra` where the primary has none, `altered` where another one stands. Runs that start at one place are compared by digest.
     """
-    a, b = saved(records(primary), "primary"), saved(records(replica), "replica")
-    reach = a.select("page_id").union(b.select("page_id")).agg(F.min("page_id"), F.max("page_id")).first()
-    levels, low, high = 0, reach[0] or 0, reach[1] or 0
-    while low != high and levels < 12:
-        low, high, levels = low // FANOUT, high // FANOUT, levels + 1
-    left, right = tree(a, levels), tree(b, levels)
-    # at the top are one node and perhaps that of the null page
-    wrong = saved(_differing(left[-1], right[-1]), "wrong")
-    for level in range(levels - 1, -1, -1):
-        if not wrong.take(1):
-            break
-        wrong = saved(_differing(_below(left[level], wrong), _below(right[level], wrong)), "wrong")
-    ours = a.join(wrong, a["page_id"].eqNullSafe(wrong["key"]), "left_semi").select(F.col("page_id").alias("pa"), F.col("record_sha256").alias("ra"), F.col("length").alias("la"), F.col("copies").alias("ca"))
-    theirs = b.join(wrong, b["page_id"].eqNullSafe(wrong["key"]), "left_semi").select(F.col("page_id").alias("pb"), F.col("record_sha256").alias("rb"), F.col("length").alias("lb"), F.col("copies").alias("cb"))
-    both = ours.join(theirs, F.col("pa").eqNullSafe(F.col("pb")) & (F.col("ra") == F.col("rb")), "full")
+    with scratch(primary.sparkSession) as result:
+        a, b = saved(primary, "primary"), saved(replica, "replica")
+        reach = a.select("file", "offset").union(b.select("file", "offset")).agg(F.max("offset"), F.min("file"), F.max("file")).first()
+        top, low, high = (reach[0] or 0) >> RANGE_BITS, reach[1] or 0, reach[2] or 0
+        trees = [(saved(lowest(a), "ranges"), saved(lowest(b), "ranges"))]
+        kinds: list[bool] = []
+        # from one range a file on, files are combined, until those left are 0 and -1 (or one other, the root)
+        while top > 0 or (low != high and not (low >= -1 and high <= 0)):
+            kinds.append(top == 0)
+            trees.append(tuple(saved(parents(side, kinds[-1]), "nodes") for side in trees[-1]))
+            if top == 0:
+                low, high = low >> FANOUT_BITS, high >> FANOUT_BITS
+            top >>= FANOUT_BITS
+        wrong = saved(_differing(*trees.pop()), "wrong")
+        for level in reversed(kinds):
+            if not wrong.take(1):
+                break
+            wrong = saved(_differing(*(_below(side, wrong, level) for side in trees.pop())), "wrong")
+        inside = lambda side: side.withColumn("range", F.shiftright("offset", RANGE_BITS)).join(wrong, ["file", "range"], "left_semi")
+        return result(_compared(inside(a), inside(b)), "audit")
+
+
+def _compared(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Differences of two sets of records. Where one place has one run on either side they are compared as such, else by digest."""
+    place = ["file", "offset"]
+    a = a.select(*place, F.col("page_id").alias("pa"), F.col("record_sha256").alias("ra"), F.col("length").alias("la"), F.col("copies").alias("ca"))
+    b = b.select(*place, F.col("page_id").alias("pb"), F.col("record_sha256").alias("rb"), F.col("length").alias("lb"), F.col("copies").alias("cb"))
+    # equal runs go; of what is left, runs of one place meet in the order of their digests
+    left = a.join(b.select(*place, F.col("rb").alias("ra"), F.col("lb").alias("la"), F.col("cb").alias("ca")), [*place, "ra", "la", "ca"], "left_anti")
+    right = b.join(a.select(*place, F.col("ra").alias("rb"), F.col("la").alias("lb"), F.col("ca").alias("cb")), [*place, "rb", "lb", "cb"], "left_anti")
+    left = left.withColumn("nth", F.row_number().over(W.partitionBy(*place).orderBy("ra", "ca")))
+    right = right.withColumn("nth", F.row_number().over(W.partitionBy(*place).orderBy("rb", "cb")))
+    both = left.join(right, [*place, "nth"], "full")
+    status = F.when(F.col("ra").isNull(), "extra").when(F.col("rb").isNull(), "missing").otherwise("altered")
     zero = F.lit(0).cast("long")
-    both = both.select(F.when(F.col("ra").isNotNull(), F.col("pa")).otherwise(F.col("pb")).alias("page_id"), F.coalesce("ra", "rb").alias("record_sha256"), F.coalesce("la", "lb").alias("length"), F.coalesce("ca", zero).alias("primary_copies"), F.coalesce("cb", zero).alias("replica_copies")).where("primary_copies <> replica_copies")
-    found = both.withColumn("status", F.when(F.col("primary_copies") > F.col("replica_copies"), F.lit("missing")).otherwise(F.lit("extra")))
-    offs = offsets(a, wrong)
-    placed = found.join(offs.select(F.col("page_id").alias("pid"), F.col("record_sha256").alias("sha"), "file", "offset"), F.col("page_id").eqNullSafe(F.col("pid")) & (F.col("record_sha256") == F.col("sha")), "left")
-    return placed.select("page_id", "record_sha256", "status", "primary_copies", "replica_copies", "file", "offset", "length")
+    return both.select(F.nullif("file", F.lit(NO_FILE)).alias("file"), "offset", F.when(F.col("ra").isNull(), F.col("pb")).otherwise(F.col("pa")).alias("page_id"), status.alias("status"), F.col("ra").alias("primary_sha256"), F.col("rb").alias("replica_sha256"), F.coalesce("la", "lb").alias("length"), F.coalesce("ca", zero).alias("primary_copies"), F.coalesce("cb", zero).alias("replica_copies"))
 
 
-def offsets(recs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(page_id, record_sha256, file, offset) of the records of wanted pages (key).
+def damaged(records: DataFrame) -> DataFrame:
+    """A replica of a layout with known damage, for the query and its SQL; all other records stay where they are.
 
-    Three levels of running sums: pages of a file (FILE_PAGES at most), slices of a page by digest (256), records of a slice.
+    By remainders of page_id: altered in place, lost (a hole stays), stored again behind the file's end, or swapped with the next id's record
+    behind it.
     """
+    left = F.coalesce(F.pmod("page_id", F.lit(DAMAGED)), F.lit(0))
     size = F.col("length") * F.col("copies")
-    file = F.floor(F.col("page_id") / FILE_PAGES)
-    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    per_page = recs.groupBy("page_id").agg(F.sum(size).alias("bytes")).withColumn("file", file)
-    per_page = per_page.withColumn("page_at", F.coalesce(F.sum("bytes").over(before(W.partitionBy("file").orderBy("page_id"))), zero)).drop("bytes")
-    per_page = per_page.join(wanted, per_page["page_id"].eqNullSafe(wanted["key"]), "left_semi")
-    own = recs.join(wanted, recs["page_id"].eqNullSafe(wanted["key"]), "left_semi").withColumn("slice", F.substring("record_sha256", 1, 2))
-    slices = own.groupBy("page_id", "slice").agg(F.sum(size).alias("bytes"))
-    slices = slices.select(F.col("page_id").alias("sp"), F.col("slice").alias("ss"), F.coalesce(F.sum("bytes").over(before(W.partitionBy("page_id").orderBy("slice"))), zero).alias("slice_at"))
-    own = own.withColumn("record_at", F.coalesce(F.sum(size).over(before(W.partitionBy("page_id", "slice").orderBy("record_sha256"))), zero))
-    own = own.join(slices, F.col("page_id").eqNullSafe(F.col("sp")) & (F.col("slice") == F.col("ss")))
-    pages = per_page.select(F.col("page_id").alias("pp"), "file", "page_at")
-    return own.join(pages, F.col("page_id").eqNullSafe(F.col("pp"))).select("page_id", "record_sha256", "file", (F.col("page_at") + F.col("slice_at") + F.col("record_at")).alias("offset"))
-
-
-def damaged(pages: DataFrame) -> DataFrame:
-    """A replica with known damage, for the query and its SQL: some records altered, lost, or doubled; all others intact."""
-    left = F.pmod(F.col("page_id"), F.lit(DAMAGED))
-    whole = pages.select("page_id", "url", "html").withColumn("left", F.coalesce(left, F.lit(0)))
-    kept = whole.where(F.col("left") != LOST).withColumn("html", F.when(F.col("left") == ALTERED, F.concat(F.coalesce("html", F.lit("")), F.lit("~"))).otherwise(F.col("html")))
-    copies = F.when(F.col("left") == DOUBLED, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return kept.withColumn("copy", F.explode(copies)).select("page_id", "url", "html")
+    rows = records.withColumn("left", left).withColumn("record_sha256", F.when(left == ALTERED, F.col("altered_sha256")).otherwise(F.col("record_sha256")))
+    ends = records.groupBy("file").agg(F.max(F.col("offset") + size).alias("end"))
+    at = W.partitionBy("file").orderBy("offset").rowsBetween(W.unboundedPreceding, -1)
+    again = rows.where(F.col("left") == DOUBLED).withColumn("shift", F.coalesce(F.sum(size).over(at), F.lit(0))).join(ends, "file")
+    again = again.withColumn("offset", F.col("end") + F.col("shift")).drop("end", "shift")
+    x = rows.where(F.col("left") == SWAPPED).select("file", F.col("offset").alias("x_at"), size.alias("x_size"), F.col("page_id").alias("x_id"))
+    y = rows.where(F.col("left") == SWAPPED + 1).select(F.col("file").alias("y_file"), F.col("offset").alias("y_at"), size.alias("y_size"), F.col("page_id").alias("y_id"))
+    pairs = x.join(y, (F.col("file") == F.col("y_file")) & (F.col("x_id") + 1 == F.col("y_id")) & (F.col("x_at") + F.col("x_size") == F.col("y_at")))
+    moves = pairs.select("file", F.explode(F.array(F.struct(F.col("x_at").alias("offset"), (F.col("x_at") + F.col("y_size")).alias("to")), F.struct(F.col("y_at").alias("offset"), F.col("x_at").alias("to")))).alias("m")).select("file", "m.*")
+    stay = rows.where(F.col("left") != LOST).join(moves, ["file", "offset"], "left").withColumn("offset", F.coalesce("to", "offset")).drop("to")
+    return stay.unionByName(again).select(*records.columns)
 
 
 def op1_merkle_audit(pages: DataFrame) -> DataFrame:
-    return audit(pages, damaged(pages))
+    with scratch(pages.sparkSession) as result:
+        primary = saved(layout(pages), "layout")
+        return result(audit(primary, damaged(primary)), "merkle-audit")
 
 
+_CRLF = "chr(13) || chr(10)"
+_HEAD = f" || {_CRLF} || ".join(("'WARC/1.0'", "'WARC-Type: resource'", "'WARC-Record-ID: <urn:uuid:' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) || '>'", f"'WARC-Date: {WARC_DATE}'", "'WARC-Target-URI: ' || url", "'Content-Type: text/html'", "'Content-Length: ' || CAST(strlen(html) AS VARCHAR)"))
 SQL = f"""
 WITH base AS (
-  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages
-), sides AS (
-  SELECT page_id, url, html, 1 AS p, 0 AS r FROM base
-  UNION ALL
-  SELECT page_id, url, CASE WHEN page_id % {DAMAGED} = {ALTERED} THEN html || '~' ELSE html END, 0,
-         CASE WHEN page_id % {DAMAGED} = {DOUBLED} THEN 2 ELSE 1 END
-  FROM base WHERE page_id % {DAMAGED} <> {LOST}
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, md5(coalesce(CAST(page_id AS VARCHAR), '') || chr(10) || coalesce(url, '')) AS h FROM pages
 ), recs AS (
-  SELECT page_id, p, r, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
-    || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen(html) AS VARCHAR) || chr(13) || chr(10) || chr(13) || chr(10)
-    || html || chr(13) || chr(10) || chr(13) || chr(10) AS record
-  FROM sides
-), agg AS (
-  SELECT page_id, sha256(record) AS record_sha256, max(strlen(record)) AS length, sum(p) AS pc, sum(r) AS rc
+  SELECT page_id, {_HEAD} || {_CRLF} || {_CRLF} || html || {_CRLF} || {_CRLF} AS record FROM base
+), runs AS (
+  SELECT page_id, CAST(floor(page_id / {2**FILE_BITS}.0) AS BIGINT) AS file, coalesce(page_id % {DAMAGED}, 0) AS rest, sha256(record) AS sha, max(sha256('w' || substr(record, 2))) AS bad, CAST(max(strlen(record)) AS BIGINT) AS length, count(*) AS copies
   FROM recs GROUP BY page_id, sha256(record)
 ), placed AS (
-  SELECT *, CAST(floor(page_id / {FILE_PAGES}.0) AS BIGINT) AS f,
-    coalesce(sum(length * pc) OVER (PARTITION BY floor(page_id / {FILE_PAGES}.0) ORDER BY page_id, record_sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
-  FROM agg
+  SELECT *, length * copies AS size, CAST(coalesce(sum(length * copies) OVER (PARTITION BY file ORDER BY page_id, sha ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos FROM runs
+), swaps AS (
+  SELECT x.file, x.pos AS x_at, y.pos AS y_at, y.size AS y_size FROM placed x JOIN placed y ON x.file = y.file AND x.page_id + 1 = y.page_id AND x.pos + x.size = y.pos WHERE x.rest = {SWAPPED} AND y.rest = {SWAPPED + 1}
+), replica AS (
+  SELECT p.file, coalesce(s.x_at + s.y_size, t.x_at, p.pos) AS pos, page_id, CASE WHEN rest = {ALTERED} THEN bad ELSE sha END AS sha, length, copies
+  FROM placed p LEFT JOIN swaps s ON p.file = s.file AND p.pos = s.x_at LEFT JOIN swaps t ON p.file = t.file AND p.pos = t.y_at WHERE rest <> {LOST}
+  UNION ALL
+  SELECT file, fin + CAST(coalesce(sum(size) OVER (PARTITION BY file ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT), page_id, sha, length, copies
+  FROM (SELECT *, max(pos + size) OVER (PARTITION BY file) AS fin FROM placed) WHERE rest = {DOUBLED}
 )
-SELECT page_id, record_sha256, CASE WHEN pc > rc THEN 'missing' ELSE 'extra' END AS status,
-  CAST(pc AS BIGINT) AS primary_copies, CAST(rc AS BIGINT) AS replica_copies,
-  CASE WHEN pc > 0 THEN f END AS file, CASE WHEN pc > 0 THEN CAST(pos AS BIGINT) END AS "offset", CAST(length AS BIGINT) AS length
-FROM placed WHERE pc <> rc
+SELECT coalesce(p.file, r.file) AS file, coalesce(p.pos, r.pos) AS "offset", coalesce(p.page_id, r.page_id) AS page_id, CASE WHEN p.sha IS NULL THEN 'extra' WHEN r.sha IS NULL THEN 'missing' ELSE 'altered' END AS status,
+  p.sha AS primary_sha256, r.sha AS replica_sha256, coalesce(p.length, r.length) AS length, coalesce(p.copies, 0) AS primary_copies, coalesce(r.copies, 0) AS replica_copies
+FROM placed p FULL JOIN replica r ON p.file IS NOT DISTINCT FROM r.file AND p.pos = r.pos
+WHERE p.sha IS DISTINCT FROM r.sha OR p.copies IS DISTINCT FROM r.copies
 """

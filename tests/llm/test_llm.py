@@ -86,20 +86,68 @@ def test_spans_and_statistics():
     assert textstats.repeated_lines(b"x\ny\nx\n\n\n \n \nx") == 2
 
 
+def brute_layout(rows):
+    """(file, offset) -> (sha, length, copies, page_id) for (page_id, url, html) rows, by the definition."""
+    runs = Counter()
+    for i, url, html in rows:
+        url, html = url or "", html or ""
+        h = hashlib.md5(f"{'' if i is None else i}\n{url}".encode()).hexdigest()
+        uuid = "-".join((h[:8], h[8:12], h[12:16], h[16:20], h[20:]))
+        head = ["WARC/1.0", "WARC-Type: resource", f"WARC-Record-ID: <urn:uuid:{uuid}>", f"WARC-Date: {fixity.WARC_DATE}", f"WARC-Target-URI: {url}", "Content-Type: text/html", f"Content-Length: {len(html.encode())}"]
+        record = ("\r\n".join(head) + "\r\n\r\n" + html + "\r\n\r\n").encode()
+        runs[(i is not None, i or 0, hashlib.sha256(record).hexdigest(), len(record))] += 1
+    out, at = {}, Counter()
+    for (known, i, sha, n), c in sorted(runs.items()):
+        file = i >> fixity.FILE_BITS if known else None
+        out[(file, at[file])] = (sha, n, c, i if known else None)
+        at[file] += n * c
+    return out
+
+
+def brute_audit(a, b):
+    out = []
+    for place in a.keys() | b.keys():
+        x, y = a.get(place), b.get(place)
+        if (x or y)[:3] != (y or x)[:3] or not x or not y:
+            status = "extra" if not x else "missing" if not y else "altered"
+            out.append((*place, (x or y)[3], status, x and x[0], y and y[0], (x or y)[1], x[2] if x else 0, y[2] if y else 0))
+    return Counter(out)
+
+
 def test_fixity(spark):
     r = random.Random(1)
-    rows = [(i, f"http://x/{i}", make_text(r, 5)) for i in range(300)] + [(7, "http://x/7", "again"), (8, "u", "dup"), (8, "u", "dup"), (None, None, None), (10**12, "far", "")]
+    rows = [(i, f"http://x/{i}", make_text(r, 5)) for i in range(300)] + [(7, "http://x/7", "again"), (8, "u", "dup"), (8, "u", "dup"), (None, None, None), (10**12, "far", "é" * 300_000), (-5, "minus", "")]
+    rows += [(50, "hot", f"{k}") for k in range(400)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("file", F.lit("clash"))
-    assert fixity.audit(pages, pages.repartition(7)).count() == 0
-    bad = pages.where("page_id is null or page_id <> 41").withColumn("html", F.when(F.col("page_id") == 7, "other").otherwise(F.col("html")))
-    found = sorted((x["page_id"], x["status"], x["primary_copies"], x["replica_copies"]) for x in fixity.audit(pages, bad).collect())
-    # both records of page 7 become the same one, unless their urls differ
-    assert found == sorted([(41, "missing", 1, 0), (7, "missing", 1, 0), (7, "missing", 1, 0), (7, "extra", 0, 2)])
-    assert fixity.audit(pages, pages.where("page_id = 8").limit(1)).where("status = 'missing'").agg(F.sum(F.col("primary_copies") - F.col("replica_copies"))).first()[0] == len(rows) - 1
-    none = pages.where("page_id = -5")
-    assert fixity.audit(none, none).count() == 0 and fixity.audit(none, pages.limit(3)).where("status = 'extra'").count() >= 1
-    place = {x["page_id"]: (x["offset"], x["length"]) for x in fixity.audit(pages, none).where("page_id in (0, 1, 2)").collect()}
-    assert place[0][0] == 0 and place[1][0] == place[0][1] and place[2][0] == place[0][1] + place[1][1]
+    want = brute_layout(rows)
+    lay = fixity.layout(pages)
+    # the null id's file has a number inside
+    got = {(None if x["file"] == fixity.NO_FILE else x["file"], x["offset"]): (x["record_sha256"], x["length"], x["copies"], x["page_id"]) for x in lay.collect()}
+    assert got == want
+    place = {v[3]: k for k, v in want.items()}
+    audited = lambda a, b: Counter(tuple(x) for x in fixity.audit(a, b).collect())
+    assert not audited(lay, fixity.layout(pages.repartition(7)))
+    # one damaged byte, one lost record, two of one size swapped, one moved: all found, each at its place
+    frame = lambda d: spark.createDataFrame([(fixity.NO_FILE if f is None else f, o, n, c, sha, "", i) for (f, o), (sha, n, c, i) in d.items()], lay.schema)
+    bad = dict(want)
+    x, y, z, m = (place[i] for i in (20, 30, 31, 40))
+    bad[x] = ("0" * 64, *want[x][1:])
+    bad[y], bad[z] = want[z], want[y]
+    bad[(m[0], 10**9)] = bad.pop(m)
+    del bad[place[41]], bad[place[None]]
+    found = audited(lay, frame(bad))
+    assert found == brute_audit(want, bad) and len(found) == 7
+    assert audited(frame(bad), lay) == brute_audit(bad, want)
+    assert audited(lay, frame({k: v for k, v in bad.items() if k[0] == 0})) == brute_audit(want, {k: v for k, v in bad.items() if k[0] == 0})
+    # another number of copies
+    more = want | {place[8]: (*want[place[8]][:2], 5, 8)}
+    assert audited(lay, frame(more)) == brute_audit(want, more)
+    none = lay.where("offset < 0")
+    assert not audited(none, none) and sum(audited(lay, none).values()) == len(want) == sum(audited(none, lay).values())
+    out = Counter((x["status"], x["page_id"]) for x in fixity.op1_merkle_audit(pages).collect())
+    assert out[("altered", 13)] == 1 and out[("missing", 41)] == 1 and out[("extra", 73)] == 1 and sum(n for (_, i), n in out.items() if i in (29, 30)) >= 2
+    assert not any(i in (None, 7, 8, 50, -5) for _, i in out)
+    assert fixity.op1_merkle_audit(pages.where("page_id = -77")).count() == 0
 
 
 def signed_long_hash(i):
