@@ -7,9 +7,18 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: File extensions that make a token look like a path (fixed values of the rule).
-EXTENSIONS = "py|js|ts|go|rs|java|c|h|cpp|md|txt|json|yaml|yml|toml|html|css|sh|sql|xml|csv"
-PATH_LIKE = rf"[\p{{L}}\p{{N}}_./-]*[\p{{L}}\p{{N}}_-]+\.(?:{EXTENSIONS})"
+#: Endings that make a token without a folder look like a path (fixed values: the source languages' endings, language by language, then those
+#: of other text files).
+EXTENSIONS = """
+cls trigger apex sh bash zsh ksh bats c h cs csx csproj sln cairo circom clj cljs cljc edn lisp lsp cl asd cpp cc cxx hpp hh hxx dart dockerfile
+ex exs go mod sum groovy gradle gvy hack hhi tf tfvars hcl html htm java js mjs cjs jsx json jsonnet libsonnet jl kt kts lua rockspec move ml mli opam
+pl pm t psgi cgi fcgi PL php phtml ps1 psm1 psd1 promql rules proto py pyi ql qll r R Rmd rb rake gemspec rs scala sc sbt scm ss sld sol swift
+ts mts cts tsx vue xml xsd xsl plist svg yaml yml
+sql css scss less svelte md rst toml lock cfg ini txt
+""".split()
+_W = r"\p{L}\p{N}_"
+#: A path-like token (a fixed value of the rule): with a folder any ending, without one a known ending, and no part of a longer token.
+PATH_LIKE = rf"(?<![{_W}/.-])((?:[{_W}.-]+/)+[{_W}.-]+\.[{_W}]+|[{_W}-]+\.(?:{'|'.join(EXTENSIONS)}))(?![{_W}/])"
 WORDS = r"[\p{L}\p{N}_]+"
 
 
@@ -25,15 +34,34 @@ def identifier_tokens(name: Column, shortest: int = 3) -> Column:
     return F.array_union(parts, F.array(F.lower(name)))
 
 
-def mentions_identifier(text: Column, name: Column) -> Column:
-    return F.arrays_overlap(words(text), identifier_tokens(name))
+def path_mentions(text: Column) -> Column:
+    """Path-like tokens in order, without dots and slashes at their ends."""
+    return F.transform(F.regexp_extract_all(text, F.lit(PATH_LIKE), 1), lambda p: F.regexp_replace(p, r"^[./]+|[./]+$", ""))
+
+
+def stem(path: Column) -> Column:
+    """A file's name up to its first dot."""
+    return F.substring_index(F.substring_index(path, "/", -1), ".", 1)
+
+
+def mentions_identifier(text: Column, name: Column, file: Column | None = None) -> Column:
+    """A word of the text is a part of the name or of its file's stem, or either as a whole."""
+    banned = identifier_tokens(name)
+    if file is not None:
+        banned = F.array_union(banned, identifier_tokens(stem(file)))
+    return F.arrays_overlap(F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9_]+)"), 1), banned)
+
+
+def tokens(text: Column) -> Column:
+    """Runs without white space."""
+    return F.filter(F.split(text, r"(?U)\s+"), lambda t: t != "")
 
 
 def is_prose(text: Column, least: int = 3, share: float = 0.8) -> Column:
     """At least `least` tokens, most of them wordy, and none of the punctuation of code."""
-    tokens = F.filter(F.split(F.trim(text), r"\s+"), lambda t: t != "")
-    wordy = F.filter(tokens, lambda t: t.rlike(r"^[\p{L}'’-]+[.,;:!?]?$"))
-    return (F.size(tokens) >= least) & (F.size(wordy) >= F.size(tokens) * F.lit(share)) & ~text.rlike(r"[{}<>=\[\]|\\]|\(\)|;;")
+    every = tokens(text)
+    wordy = F.filter(every, lambda t: t.rlike(r"^[A-Za-z][A-Za-z'’-]*[.,;:!?]?$"))
+    return (F.size(every) >= least) & (F.size(wordy) >= F.size(every) * F.lit(share)) & ~text.rlike(r"[{}();=<>\[\]]")
 
 
 def first_sentence(text: Column) -> Column:
@@ -41,8 +69,30 @@ def first_sentence(text: Column) -> Column:
     return F.element_at(F.split(text, r"(?<=[.!?])\s", 2), 1)
 
 
-def without_prefix(text: Column, prefix: str) -> Column:
-    return F.when(text.startswith(prefix), F.substring(text, len(prefix) + 1, 2**31 - 1)).otherwise(text)
+def without_prefix(text: Column, prefix: Column) -> Column:
+    """Text without a leading prefix and the white space behind it."""
+    rest = F.regexp_replace(F.substring(text, F.char_length(prefix) + 1, F.lit(2**31 - 1)), r"^(?U)\s+", "")
+    return F.when(F.startswith(text, prefix), rest).otherwise(text)
+
+
+def path_parts(path: Column) -> Column:
+    """Folders and name of a path; empty and `.` parts don't count."""
+    return F.filter(F.split(path, "/"), lambda p: ~p.isin("", "."))
+
+
+def lies_under(parts: Column, root: Column) -> Column:
+    """Path parts that start with a root's."""
+    return F.slice(parts, F.lit(1), F.greatest(F.size(root), F.lit(0))) == root
+
+
+def authorized(path: Column, project: Column, roots: Column) -> Column:
+    """A path that stays in the project and lies at or under one of the allowed roots (an array, relative to the project). An absolute path
+    counts by its place in the project; one with `..` below it never does."""
+    parts, home = path_parts(path), path_parts(project)
+    absolute = F.startswith(path, F.lit("/"))
+    inner = F.when(absolute, F.slice(parts, F.size(home) + 1, F.greatest(F.size(parts), F.lit(1)))).otherwise(parts)
+    inside = ~absolute | lies_under(parts, home)
+    return inside & ~F.array_contains(inner, "..") & F.exists(roots, lambda r: lies_under(inner, path_parts(r)))
 
 
 def basename(path: Column) -> Column:

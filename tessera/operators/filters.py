@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import closed_draw
-from ..functions.text import PATH_LIKE, basename, first_sentence, is_prose, names_pattern, without_prefix
+from ..functions.text import authorized, basename, dirname, first_sentence, is_prose, mentions_identifier, names_pattern, parents, path_mentions, tokens, without_prefix
 
 
 def length_gate(df: DataFrame, text: str, low: int = 12, high: int = 2400) -> DataFrame:
@@ -23,20 +23,31 @@ def first_reason(*rules: tuple[Column, str]) -> Column:
     return out
 
 
-def path_gate(prompts: DataFrame, files: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, mentions, all_known): a prompt passes if every path-like token is a known path, basename or path suffix."""
-    found = prompts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"({PATH_LIKE})"), 1))).alias("token"))
+def path_gate(prompts: DataFrame, files: DataFrame, key: str, text: str, new_files: bool = False) -> DataFrame:
+    """(key, mentions, all_known): a prompt passes if every path-like token is a known path, basename or path suffix, or, with
+    `new_files`, a file to create at the top or in a folder there is. `files` has a column path."""
+    found = prompts.select(key, F.explode(F.array_distinct(path_mentions(F.col(text)))).alias("token"))
     parts = F.split("path", "/")
     known = files.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "/"))).alias("token")).distinct()
-    hits = found.join(known.withColumn("known", F.lit(True)), "token", "left").groupBy(key).agg(F.count("*").alias("mentions"), F.bool_and(F.coalesce("known", F.lit(False))).alias("ok"))
+    hits = found.join(known.withColumn("known", F.lit(True)), "token", "left")
+    ok = F.coalesce("known", F.lit(False))
+    if new_files:
+        folders = files.where(F.size(parts) > 1).select(F.explode(parents(F.col("path"))).alias("folder")).distinct().withColumn("there", F.lit(True))
+        hits = hits.withColumn("folder", dirname(F.col("token"))).join(folders, "folder", "left")
+        ok = ok | ~F.col("token").contains("/") | F.coalesce("there", F.lit(False))
+    hits = hits.groupBy(key).agg(F.count("*").alias("mentions"), F.bool_and(ok).alias("ok"))
     return prompts.select(key).join(hits, key, "left").select(key, F.coalesce("mentions", F.lit(0)).alias("mentions"), F.coalesce("ok", F.lit(True)).alias("all_known"))
 
 
-def doc_pairs(units: DataFrame, key: str, doc: str, least: int = 6) -> DataFrame:
-    """(key, query): the first sentence of a doc text, where it is prose of at least `least` words."""
-    query = first_sentence(without_prefix(F.trim(F.col(doc)), "r"))
-    out = units.select(key, query.alias("query"))
-    return out.where(F.col("query").isNotNull() & is_prose(F.col("query")) & (F.size(F.split("query", r"\s+")) >= least))
+def doc_pairs(units: DataFrame, least: int = 6, words: int = 3) -> DataFrame:
+    """Requests from the leading comments of units (repo, file, line, symbol, doc): the comment's first sentence without the unit's name, where it
+    reads as prose of at least `least` tokens and names neither the unit nor its file, with a query of its first longer words."""
+    doc = F.regexp_replace(F.col("doc"), r"^(?U)\s+|(?U)\s+$", "")
+    task = without_prefix(first_sentence(doc), F.col("symbol"))
+    out = units.where(doc != "").withColumn("task", task)
+    out = out.where(is_prose(F.col("task")) & (F.size(tokens(F.col("task"))) >= least) & ~mentions_identifier(F.col("task"), F.col("symbol"), F.col("file")))
+    longer = F.filter(F.regexp_extract_all(F.lower("task"), F.lit("([a-z][a-z0-9]+)"), 1), lambda w: F.length(w) > 3)
+    return out.select("repo", "file", "line", "symbol", "task", F.array_join(F.slice(longer, 1, words), " ").alias("query"), F.lit("en").alias("lang"), F.lit("docs").alias("source"))
 
 
 def naming(texts: DataFrame, text: str, names: list[str]) -> DataFrame:
@@ -74,11 +85,34 @@ def item_states(decisions: DataFrame, item: str) -> DataFrame:
     return decisions.groupBy(item).agg(state.alias("state"))
 
 
-def reference_appended(prompts: DataFrame, text: str, drawn: Column, seed, key: Column, share: float) -> DataFrame:
-    """A seeded share of prompts gets a file reference: the first path it mentions, else the drawn one."""
-    mentioned = F.nullif(F.regexp_extract(text, f"({PATH_LIKE})", 1), F.lit(""))
-    chosen = F.coalesce(mentioned, drawn)
-    return prompts.withColumn("reference", F.when(closed_draw(seed, key) < share, chosen))
+def reference_appended(prompts: DataFrame, files: DataFrame, key: str, text: str, drawn: Column, seed, share: float) -> DataFrame:
+    """Adds `reference` to a seeded share of prompts, null for the rest: the first file (`path`) that the prompt mentions by path or, else, by
+    basename, else the drawn one."""
+    chosen = prompts.where(closed_draw(seed, F.col(key)) < share)
+    found = chosen.select(key, F.posexplode(path_mentions(F.col(text))).alias("at", "token"))
+    # of files with one basename the last by path counts
+    names = files.select("path", basename(F.col("path")).alias("token")).groupBy("token").agg(F.max("path").alias("named"))
+    paths = files.select(F.col("path").alias("token"), F.col("path").alias("exact")).distinct()
+    hits = found.join(paths, "token", "left").join(names, "token", "left").withColumn("hit", F.coalesce("exact", "named")).where("hit is not null")
+    first = hits.groupBy(key).agg(F.min_by("hit", "at").alias("mentioned"))
+    picked = chosen.join(first, key, "left").select(key, F.coalesce(F.col("mentioned"), drawn).alias("reference"))
+    return prompts.join(picked, key, "left")
 
 
-__all__ = ["basename", "doc_pairs", "failed_bars", "failed_controls", "first_reason", "item_states", "length_gate", "mixed", "naming", "overlay", "path_gate", "reference_appended"]
+def of_partition(rows: DataFrame, partition: str, path: str = "meta.split") -> DataFrame:
+    """Rows whose nested metadata name the partition; rows without any don't."""
+    return rows.where(F.col(path) == partition)
+
+
+def effect_receipt(effects: DataFrame, sessions: DataFrame, submissions: DataFrame, by: str) -> DataFrame:
+    """(by, unauthorized, interventions): effects (by, session, path, project, roots) outside the allowed roots, and effects of sessions (by, session)
+    that aren't the task's plus the gap between submissions made and expected (by, made, expected)."""
+    known = sessions.select(by, "session").distinct().withColumn("known", F.lit(True))
+    judged = effects.join(known, [by, "session"], "left")
+    counted = judged.groupBy(by).agg(F.count_if(~authorized(F.col("path"), F.col("project"), F.col("roots"))).alias("unauthorized"), F.count_if(F.col("known").isNull()).alias("strange"))
+    out = submissions.select(by, F.abs(F.col("made") - F.col("expected")).alias("gap")).join(counted, by, "left")
+    zero = F.lit(0).cast("long")
+    return out.select(by, F.coalesce("unauthorized", zero).alias("unauthorized"), (F.col("gap") + F.coalesce("strange", zero)).alias("interventions"))
+
+
+__all__ = ["basename", "doc_pairs", "effect_receipt", "failed_bars", "failed_controls", "first_reason", "item_states", "length_gate", "mixed", "naming", "of_partition", "overlay", "path_gate", "reference_appended"]

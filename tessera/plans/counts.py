@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats
 from ..functions.hashing import position
-from ..operators import aggregates
+from ..operators import aggregates, filters
 from .registry import position_sql, query
 
 _PLACE = position_sql("split", "doc_id")
@@ -247,8 +247,8 @@ def teacher_attempts(t):
 SELECT count(*) FILTER (WHERE bad) AS families FROM (SELECT o_custkey, bool_or(o_orderstatus = 'P' AND o_totalprice > 400000) AS bad FROM orders GROUP BY 1)
 """)
 def unsettled_families(t):
-    g = t("orders").groupBy("o_custkey").agg(F.collect_list(F.struct("o_orderstatus", "o_totalprice")).alias("ops"))
-    return g.agg(F.count_if(F.exists("ops", lambda o: (o["o_orderstatus"] == "P") & (o["o_totalprice"] > 400000))).alias("families"))
+    bad = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 400000)
+    return t("orders").groupBy("o_custkey").agg(F.bool_or(bad).alias("bad")).agg(F.count_if("bad").alias("families"))
 
 
 @query("""
@@ -261,15 +261,18 @@ def merged_observations(t):
 
 
 @query("""
-SELECT user_id, count(*) FILTER (WHERE NOT (starts_with(path, '/work/a') OR starts_with(path, '/work/b'))) AS unauthorized, abs(count(*) - 60) AS gap
-FROM (SELECT user_id, CASE CAST(props->>'$.k' AS INTEGER) % 4 WHEN 0 THEN '/work/a/x' WHEN 1 THEN '/work/b/y' WHEN 2 THEN '/etc/z' ELSE '/work/c' END AS path FROM events) GROUP BY 1
+WITH k AS (SELECT user_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events),
+e AS (SELECT user_id, k % 3 AS session, k % 11 AS kind FROM k)
+SELECT user_id, count(*) FILTER (WHERE kind NOT IN (0, 1, 2, 3, 4)) AS unauthorized, abs(count(*) - 60) + count(*) FILTER (WHERE session = 2) AS interventions FROM e GROUP BY 1
 """)
 def unauthorized_effects(t):
-    k = F.get_json_object("props", "$.k").cast("int") % 4
-    path = F.when(k == 0, "/work/a/x").when(k == 1, "/work/b/y").when(k == 2, "/etc/z").otherwise("/work/c")
-    allowed = F.array(F.lit("/work/a"), F.lit("/work/b"))
-    e = t("events").select("user_id", path.alias("path"))
-    return e.groupBy("user_id").agg(F.count_if(~F.exists(allowed, lambda a: F.startswith(F.col("path"), a))).alias("unauthorized"), F.abs(F.count("*") - 60).alias("gap"))
+    # the first five stay under an allowed root; the rest leave the project or the roots, or only share their first letters
+    paths = ("a/x", "/work/p/b/c/y", "./a//z", "a", "/work/p/./b/c", "ab/x", "a/../b/c/x", "/work/pa/a/x", "/etc/a", "b/cc", "b")
+    k = F.get_json_object("props", "$.k").cast("int")
+    e = t("events").select("user_id", (k % 3).alias("session"), F.element_at(F.array(*map(F.lit, paths)), k % 11 + 1).alias("path"), F.lit("/work/p").alias("project"), F.array(F.lit("a"), F.lit("b/c/")).alias("roots"))
+    users = t("events").groupBy("user_id").agg(F.count("*").alias("made"), F.lit(60).alias("expected"))
+    sessions = users.select("user_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("session"))
+    return filters.effect_receipt(e, sessions, users, "user_id")
 
 
 @query("SELECT o_custkey, CAST(60 * (1.5::DOUBLE * count(*) * 60 + 30) AS BIGINT) AS seconds FROM orders GROUP BY 1")

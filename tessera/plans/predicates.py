@@ -14,21 +14,50 @@ def length_gate(t):
     return filters.length_gate(t("documents"), "text").select("doc_id", F.length("text").cast("bigint").alias("n"))
 
 
-@query("""
-WITH prompts AS (SELECT page_id AS id, 'see ' || regexp_extract(url, '^https?://(.*)$', 1) || '.html and docs/page' || CAST(page_id % 7 AS VARCHAR) || '.md' AS prompt FROM pages),
-files AS (SELECT DISTINCT regexp_extract(url, '^https?://(.*)$', 1) || '.html' AS path FROM pages WHERE page_id % 2 = 0
-          UNION SELECT 'site/docs/page' || CAST(x AS VARCHAR) || '.md' FROM range(0, 5) r(x)),
-suffixes AS (SELECT DISTINCT array_to_string(list_slice(p, i, len(p)), '/') AS token FROM (SELECT string_split(path, '/') AS p FROM files) f, unnest(range(1, 40)) u(i) WHERE i <= len(p)),
-tokens AS (SELECT DISTINCT id, unnest(regexp_extract_all(prompt, '[\\p{L}\\p{N}_./-]*[\\p{L}\\p{N}_-]+\\.(?:py|js|ts|go|rs|java|c|h|cpp|md|txt|json|yaml|yml|toml|html|css|sh|sql|xml|csv)')) AS token FROM prompts)
-SELECT p.id, count(k.token) AS mentions, coalesce(bool_and(s.token IS NOT NULL) FILTER (WHERE k.token IS NOT NULL), true) AS all_known
-FROM prompts p LEFT JOIN tokens k ON p.id = k.id LEFT JOIN suffixes s ON k.token = s.token GROUP BY p.id
+#: The rule for tokens as SQL over tokens split at white space and brackets, without a pattern for whole tokens: a folder and any ending, or a known ending.
+_KNOWN = ", ".join(f"'{e}'" for e in text.EXTENSIONS)
+_PATH_TOKENS = f"""
+split_tokens AS (SELECT id, i, rtrim(t, '.') AS raw FROM (SELECT id, unnest(l) AS t, generate_subscripts(l, 1) AS i FROM (SELECT id, regexp_split_to_array(prompt, '[\\s,;()]+') AS l FROM prompts))),
+cased AS (SELECT id, i, raw, string_split(raw, '/') AS p, string_split(list_last(string_split(raw, '/')), '.') AS e FROM split_tokens),
+tokens AS (SELECT id, i, ltrim(raw, './') AS token FROM cased WHERE len(e) > 1 AND list_last(e) <> '' AND list_last(e) NOT LIKE '%-%'
+  AND CASE WHEN len(p) > 1 THEN len(list_filter(p[:-2], lambda x: x = '')) = 0 AND length(list_last(p)) > length(list_last(e)) + 1 ELSE len(e) = 2 AND e[1] <> '' AND list_last(e) IN ({_KNOWN}) END)
+"""
+_PROMPTS = """
+prompts AS (SELECT page_id AS id, 'see ' || regexp_extract(url, '^https?://([^?#]*)', 1) || '.html and docs/page' || CAST(page_id % 7 AS VARCHAR) || '.md, then setup.cfg (or package.json); v1.5 isn''t, e.g. here.'
+  || CASE WHEN page_id % 3 = 0 THEN ' New: docs/extra.rst' ELSE '' END AS prompt FROM pages),
+files AS (SELECT DISTINCT regexp_extract(url, '^https?://([^?#]*)', 1) || '.html' AS path FROM pages WHERE page_id % 4 > 0
+          UNION SELECT 'site/docs/page' || CAST(x AS VARCHAR) || '.md' FROM range(0, 6) r(x) UNION SELECT 'setup.cfg' UNION SELECT 'web/package.json' UNION SELECT 'docs/index.md')
+"""
+
+
+def _prompts(t):
+    path = F.regexp_extract("url", r"^https?://([^?#]*)", 1)
+    said = F.concat(F.lit("see "), path, F.lit(".html and docs/page"), (F.col("page_id") % 7).cast("string"), F.lit(".md, then setup.cfg (or package.json); v1.5 isn't, e.g. here."))
+    more = F.when(F.col("page_id") % 3 == 0, " New: docs/extra.rst").otherwise("")
+    prompts = t("pages").select(F.col("page_id").alias("id"), F.concat(said, more).alias("prompt"))
+    files = t("pages").where("page_id % 4 > 0").select(F.concat(path, F.lit(".html")).alias("path"))
+    pages = files.sparkSession.range(6).select(F.concat(F.lit("site/docs/page"), F.col("id").cast("string"), F.lit(".md")).alias("path"))
+    others = files.sparkSession.createDataFrame([("setup.cfg",), ("web/package.json",), ("docs/index.md",)], "path string")
+    return prompts, files.union(pages).union(others).distinct()
+
+
+@query(f"""
+WITH {_PROMPTS}, {_PATH_TOKENS}, once AS (SELECT DISTINCT id, token FROM tokens)
+SELECT p.id, count(k.token) AS mentions, coalesce(bool_and(EXISTS (SELECT 1 FROM files f WHERE f.path = k.token OR ends_with(f.path, '/' || k.token))) FILTER (WHERE k.token IS NOT NULL), true) AS all_known
+FROM prompts p LEFT JOIN once k ON p.id = k.id GROUP BY p.id
 """)
 def path_gate(t):
-    path = F.regexp_extract("url", r"^https?://(.*)$", 1)
-    prompts = t("pages").select(F.col("page_id").alias("id"), F.concat(F.lit("see "), path, F.lit(".html and docs/page"), (F.col("page_id") % 7).cast("string"), F.lit(".md")).alias("prompt"))
-    files = t("pages").where("page_id % 2 = 0").select(F.concat(path, F.lit(".html")).alias("path")).distinct()
-    docs = files.sparkSession.range(5).select(F.concat(F.lit("site/docs/page"), F.col("id").cast("string"), F.lit(".md")).alias("path"))
-    return filters.path_gate(prompts, files.union(docs), "id", "prompt")
+    return filters.path_gate(*_prompts(t), "id", "prompt")
+
+
+@query(f"""
+WITH {_PROMPTS}, {_PATH_TOKENS}, once AS (SELECT DISTINCT id, token FROM tokens)
+SELECT p.id, count(k.token) AS mentions, coalesce(bool_and(NOT contains(k.token, '/') OR EXISTS (SELECT 1 FROM files f WHERE f.path = k.token OR ends_with(f.path, '/' || k.token)
+  OR starts_with(f.path, regexp_replace(k.token, '[^/]*$', '')))) FILTER (WHERE k.token IS NOT NULL), true) AS all_known
+FROM prompts p LEFT JOIN once k ON p.id = k.id GROUP BY p.id
+""")
+def path_gate_new_files(t):
+    return filters.path_gate(*_prompts(t), "id", "prompt", new_files=True)
 
 
 @query("SELECT p_partkey, p_name, p_brand FROM part")
@@ -37,30 +66,40 @@ def exact_projection(t):
 
 
 @query("""
-SELECT p_partkey, p_name, list_has_any(regexp_extract_all(lower(p_name), '[\\p{L}\\p{N}_]+'), ['widget', 'redwidget']) AS mentioned FROM part
+SELECT p_partkey, p_name, len(list_filter(string_split(lower(p_name), ' '), lambda x: x IN ('red', 'widget', 'redwidget', 'cold', 'rod', 'coldrod'))) > 0 AS mentioned FROM part
 """)
 def mentions_identifier(t):
-    return t("part").select("p_partkey", "p_name", text.mentions_identifier(F.col("p_name"), F.lit("redWidget")).alias("mentioned_any")).select("p_partkey", "p_name", F.arrays_overlap(text.words(F.col("p_name")), F.array(F.lit("widget"), F.lit("redwidget"))).alias("mentioned"))
+    return t("part").select("p_partkey", "p_name", text.mentions_identifier(F.col("p_name"), F.lit("redWidget"), F.lit("src/coldRod.spec.ts")).alias("mentioned"))
 
 
 @query("""
-WITH tok AS (SELECT conv_id, turn, text, list_filter(regexp_split_to_array(trim(text), '\\s+'), lambda x: x <> '') AS w FROM conversations)
-SELECT conv_id, turn, len(w) >= 3 AND len(list_filter(w, lambda x: regexp_matches(x, '^[\\p{L}''’-]+[.,;:!?]?$'))) >= len(w) * 0.8::DOUBLE
-  AND NOT regexp_matches(text, '[{}<>=\\[\\]|\\\\]|\\(\\)|;;') AS prose FROM tok
+WITH tok AS (SELECT conv_id, turn, text, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w FROM conversations),
+bare AS (SELECT *, list_transform(w, lambda x: CASE WHEN right(x, 1) IN ('.', ',', ';', ':', '!', '?') THEN left(x, -1) ELSE x END) AS b FROM tok)
+SELECT conv_id, turn, len(w) >= 3 AND len(list_filter(b, lambda x: regexp_full_match(x, '[A-Za-z]+') OR regexp_full_match(x, '[A-Za-z][A-Za-z''’-]*'))) >= len(w) * 0.8::DOUBLE
+  AND len(list_filter(string_split(text, ''), lambda c: c IN ('{', '}', '(', ')', ';', '=', '<', '>', '[', ']'))) = 0 AS prose FROM bare
 """)
 def prose_filter(t):
     return t("conversations").select("conv_id", "turn", text.is_prose(F.col("text")).alias("prose"))
 
 
 @query("""
-WITH s AS (SELECT item_id, regexp_extract(text, '^((?s:.*?)[.!?])\\s', 1) AS cut, text FROM benchmark),
-q AS (SELECT item_id, CASE WHEN cut = '' THEN text ELSE cut END AS query FROM s),
-w AS (SELECT item_id, query, regexp_split_to_array(query, '\\s+') AS a, list_filter(regexp_split_to_array(trim(query), '\\s+'), lambda x: x <> '') AS n FROM q)
-SELECT item_id, query FROM w WHERE len(a) >= 6 AND len(n) >= 3
-  AND len(list_filter(n, lambda x: regexp_matches(x, '^[\\p{L}''’-]+[.,;:!?]?$'))) >= len(n) * 0.8::DOUBLE AND NOT regexp_matches(query, '[{}<>=\\[\\]|\\\\]|\\(\\)|;;')
+WITH u AS (SELECT 'conv' AS repo, 'src/' || role || '_Notes.py' AS file, turn AS line, CASE conv_id % 3 WHEN 0 THEN string_split(trim(text), ' ')[1] WHEN 1 THEN 'parseThing' ELSE 'r' END AS symbol,
+  CASE WHEN conv_id % 5 = 0 THEN regexp_replace(text, ' ', ' user ') ELSE text END AS doc FROM conversations),
+s AS (SELECT *, regexp_replace(doc, '^\\s+|\\s+$', '', 'g') AS whole FROM u),
+c AS (SELECT *, coalesce(nullif(regexp_extract(whole, '^((?s:.*?)[.!?])\\s', 1), ''), whole) AS first FROM s WHERE whole <> ''),
+k AS (SELECT *, CASE WHEN starts_with(first, symbol) THEN regexp_replace(substr(first, length(symbol) + 1), '^\\s+', '') ELSE first END AS task FROM c),
+w AS (SELECT *, list_filter(regexp_split_to_array(task, '\\s+'), lambda x: x <> '') AS n, regexp_extract_all(lower(task), '[a-z0-9_]+') AS words FROM k),
+b AS (SELECT *, list_transform(n, lambda x: CASE WHEN right(x, 1) IN ('.', ',', ';', ':', '!', '?') THEN left(x, -1) ELSE x END) AS bare,
+  list_filter(regexp_split_to_array(lower(symbol), '[^a-z0-9]+'), lambda x: length(x) > 2) || [lower(symbol), lower(split_part(list_last(string_split(file, '/')), '.', 1)), regexp_extract(file, '/([a-z]*)_', 1), 'notes'] || CASE WHEN symbol = 'parseThing' THEN ['parse', 'thing'] ELSE [] END AS banned FROM w)
+SELECT repo, file, line, symbol, task, list_aggregate(list_filter(regexp_extract_all(lower(task), '[a-z][a-z0-9]+'), lambda x: length(x) > 3)[1:3], 'string_agg', ' ') AS query, 'en' AS lang, 'docs' AS source
+FROM b WHERE len(n) >= 6 AND len(list_filter(bare, lambda x: regexp_full_match(x, '[A-Za-z][A-Za-z''’-]*'))) >= len(n) * 0.8::DOUBLE
+  AND len(list_filter(string_split(task, ''), lambda c: c IN ('{', '}', '(', ')', ';', '=', '<', '>', '[', ']'))) = 0 AND NOT list_has_any(words, banned)
 """)
 def doc_pairs(t):
-    return filters.doc_pairs(t("benchmark"), "item_id", "text")
+    symbol = F.when(F.col("conv_id") % 3 == 0, F.element_at(F.split(F.trim("text"), " "), 1)).when(F.col("conv_id") % 3 == 1, "parseThing").otherwise("r")
+    doc = F.when(F.col("conv_id") % 5 == 0, F.regexp_replace("text", "^([^ ]*) ", "$1 user ")).otherwise(F.col("text"))
+    units = t("conversations").select(F.lit("conv").alias("repo"), F.concat(F.lit("src/"), F.col("role"), F.lit("_Notes.py")).alias("file"), F.col("turn").alias("line"), symbol.alias("symbol"), doc.alias("doc"))
+    return filters.doc_pairs(units)
 
 
 @query("""
@@ -121,9 +160,8 @@ def code_subset(t):
 SELECT conv_id, bool_or(role = 'system') AS has_system, CASE WHEN bool_or(role = 'system') THEN 'runtime_system' ELSE 'plain' END AS stratum FROM conversations GROUP BY conv_id
 """)
 def stratum_relabel(t):
-    turns = t("conversations").groupBy("conv_id").agg(F.collect_list(F.struct("role")).alias("turns"))
-    has = F.exists("turns", lambda x: x["role"] == "system")
-    return turns.select("conv_id", has.alias("has_system"), F.when(has, "runtime_system").otherwise("plain").alias("stratum"))
+    turns = t("conversations").groupBy("conv_id").agg(F.bool_or(F.col("role") == "system").alias("has_system"))
+    return turns.select("conv_id", "has_system", F.when(F.col("has_system"), "runtime_system").otherwise("plain").alias("stratum"))
 
 
 @query("SELECT page_id FROM pages WHERE position('div' IN lower(html)) > 0 AND position('href' IN lower(html)) > 0")
@@ -172,10 +210,20 @@ def item_states(t):
 
 
 @query(f"""
-SELECT page_id, CASE WHEN {draw_sql('ref', 'page_id')} < 0.3::DOUBLE THEN coalesce(nullif(regexp_extract(url, '[\\p{{L}}\\p{{N}}_./-]*[\\p{{L}}\\p{{N}}_-]+\\.(?:py|js|ts|go|rs|java|c|h|cpp|md|txt|json|yaml|yml|toml|html|css|sh|sql|xml|csv)'), ''), 'README.md') END AS reference FROM pages
+WITH {_PROMPTS}, {_PATH_TOKENS}, hits AS (SELECT k.id, arg_min(f.path, k.i) AS mentioned FROM (SELECT k.id, k.i, max(f.path) FILTER (WHERE f.path = k.token) AS exact, max(f.path) AS named
+  FROM tokens k JOIN files f ON f.path = k.token OR list_last(string_split(f.path, '/')) = k.token GROUP BY 1, 2) k, LATERAL (SELECT coalesce(k.exact, k.named) AS path) f GROUP BY 1)
+SELECT p.id, CASE WHEN {draw_sql('ref', 'p.id')} < 0.3::DOUBLE THEN coalesce(h.mentioned, 'README.md') END AS reference FROM prompts p LEFT JOIN hits h ON p.id = h.id
 """)
 def reference_appended(t):
-    return filters.reference_appended(t("pages"), "url", F.lit("README.md"), "ref", F.col("page_id"), 0.3).select("page_id", "reference")
+    return filters.reference_appended(*_prompts(t), "id", "prompt", F.lit("README.md"), "ref", 0.3).select("id", "reference")
+
+
+@query("""
+SELECT conv_id, turn FROM conversations WHERE role = 'assistant'
+""")
+def nested_partition(t):
+    rows = t("conversations").select("conv_id", "turn", F.struct(F.when(F.col("turn") >= 0, F.col("role")).alias("split")).alias("meta"))
+    return filters.of_partition(rows, "assistant").select("conv_id", "turn")
 
 
 @query("""

@@ -51,6 +51,70 @@ def test_text_functions(spark):
     assert one(spark, text.filled(F.lit("$name and $names"), F.create_map(F.lit("name"), F.lit("A"), F.lit("names"), F.lit("B")))) == "A and B"
 
 
+def test_path_mentions(spark):
+    cases = {
+        "see src/index.html, package.json and style.css": ["src/index.html", "package.json", "style.css"],
+        "main.cpp then lib/util.weird": ["main.cpp", "lib/util.weird"],
+        "v1.5 e.g. this isn't x.unknown": [],
+        "./src/a.py and ../b/c.rs.": ["src/a.py", "b/c.rs"],
+        "a file.pyx or file.python": [],
+        "(Makefile.toml) x/y.z/": ["Makefile.toml"],
+        "http://host/a.html": [],
+        "": [],
+    }
+    for said, want in cases.items():
+        assert one(spark, text.path_mentions(F.lit(said))) == want, said
+
+
+def test_path_gate(spark):
+    files = spark.createDataFrame([("src/app/main.py",), ("web/index.html",), ("README.md",)], "path string")
+    said = [(1, "fix src/app/main.py"), (2, "fix app/main.py and index.html"), (3, "fix ain.py"), (4, "add src/app/new.py"), (5, "add other/new.py"), (6, "add new.py"), (7, "nothing"), (8, "add src/new.rst"), (9, "index.htm")]
+    prompts = spark.createDataFrame(said, "id int, text string")
+    assert [r["id"] for r in filters.path_gate(prompts, files, "id", "text").where("all_known").orderBy("id").collect()] == [1, 2, 7]
+    assert [r["id"] for r in filters.path_gate(prompts, files, "id", "text", new_files=True).where("all_known").orderBy("id").collect()] == [1, 2, 3, 4, 6, 7, 8, 9]
+    refs = filters.reference_appended(prompts, files, "id", "text", F.lit("drawn"), "s", 1.0)
+    assert rows(refs, "id", "reference")[:3] == [(1, "src/app/main.py"), (2, "web/index.html"), (3, "drawn")]
+    assert {r["reference"] for r in filters.reference_appended(prompts, files, "id", "text", F.lit("drawn"), "s", -1.0).collect()} == {None}
+
+
+def test_doc_pairs(spark):
+    units = [
+        ("r", "src/walker.py", 1, "walkTree", "returns the list of every open file it knows. More."),
+        ("r", "src/walker.py", 2, "walkTree", "walkTree  visits every folder below the given place. More."),
+        ("r", "src/walker.py", 3, "walkTree", "Visits every tree below the given place."),
+        ("r", "src/walker.py", 4, "go", "The walker goes below the given place."),
+        ("r", "src/a.py", 5, "r", "Runs (fast) over all the known places here"),
+        ("r", "src/a.py", 6, "zz", "Too short a line"),
+        ("r", "src/a.py", 7, "zz", "  \n "),
+        ("r", "src/a.py", 8, "zz", None),
+        ("r", "src/a.py", 9, "r", "reads 12 34 56 78 numbers"),
+    ]
+    out = filters.doc_pairs(spark.createDataFrame(units, "repo string, file string, line int, symbol string, doc string"))
+    assert rows(out, "line", "task", "query") == [
+        (1, "returns the list of every open file it knows.", "returns list every"),
+        (2, "visits every folder below the given place.", "visits every folder"),
+    ]
+    assert one(spark, text.is_prose(F.lit("Well-known words, aren't they?"))) and not any(one(spark, text.is_prose(F.lit(f"plain words here {c} and some more there"))) for c in "(){};=<>[]")
+    assert one(spark, text.is_prose(F.lit("words | words \\ words words words words words words words words")))
+
+
+def test_effects(spark):
+    roots = F.array(F.lit("src"), F.lit("docs/api/"))
+    good = ["src/a", "src", "/work/p/src/x", "./src//y", "docs/api", "/work/p/./docs/api/z"]
+    bad = ["srcs/a", "src/../etc", "/work/pp/src/a", "/etc/passwd", "docs", "docs/apis", "/work/p", "/work", "..", ""]
+    for path in good + bad:
+        assert one(spark, text.authorized(F.lit(path), F.lit("/work/p"), roots)) == (path in good), path
+    effects = spark.createDataFrame([("t", "s1", "src/a"), ("t", "s9", "/etc/x"), ("t", "s9", "src/b")], "task string, session string, path string").withColumns({"project": F.lit("/work/p"), "roots": roots})
+    made = spark.createDataFrame([("t", 3, 2), ("u", 1, 1)], "task string, made int, expected int")
+    out = filters.effect_receipt(effects, spark.createDataFrame([("t", "s1")], "task string, session string"), made, "task")
+    assert rows(out, "task", "unauthorized", "interventions") == [("t", 1, 3), ("u", 0, 0)]
+
+
+def test_nested_partition(spark):
+    df = spark.createDataFrame([(1, ("train",)), (2, ("test",)), (3, (None,)), (4, None)], "id int, meta struct<split: string>")
+    assert rows(filters.of_partition(df, "train"), "id") == [(1,)]
+
+
 def test_arrays(spark):
     assert one(spark, arrays.common_prefix(F.array(*map(F.lit, (1, 2, 3))), F.array(*map(F.lit, (1, 2, 4, 5))))) == 2
     assert one(spark, arrays.common_prefix(F.array(*map(F.lit, (1, 2))), F.array(*map(F.lit, (1, 2, 3))))) == 2
