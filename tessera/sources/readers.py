@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import struct
 from collections.abc import Iterator
@@ -18,9 +19,21 @@ def jsonl(spark: SparkSession, path, schema: str, tolerant: bool = False) -> Dat
     return spark.read.schema(schema).option("mode", "DROPMALFORMED" if tolerant else "FAILFAST").json(path)
 
 
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def ordered_jsonl(spark: SparkSession, path, schema: str) -> DataFrame:
-    """Rows of many files with the file each comes from, for scans in sorted file order."""
-    return jsonl(spark, path, schema).withColumn("file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).orderBy("file")
+    """Rows of many files with the file each comes from (its whole path), for scans in sorted file order."""
+    return jsonl(spark, path, schema).withColumn("file", F.col("_metadata.file_path")).orderBy("file")
 
 
 def has_rows(df: DataFrame) -> bool:
@@ -28,18 +41,23 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """(name, length, sha256) of a folder's files; contents are hashed where they are read."""
+    """(name, length, sha256) of a folder's files by path relative to it; contents are hashed where they are read."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256"))
+    name = F.substring("path", len(_qualified(spark, folder).rstrip("/")) + 2, 2**31 - 1)
+    return found.select(name.alias("name"), "length", F.sha2("content", 256).alias("sha256"))
 
 
 def checked_bundle(spark: SparkSession, folder: str, members: dict[str, str], sums: DataFrame) -> dict[str, DataFrame]:
-    """Members of a bundle as frames, after every file's digest has been compared with sums (name, sha256)."""
+    """Members of a bundle as frames, after every file's digest has been compared with sums (name, sha256). Rows bear the bundle's digest,
+    that of its sorted list of digests and names, as bundle_sha256."""
     have = files(spark, folder)
     wrong = sums.alias("s").join(have.alias("h"), "name", "left").where(~F.col("s.sha256").eqNullSafe(F.col("h.sha256"))).select("name").limit(5).collect()
     if wrong:
         raise IntegrityError("digests differ: " + ", ".join(sorted(r["name"] for r in wrong)))
-    return {name: jsonl(spark, f"{folder}/{name}", schema) for name, schema in members.items()}
+    # a bundle's list of files is configuration-sized
+    lines = sorted(f"{r['sha256']}  {r['name']}" for r in sums.select("name", "sha256").distinct().collect())
+    bundle = hashlib.sha256("\n".join(lines).encode("utf-8")).hexdigest()
+    return {name: jsonl(spark, f"{folder}/{name}", schema).withColumn("bundle_sha256", F.lit(bundle)) for name, schema in members.items()}
 
 
 def blobs(spark: SparkSession, folder: str, wanted: DataFrame, key: str = "sha256") -> DataFrame:
@@ -89,23 +107,61 @@ def sharded(spark: SparkSession, path: str, schema: str, manifest: DataFrame) ->
     return rows.join(manifest, "shard")
 
 
-def strict_config(text: str, required: dict[str, type], optional: dict[str, type] | None = None) -> dict:
-    """A JSON configuration whose keys must be known and of the right type."""
-    found = json.loads(text)
-    every = required | (optional or {})
-    if unknown := sorted(set(found) - set(every)):
-        raise ValueError(f"unknown keys: {', '.join(unknown)}")
-    if missing := sorted(set(required) - set(found)):
-        raise ValueError(f"missing keys: {', '.join(missing)}")
-    if wrong := sorted(k for k, v in found.items() if not isinstance(v, every[k]) or isinstance(v, bool) and every[k] is not bool):
-        raise ValueError(f"wrong types: {', '.join(wrong)}")
+def strict_config(text: str, required: dict, optional: dict | None = None, kind: str = "json") -> dict:
+    """A JSON or YAML configuration whose keys must be known and of the right type. A type may be a pair of dicts (required, optional), for
+    nested keys; a fault names its dotted path. YAML needs its library."""
+    if kind == "yaml":
+        import yaml
+
+        found = yaml.safe_load(text)
+    else:
+        found = json.loads(text)
+    _checked(found, required, optional or {}, "")
     return found
 
 
+def _checked(found, required: dict, optional: dict, at: str) -> None:
+    if not isinstance(found, dict):
+        raise ValueError(f"wrong types: {at.rstrip('.') or 'the document'}")
+    every = required | optional
+    names = lambda keys: ", ".join(f"{at}{k}" for k in sorted(keys, key=str))
+    if unknown := set(found) - set(every):
+        raise ValueError(f"unknown keys: {names(unknown)}")
+    if missing := set(required) - set(found):
+        raise ValueError(f"missing keys: {names(missing)}")
+    plain = {k: v for k, v in found.items() if not isinstance(every[k], tuple)}
+    if wrong := [k for k, v in plain.items() if not isinstance(v, every[k]) or isinstance(v, bool) and every[k] is not bool]:
+        raise ValueError(f"wrong types: {names(wrong)}")
+    for k in set(found) - set(plain):
+        _checked(found[k], *every[k], f"{at}{k}.")
+
+
 def snapshot(spark: SparkSession, path: str, sql: str, schema: str) -> DataFrame:
-    """Rows of one read-only transaction of a local SQLite store. For small control stores on the driver; use JDBC for servers."""
+    """Rows of one read-only transaction of a local SQLite store. For small control stores on the driver; `jdbc` is for servers."""
     import sqlite3
 
     with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
         rows = db.execute(sql).fetchall()
     return spark.createDataFrame(rows, schema)
+
+
+def jdbc(spark: SparkSession, url: str, table: str, column: str | None = None, low: int = 0, high: int = 0, parts: int = 1, **options) -> DataFrame:
+    """A server's table, read in `parts` ranges of a numeric column at a time; filters and columns are pushed down."""
+    read = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+    if column:
+        read = read.options(partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=parts)
+    return read.load()
+
+
+def csv(spark: SparkSession, path, schema: str, header: bool = True, tolerant: bool = False) -> DataFrame:
+    """Separated values under an explicit schema. A malformed line fails the scan, or is dropped if tolerant."""
+    return spark.read.schema(schema).option("header", header).option("mode", "DROPMALFORMED" if tolerant else "FAILFAST").csv(path)
+
+
+def orc(spark: SparkSession, path) -> DataFrame:
+    return spark.read.orc(path)
+
+
+def kafka(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
+    """A topic as a stream of (key, value, topic, partition, offset, timestamp); needs Spark's connector on the class path."""
+    return spark.readStream.format("kafka").options(subscribe=topic, **{"kafka.bootstrap.servers": servers}, **options).load()

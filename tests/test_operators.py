@@ -265,3 +265,103 @@ def test_stream_windows_match_batch(spark, tmp_path):
     batch = streams.tumbling(events, "ts", "1 day", ["event_type"])
     pick = lambda df: sorted((str(r["start"]), r["event_type"], r["n"]) for r in df.collect())
     assert pick(spark.table("days")) == pick(batch)
+
+
+def test_split_write_keeps_the_target(spark, tmp_path, monkeypatch):
+    made = spark.createDataFrame([(1, "a"), (2, "b")], "id int, task string")
+    assign = spark.createDataFrame([("a", "train"), ("b", "validation")], "task string, partition string")
+    out = f"file://{tmp_path}/splits"
+    writers.write_splits(made, assign, "task", out)
+    rename = writers._rename
+
+    def failing(s, source, target):
+        if ".stage-" in source:
+            raise OSError("no")
+        rename(s, source, target)
+
+    monkeypatch.setattr(writers, "_rename", failing)
+    with pytest.raises(OSError, match="no"):
+        writers.write_splits(made.where("id = 1"), assign, "task", out)
+    monkeypatch.undo()
+    assert spark.read.json(out).count() == 2 and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["splits"]
+    # a writer that died between the renames: the next one brings the target back before it replaces it
+    (tmp_path / "splits").rename(tmp_path / "splits.old-1")
+    with pytest.raises(OSError):
+        monkeypatch.setattr(writers, "_rename", failing)
+        writers.write_splits(made.where("id = 1"), assign, "task", out)
+    monkeypatch.undo()
+    assert spark.read.json(out).count() == 2
+    assert writers.write_splits(made.where("id = 1"), assign, "task", out) == {"train": 1} and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["splits"]
+
+
+def test_writers_take_turns(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    once = f"file://{tmp_path}/once"
+
+    def write(i):
+        try:
+            return writers.write_once(spark, {"writer": i}, once)
+        except joins.IntegrityError:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(write, range(4)))
+        assert got.count(True) == 1 and got.count(None) == 3
+        ledger = f"file://{tmp_path}/ledger"
+        frames = [spark.range(i, i + 6).withColumn("by", F.lit(i)) for i in range(4)]
+        added = list(pool.map(lambda df: writers.append_ledger(df, ledger, ["id"]).count(), frames))
+    assert sum(added) == 9 == spark.read.parquet(ledger).count() == spark.read.parquet(ledger).select("id").distinct().count()
+    assert writers.append_ledger(frames[0], ledger, ["id"]).count() == 0
+    with writers.locked(spark, ledger), pytest.raises(TimeoutError), writers.locked(spark, ledger, seconds=0.1):
+        pass
+
+
+def test_release_is_sealed(spark, tmp_path):
+    folder = f"file://{tmp_path}/release"
+    made = spark.createDataFrame([(1, "a"), (2, "b")], "id int, task string")
+    manifest = writers.release({"train": made, "test": made.limit(1)}, folder, card="# Card", provenance={"b": 1, "a": [2]})
+    assert {r["part"] for r in manifest.collect()} == {"train", "test"}
+    names = writers.verify(spark, folder)
+    assert {"README.md", "PROVENANCE.json", "train.schema.json", "test.schema.json"} <= set(names) and any(n.startswith("train/part-") for n in names)
+    (tmp_path / "release" / "README.md").write_text("# Other")
+    (tmp_path / "release" / ".README.md.crc").unlink(missing_ok=True)
+    with pytest.raises(joins.IntegrityError, match="README.md"):
+        writers.verify(spark, folder)
+    with pytest.raises(joins.IntegrityError, match="has no"):
+        writers.verify(spark, f"{folder}/train")
+    report = writers.digested({"rows": 3})
+    assert writers.still_digested(report) and not writers.still_digested(report | {"rows": 4})
+
+
+def test_other_readers(spark, tmp_path):
+    for shard, n in (("s1", 2), ("s2", 1)):
+        (tmp_path / "shards" / shard).mkdir(parents=True)
+        (tmp_path / "shards" / shard / "rows.jsonl").write_text("".join(f'{{"id": {i}}}\n' for i in range(n)))
+    root = f"file://{tmp_path}/shards"
+    ordered = readers.ordered_jsonl(spark, f"{root}/*", "id int").collect()
+    assert [r["file"].split("/")[-2] for r in ordered] == ["s1", "s1", "s2"]
+    assert rows(readers.files(spark, root), "name") == [("s1/rows.jsonl",), ("s2/rows.jsonl",)]
+    manifest = spark.createDataFrame([("s1", "settled"), ("s2", "failed")], "shard string, status string")
+    assert rows(readers.sharded(spark, f"{root}/*", "id int", manifest), "id", "status") == [(0, "failed"), (0, "settled"), (1, "settled")]
+    assert readers.has_rows(manifest) and not readers.has_rows(manifest.limit(0))
+    digests = {r["name"]: r["sha256"] for r in readers.files(spark, root).collect()}
+    found = readers.blobs(spark, f"{root}/s1", spark.createDataFrame([(digests["s1/rows.jsonl"],), ("0",)], "sha256 string"))
+    assert {(r["sha256"] == "0", r["content"] is None) for r in found.collect()} == {(True, True), (False, False)}
+    documents = spark.createDataFrame([('{"schema": "a/1"}',), ('{"schema": "b/1"}',), ("{}",)], "value string")
+    assert [r["kind"] for r in readers.by_schema(documents, {"a/1": "task", "b/1": "row"}).collect()] == ["task", "row", "unknown"]
+    import sqlite3
+
+    with sqlite3.connect(tmp_path / "store.db") as db:
+        db.execute("create table turns(status text)")
+        db.executemany("insert into turns values (?)", [("done",), ("open",)])
+    assert rows(readers.snapshot(spark, str(tmp_path / "store.db"), "select status, count(*) from turns group by 1", "status string, n long")) == [("done", 1), ("open", 1)]
+    (tmp_path / "t.csv").write_text("id,name\n1,a\nx,b\n")
+    assert rows(readers.csv(spark, f"file://{tmp_path}/t.csv", "id int, name string", tolerant=True)) == [(1, "a")]
+    manifest.write.orc(f"file://{tmp_path}/orc")
+    assert readers.orc(spark, f"file://{tmp_path}/orc").count() == 2
+    spec = {"a": int, "b": ({"c": str}, {"d": int})}
+    assert readers.strict_config('{"a": 1, "b": {"c": "x"}}', spec) == {"a": 1, "b": {"c": "x"}}
+    for bad, said in (('{"a": 1, "b": {"c": 1}}', "wrong types: b.c"), ('{"a": 1, "b": {}}', "missing keys: b.c"), ('{"a": 1, "b": {"c": "x", "z": 1}}', "unknown keys: b.z"), ('{"a": true, "b": {"c": "x"}}', "wrong types: a"), ("[]", "the document")):
+        with pytest.raises(ValueError, match=said):
+            readers.strict_config(bad, spec)
