@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hex_number
 from ..functions.text import words
+from ..sources.storage import cut
 from .graphs import connected_components
 from .windows import first_per
 
@@ -55,7 +56,9 @@ def star_edges(sigs: DataFrame, key: str, threshold: float = THRESHOLD, bands: i
 
 def groups(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
     """(node, component) of near-duplicate texts."""
-    return connected_components(docs.select(F.col(key).alias("node")), star_edges(signatures(docs, key, text), key, threshold))
+    # four branches of the edges read the signatures
+    edges = star_edges(cut(signatures(docs, key, text)), key, threshold)
+    return connected_components(docs.select(F.col(key).alias("node")), edges)
 
 
 def first_kept(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import joins, validation
+from ..operators import graphs, joins, validation
 from .counts import _SPLIT_SQL, with_split
 from .registry import query
 
@@ -186,11 +186,12 @@ def attempts_equal_outcomes(t):
 
 
 @query("""
-SELECT c_mktsegment AS identity, sha256(string_agg(CAST(c_custkey AS VARCHAR) || ':' || sha256(c_name), chr(10) ORDER BY c_custkey)) AS digest FROM customer GROUP BY 1
+WITH l AS (SELECT c_mktsegment AS identity, c_custkey // 10000 AS slice, sha256(string_agg(CAST(c_custkey AS VARCHAR) || ':' || sha256(c_name), chr(10) ORDER BY c_custkey)) AS digest FROM customer GROUP BY 1, 2)
+SELECT identity, sha256(string_agg(CAST(slice AS VARCHAR) || ':' || digest, chr(10) ORDER BY slice)) AS digest FROM l GROUP BY 1
 """)
 def ordered_digests(t):
-    g = t("customer").groupBy(F.col("c_mktsegment").alias("identity")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", F.sha2("c_name", 256).alias("h")))).alias("s"))
-    return g.select("identity", F.sha2(F.array_join(F.transform("s", lambda x: F.concat_ws(":", x["c_custkey"].cast("string"), x["h"])), "\n"), 256).alias("digest"))
+    line = F.concat_ws(":", F.col("c_custkey").cast("string"), F.sha2("c_name", 256))
+    return graphs.ordered_digest(t("customer"), "c_mktsegment", "c_custkey", line).select(F.col("c_mktsegment").alias("identity"), "digest")
 
 
 @query("""

@@ -32,14 +32,14 @@ def _docs(t):
     return t("documents").select("doc_id", "text")
 
 
-@query(f"WITH {_SHINGLE_SQL} SELECT doc_id, s0, s1, s17, s40, s63 FROM s")
+@query(f"WITH {_SHINGLE_SQL} SELECT doc_id, {', '.join(f's{i}' for i in range(lsh.SIGNATURE))} FROM s")
 def minhash_signatures(t):
-    return lsh.signatures(_docs(t), "doc_id", "text").select("doc_id", "s0", "s1", "s17", "s40", "s63")
+    return lsh.signatures(_docs(t), "doc_id", "text")
 
 
 @query(f"WITH RECURSIVE {_SHINGLE_SQL}, {_EDGE_SQL} SELECT a, b FROM e")
 def minhash_star_edges(t):
-    return lsh.star_edges(lsh.signatures(_docs(t), "doc_id", "text"), "doc_id")
+    return lsh.star_edges(graphs.cut(lsh.signatures(_docs(t), "doc_id", "text")), "doc_id")
 
 
 @query(f"WITH RECURSIVE {_SHINGLE_SQL}, {_EDGE_SQL}, {_GROUP_SQL} SELECT node, component FROM c")
@@ -86,21 +86,27 @@ def component_ids(t):
 
 
 _ALLOCATE = f"""
-ids AS (SELECT component, substr(sha256(string_agg(node, chr(10) ORDER BY node)), 1, 16) AS cid, bool_or(source = 'src3') AS holdout, 'all' AS stratum FROM (SELECT c.node, c.component, n.source FROM c JOIN nodes n ON c.node = n.node) GROUP BY component),
-pl AS (SELECT *, {position_sql('alloc', 'cid')} AS place FROM ids), fr AS (SELECT *, row_number() OVER (PARTITION BY holdout, stratum ORDER BY place, cid) AS rank FROM pl),
-al AS (SELECT component, cid, stratum, CASE WHEN holdout THEN 'system_test' WHEN rank <= 5 THEN 'system_test' WHEN rank <= 10 THEN 'development' WHEN rank <= 15 THEN 'validation' WHEN rank <= 20 THEN 'train'
-  WHEN place < 0.7::DOUBLE THEN 'train' WHEN place < 0.8::DOUBLE THEN 'validation' WHEN place < 0.8::DOUBLE + 0.1::DOUBLE THEN 'development' ELSE 'system_test' END AS partition FROM fr)
+ids AS (SELECT component, substr(sha256(string_agg(node, chr(10) ORDER BY node)), 1, 16) AS cid, CASE WHEN bool_or(source = 'src3') THEN 'system_test' WHEN bool_or(source = 'src5') THEN 'development' END AS holdout,
+  CASE WHEN count(*) > 1 THEN 'group' ELSE 'single' END AS stratum FROM (SELECT c.node, c.component, n.source FROM c JOIN nodes n ON c.node = n.node) GROUP BY component),
+need AS (SELECT stratum, p, greatest(0, CASE p WHEN 'train' THEN 3 ELSE 2 END - count(*) FILTER (WHERE holdout = p)) AS n, CASE p WHEN 'system_test' THEN 1 WHEN 'development' THEN 2 WHEN 'validation' THEN 3 ELSE 4 END AS o
+  FROM ids, (VALUES ('system_test'), ('development'), ('validation'), ('train')) v(p) GROUP BY stratum, p),
+edge AS (SELECT stratum, p, sum(n) OVER (PARTITION BY stratum ORDER BY o) - n AS low, sum(n) OVER (PARTITION BY stratum ORDER BY o) AS high FROM need),
+pl AS (SELECT *, {position_sql('alloc', 'cid')} AS place FROM ids), fr AS (SELECT *, row_number() OVER (PARTITION BY holdout IS NULL, stratum ORDER BY place, cid) AS rank FROM pl),
+al AS (SELECT component, cid, fr.stratum, coalesce(holdout, edge.p, CASE WHEN place < 0.7::DOUBLE THEN 'train' WHEN place < 0.8::DOUBLE THEN 'validation' WHEN place < 0.8::DOUBLE + 0.1::DOUBLE THEN 'development' ELSE 'system_test' END) AS partition
+  FROM fr LEFT JOIN edge ON edge.stratum = fr.stratum AND fr.rank > edge.low AND fr.rank <= edge.high)
 """
 _FRACTIONS = {"train": 0.7, "validation": 0.1, "development": 0.1, "system_test": 0.1}
-_MINIMUMS = {"system_test": 5, "development": 5, "validation": 5, "train": 5}
+_MINIMUMS = {"system_test": 2, "development": 2, "validation": 2, "train": 3}
 
 
 def _allocated(t):
     nodes, edges = _graph(t)
     members = graphs.cut(graphs.connected_components(nodes, edges))
     ids = graphs.component_ids(members)
-    facts = members.join(nodes, "node").groupBy("component").agg(F.bool_or(F.col("source") == "src3").alias("holdout"), F.lit("all").alias("stratum"))
-    comps = ids.join(facts, "component")
+    declared = F.when(F.bool_or(F.col("source") == "src3"), "system_test").when(F.bool_or(F.col("source") == "src5"), "development")
+    stratum = F.when(F.count("*") > 1, "group").otherwise("single")
+    facts = members.join(nodes, "node").groupBy("component").agg(declared.alias("holdout"), stratum.alias("stratum"))
+    comps = graphs.cut(ids.join(facts, "component"))
     return members, comps, graphs.allocate(comps, "alloc", _FRACTIONS, _MINIMUMS)
 
 

@@ -1,5 +1,6 @@
 """Operators on small frames: edge cases, refusals, readers and writers."""
 
+import hashlib
 import json
 import struct
 
@@ -158,14 +159,62 @@ def test_components_and_ids(spark):
     assert rows(graphs.connected_components(nodes, edges.where("a = 'zz'")), "node", "component") == [(c, c) for c in "abcdefg"]
 
 
+def brute_allocation(comps, seed, fractions, minimums):
+    """cid -> partition by the rule: held, then what held ones leave of each stratum's minimums in hash order, then fractions."""
+    place = lambda c: int(hashlib.sha256(f"{seed}:{c}".encode()).hexdigest()[:12], 16) / 2**48
+    out, strata = {}, {}
+    for cid, stratum, held in comps:
+        if held:
+            out[cid] = held
+        else:
+            strata.setdefault(stratum, []).append(cid)
+    for stratum, free in strata.items():
+        free.sort(key=lambda c: (place(c), c))
+        for p in graphs.MINIMUM_ORDER:
+            have = sum(1 for _, s, h in comps if s == stratum and h == p)
+            for _ in range(max(0, minimums.get(p, 0) - have)):
+                out[free.pop(0)] = p
+        for c in free:
+            edge = 0.0
+            for p in graphs.FRACTION_ORDER:
+                edge += fractions.get(p, 0.0)
+                if place(c) < edge:
+                    out[c] = p
+                    break
+    return out
+
+
 def test_allocation(spark):
-    comps = spark.createDataFrame([(f"c{i}", "s", i < 3) for i in range(40)], "cid string, stratum string, holdout boolean")
-    out = graphs.allocate(comps, "x", {"train": 0.5, "validation": 0.5}, {"development": 4}).collect()
-    assert sum(r["partition"] == "system_test" for r in out) == 3 and sum(r["partition"] == "development" for r in out) == 4 and len(out) == 40
-    with pytest.raises(graphs.AllocationError, match="has 37 of 50"):
-        graphs.allocate(comps, "x", {"train": 1.0}, {"train": 50})
-    with pytest.raises(ValueError):
-        graphs.allocate(comps, "x", {"train": 0.5})
+    given = [(f"c{i}", (None, "s", "t")[i % 3], {1: "system_test", 2: "train", 4: "development"}.get(i % 17)) for i in range(120)]
+    comps = spark.createDataFrame(given, "cid string, stratum string, holdout string")
+    fractions = {"train": 0.5, "validation": 0.25, "system_test": 0.25}
+    for minimums in ({}, {"development": 4}, {"system_test": 4, "development": 3, "validation": 2, "train": 5}):
+        out = graphs.allocate(comps, "x", fractions, minimums)
+        assert {r["cid"]: r["partition"] for r in out.collect()} == brute_allocation(given, "x", fractions, minimums) and out.count() == 120
+    few = spark.createDataFrame([("a", "s", None), ("b", "s", "train"), ("c", "t", None), ("d", "t", None)], comps.schema)
+    with pytest.raises(graphs.AllocationError) as refused:
+        graphs.allocate(few, "x", {"train": 1.0}, {"train": 2, "validation": 3})
+    assert refused.value.args[1] == {"s": 3, "t": 3}
+    for bad in ({"train": 0.5}, {"train": 1.5, "validation": -0.5}, {"other": 1.0}):
+        with pytest.raises(ValueError, match="fractions"):
+            graphs.allocate(comps, "x", bad)
+    for bad in ({"other": 1}, {"train": -1}, {"train": 1.5}):
+        with pytest.raises(ValueError, match="minimums"):
+            graphs.allocate(comps, "x", fractions, bad)
+
+
+def test_ids_of_large_components(spark):
+    members = spark.createDataFrame([(f"n{i}", "a" if i < 500 else "b") for i in range(520)], "node string, component string")
+    want = hashlib.sha256("\n".join(sorted(f"n{i}" for i in range(500, 520))).encode()).hexdigest()[:16]
+    whole, sliced = (dict(rows(graphs.component_ids(members.repartition(5), most=n))) for n in (1000, 100))
+    assert whole["b"] == want == sliced["b"] and whole["a"] != sliced["a"]
+    slices = {}
+    for n in (f"n{i}" for i in range(500)):
+        slices.setdefault(hashlib.sha256(n.encode()).hexdigest()[:3], []).append(n)
+    lines = sorted(f"{k}:{hashlib.sha256(chr(10).join(sorted(v)).encode()).hexdigest()}" for k, v in slices.items())
+    assert sliced["a"] == hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
+    nodes = spark.createDataFrame([("x", "s", None), ("x", "t", "h"), ("y", "s", "h"), ("y", None, "h")], "node string, stratum string, holdout string")
+    assert rows(graphs.declaration_conflicts(nodes, ["stratum", "holdout"])) == [("x", "stratum")]
 
 
 def test_tree_cycle(spark):
