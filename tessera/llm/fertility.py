@@ -87,12 +87,15 @@ class Vocabulary:
         except KeyError:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            new = list({w for w in words if w not in self.known})
-            found = self.encoded([w.decode("utf-8", "replace") for w in new])
-            fresh = {w: array("I", i).tobytes() for w, i in zip(new, found, strict=True)}
-            self.known.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST)
-            look = self.known.get
-            return np.frombuffer(b"".join([look(w) or fresh.get(w, b"") for w in words]), "<u4")
+            known = self.known
+            new = list(set(words).difference(known))
+            ids = [array("I", i).tobytes() for i in self.encoded([w.decode("utf-8", "replace") for w in new])]
+            known.update(zip(new, ids, strict=True))
+            out = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
+            for w in new:
+                if len(w) > LONGEST:
+                    del known[w]
+            return out
 
     def measured(self, words: list[bytes], chars: int) -> tuple[float, float, float, int]:
         """Code points per token, share of byte tokens, entropy against the most that so many tokens could have, number of tokens."""

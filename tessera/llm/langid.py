@@ -1,14 +1,13 @@
 """Operator 4: language identification by a bidirectional gated recurrent network over bytes.
 
-The text's UTF-8 bytes are cut into windows of STEPS bytes. Two gated recurrent layers of UNITS cells run over each window, one
-in each direction; a linear layer over both gives every position a distribution over the languages, and a document's
-probability of a language is the mean over all its positions. The network is trained in numpy by backpropagation through
-time with Adam. Gates and candidates use x / (1 + |x|) in place of the exponential functions (a gate is half of it plus a
-half), which numpy computes several times faster.
+The text's UTF-8 bytes are labelled in windows of STEPS bytes, each of which the network reads with the CONTEXT bytes before and after
+it. Two gated recurrent layers of UNITS cells run over them, one in each direction; a linear layer over both gives every position of the window
+a distribution over the languages, and a document's probability of a language is the mean over all its positions. So every position is labelled
+once, having seen at least CONTEXT bytes on either side, where the text has them. The network is trained in numpy by backpropagation through time with Adam.
 
 Bounds: learns from at most LEARN_ROWS documents, the same number of each language but LEAST_ROWS at least (the lowest by a seeded
-hash of doc_id, outside the held-out fold), and WINDOWS windows of each. Every language that stands there is predicted, and
-every position of every text is labelled.
+hash of doc_id, outside the held-out fold). Training takes UPDATES steps of BATCH windows, drawn from all places of those texts. Every language that
+stands there is predicted, and every position of every text is labelled.
 
 Defined results: a null text, or one without any letter, is `und` with score 0; without anything to learn from all are `und`; a null
 doc_id counts as fold 0 (learned from); a null lang is not learned from; repeated rows score alike; an empty table gives an empty result;
@@ -28,10 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import as_rows, crc32_mod, prepare, saved
 
-LEARN_ROWS, WINDOWS = 3000, 4
+LEARN_ROWS = 3000
 #: Documents learned from of each language, if there are so many languages that LEARN_ROWS would give fewer.
 LEAST_ROWS = 30
-STEPS, UNITS, BATCH, UPDATES, RATE = 64, 8, 256, 220, 0.02
+STEPS, CONTEXT, UNITS, BATCH, UPDATES, RATE = 64, 32, 8, 256, 220, 0.02
 FOLDS, HELD_OUT, UNKNOWN = 3, 1, "und"
 #: Windows that run through the network at once, for up to RUN_LANGUAGES languages; fewer for more.
 RUN, RUN_LANGUAGES = 2048, 64
@@ -39,14 +38,6 @@ RUN, RUN_LANGUAGES = 2048, 64
 BITS = 12
 
 
-def _soft(x: np.ndarray) -> np.ndarray:
-    return x / (1 + np.abs(x))
-
-
-def _soft_slope(x: np.ndarray) -> np.ndarray:
-    return 1 / np.square(1 + np.abs(x))
-
-
 @dataclass
 class Network:
     """Two directions, each: input weights by byte (3H, 256) with bias, recurrent weights (3H, H); output (C, 2H) and bias (C, 1)."""
@@ -77,19 +68,18 @@ def hidden(net: Network, x: np.ndarray, direction: int, keep: list | None = None
     for t in range(t_all) if direction == 0 else range(t_all - 1, -1, -1):
         np.take(w, x[t], axis=1, out=given, mode="clip")
         np.matmul(u, state, out=a)
+        # the logistic function as half a tanh of half the argument plus a half
         gates = given[: 2 * h] + a[: 2 * h]
-        raw = gates.copy() if keep is not None else None
-        size = np.abs(gates)
-        size += 1
-        gates /= size
+        gates *= 0.5
+        np.tanh(gates, out=gates)
         gates *= 0.5
         gates += 0.5
         z, r = gates[:h], gates[h:]
-        candidate = r * a[2 * h :]
-        candidate += given[2 * h :]
-        n = candidate / (1 + np.abs(candidate))
+        n = r * a[2 * h :]
+        n += given[2 * h :]
+        np.tanh(n, out=n)
         if keep is not None:
-            keep.append((t, state, raw, gates, candidate, n, a[2 * h :].copy()))
+            keep.append((t, state, gates, n, a[2 * h :].copy()))
         state = out[t]
         np.subtract(keep[-1][1] if keep is not None else _before(out, t, direction, h, b), n, out=state)
         state *= z
@@ -103,8 +93,11 @@ def _before(out: np.ndarray, t: int, direction: int, h: int, b: int) -> np.ndarr
 
 
 def positions(net: Network, x: np.ndarray, keep: tuple[list, list] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities (T, C, B) of every position, and the states (T, 2H, B) they come from."""
-    states = np.concatenate([hidden(net, x, d, keep[d] if keep else None) for d in (0, 1)], axis=1)
+    """Probabilities (T, C, B) of every position of windows x (CONTEXT + T + CONTEXT, B), and the states (T, 2H, B) they come from."""
+    end = len(x) - CONTEXT
+    before = hidden(net, x[:end], 0, keep[0] if keep else None)[CONTEXT:]
+    after = hidden(net, x[CONTEXT:], 1, keep[1] if keep else None)[: end - CONTEXT]
+    states = np.concatenate([before, after], axis=1)
     logits = np.matmul(net.output, states) + net.bias
     logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
@@ -113,10 +106,10 @@ def positions(net: Network, x: np.ndarray, keep: tuple[list, list] | None = None
 
 
 def gradients(net: Network, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> tuple[float, list[np.ndarray]]:
-    """Mean cross entropy over the positions in mask (T, B), and its gradient, by backpropagation through time."""
+    """Mean cross entropy over the positions in mask (T, B), and its gradient, by backpropagation through time, contexts included."""
     kept: tuple[list, list] = ([], [])
     p, states = positions(net, x, kept)
-    t_all, b = x.shape
+    t_all, b = mask.shape
     h, total = UNITS, max(1.0, float(mask.sum()))
     loss = -float((np.log(np.maximum(p[:, y, np.arange(b)], 1e-9)) * mask).sum()) / total
     d = p.copy()
@@ -128,56 +121,64 @@ def gradients(net: Network, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> t
     g_in, g_rec = [], []
     for k in (0, 1):
         u, gw, gu = net.recurrent[k], np.zeros_like(net.inputs[k]), np.zeros_like(net.recurrent[k])
-        carry = np.zeros((h, b), np.float32)
-        for t, before, raw, gates, candidate, n, an in reversed(kept[k]):
-            dh = d_states[t, k * h : (k + 1) * h] + carry
+        carry, own = np.zeros((h, b), np.float32), x[: len(x) - CONTEXT] if k == 0 else x[CONTEXT:]
+        for t, before, gates, n, an in reversed(kept[k]):
+            at = t - CONTEXT if k == 0 else t
+            dh = d_states[at, k * h : (k + 1) * h] + carry if 0 <= at < t_all else carry
             z, r = gates[:h], gates[h:]
-            dn = dh * (1 - z) * _soft_slope(candidate)
-            dz = dh * (before - n) * 0.5 * _soft_slope(raw[:h])
-            dr = dn * an * 0.5 * _soft_slope(raw[h:])
+            dn = dh * (1 - z) * (1 - n * n)
+            dz = dh * (before - n) * z * (1 - z)
+            dr = dn * an * r * (1 - r)
             given = np.concatenate([dz, dr, dn])
             through = np.concatenate([dz, dr, dn * r])
             carry = dh * z + u.T @ through
             gu += through @ before.T
             for row in range(3 * h):
-                gw[row] += np.bincount(x[t], given[row], 256)
+                gw[row] += np.bincount(own[t], given[row], 256)
         g_in.append(gw)
         g_rec.append(gu)
     return loss, [*g_in, *g_rec, g_out, g_bias]
 
 
 def windows(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes as (n, STEPS) windows, the last filled up with zeros, and the length of each."""
+    """Bytes as (n, CONTEXT + STEPS + CONTEXT) windows, each with its neighbours' edges and zeros beyond the text, and how many of its positions lie in the text."""
     n = -(-len(data) // STEPS)
-    out = np.zeros(n * STEPS, np.uint8)
-    out[: len(data)] = np.frombuffer(data, np.uint8)
+    out = np.zeros(CONTEXT + n * STEPS + CONTEXT, np.uint8)
+    out[CONTEXT : CONTEXT + len(data)] = np.frombuffer(data, np.uint8)
     lengths = np.full(n, STEPS, np.int64)
     if n:
         lengths[-1] = len(data) - STEPS * (n - 1)
-    return out.reshape(n, STEPS), lengths
+    width = STEPS + 2 * CONTEXT
+    return np.lib.stride_tricks.sliding_window_view(out, width)[::STEPS][:n], lengths
+
+
+def window_at(data: bytes, at: int) -> tuple[np.ndarray, int]:
+    """One window that starts anywhere."""
+    low, high = max(0, at - CONTEXT), min(len(data), at + STEPS + CONTEXT)
+    out = np.zeros(STEPS + 2 * CONTEXT, np.uint8)
+    out[low - at + CONTEXT : high - at + CONTEXT] = np.frombuffer(data, np.uint8, high - low, low)
+    return out, min(STEPS, len(data) - at)
 
 
 def train(rows: list[tuple[str, str]], updates: int = UPDATES, seed: int = 7) -> Network | None:
-    """Fit on (text, language) rows; languages are drawn evenly."""
+    """Fit on (text, language) rows; languages are drawn evenly, then texts, then places."""
     r = np.random.Generator(np.random.PCG64(seed))
-    by: dict[str, list] = {}
+    by: dict[str, list[bytes]] = {}
     for text, lang in rows:
         if text and lang is not None and any(map(str.isalpha, text)):
-            w, n = windows(text.encode("utf-8", "replace"))
-            chosen = r.permutation(len(w))[:WINDOWS]
-            by.setdefault(lang, []).extend((w[i], n[i]) for i in chosen)
+            by.setdefault(lang, []).append(text.encode("utf-8", "replace"))
     languages = sorted(by)
     if not languages:
         return None
     net = blank(languages, seed)
-    pools = [(np.stack([w for w, _ in by[k]]), np.array([n for _, n in by[k]])) for k in languages]
     first = [np.zeros_like(p) for p in net.parameters()]
     second = [np.zeros_like(p) for p in net.parameters()]
     for step in range(1, updates + 1):
         y = r.integers(0, len(languages), BATCH)
-        picks = [r.integers(0, len(pools[k][0])) for k in y]
-        x = np.stack([pools[k][0][i] for k, i in zip(y, picks, strict=True)]).T
-        mask = (np.arange(STEPS)[:, None] < np.array([pools[k][1][i] for k, i in zip(y, picks, strict=True)])[None, :]).astype(np.float32)
+        texts = [by[languages[k]][r.integers(0, len(by[languages[k]]))] for k in y]
+        drawn = [window_at(t, int(r.integers(0, max(1, len(t) - STEPS // 2)))) for t in texts]
+        x = np.stack([w for w, _ in drawn]).T
+        mask = (np.arange(STEPS)[:, None] < np.array([n for _, n in drawn])[None, :]).astype(np.float32)
         _, grads = gradients(net, np.ascontiguousarray(x), y, mask)
         rate = RATE * min(1.0, 2 * (1 - step / (updates + 1)))
         norm = float(np.sqrt(sum(float((g * g).sum()) for g in grads)))
@@ -189,6 +190,20 @@ def train(rows: list[tuple[str, str]], updates: int = UPDATES, seed: int = 7) ->
     return net
 
 
+def position_labels(net: Network, text: str | None) -> list[tuple[int, int, str]]:
+    """The labels of all positions as runs (start, end, language) over the bytes of a text's UTF-8; a few windows run at once, however long it is."""
+    if not text:
+        return []
+    cut, lengths = windows(text.encode("utf-8", "replace"))
+    best = []
+    for at in range(0, len(cut), RUN):
+        p, _ = positions(net, np.ascontiguousarray(cut[at : at + RUN].T))
+        best += [k[:n] for k, n in zip(p.argmax(axis=1).T, lengths[at : at + RUN], strict=True)]
+    labels = np.concatenate(best)
+    edges = np.flatnonzero(np.concatenate([[True], labels[1:] != labels[:-1], [True]]))
+    return [(int(a), int(b), net.languages[labels[a]]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
 def probabilities(net: Network, texts: list[str | None]) -> np.ndarray:
     """Mean distribution over all positions of each text (n, C); zeros for empty texts. Windows of all texts run together."""
     out = np.zeros((len(texts), len(net.languages)))
@@ -240,16 +255,16 @@ def chosen(docs: DataFrame, bound: int = LEARN_ROWS, least: int = LEAST_ROWS) ->
 
 def learned(docs: DataFrame, bound: int = LEARN_ROWS) -> Network | None:
     """Fit on a bounded number of documents; only those texts come to the driver."""
-    # windows are all that training looks at, but which ones depends on whole texts
     got = chosen(docs, bound).toPandas()
     return train(list(zip(got["text"], got["lang"], strict=True)))
 
 
 def with_language(docs: DataFrame, net: Network | None, text: str = "text") -> DataFrame:
-    """The operator: adds lang_pred and lang_score."""
+    """The operator: adds lang_pred and lang_score (columns of these names are replaced)."""
     prepare(docs.sparkSession)
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("lang_pred", "lang_score")]
     if net is None:
-        return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("lang_score", F.lit(0.0))
+        return as_rows(docs).select(*own, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("lang_score"))
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     @F.pandas_udf("lang string, score double")
@@ -261,7 +276,22 @@ def with_language(docs: DataFrame, net: Network | None, text: str = "text") -> D
             letters = [bool(t) and any(map(str.isalpha, t)) for t in texts]
             yield pd.DataFrame({"lang": [m.languages[k] if ok else UNKNOWN for k, ok in zip(best, letters, strict=True)], "score": [float(min(1.0, p[i, k])) if letters[i] else 0.0 for i, k in enumerate(best)]})
 
-    return docs.withColumn("_r", predict(F.col(text))).withColumn("lang_pred", F.col("_r.lang")).withColumn("lang_score", F.col("_r.score")).drop("_r")
+    found = as_rows(docs).select("row", predict(F.col(f"row.{text}" if "." in text else f"row.`{text}`")).alias("found"))
+    return found.select(*own, F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("lang_score"))
+
+
+def with_position_labels(docs: DataFrame, net: Network | None, text: str = "text", to: str = "lang_runs") -> DataFrame:
+    """The operator's other output: adds the labels of all positions, an array of runs (start, end, lang) over the text's bytes."""
+    prepare(docs.sparkSession)
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != to]
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+
+    @F.pandas_udf("array<struct<start:int,end:int,lang:string>>")
+    def label(texts: pd.Series) -> pd.Series:
+        m = shared.value
+        return pd.Series([[dict(zip(("start", "end", "lang"), x, strict=True)) for x in position_labels(m, t)] if m else [] for t in texts])
+
+    return as_rows(docs).select(*own, label(F.col(f"row.`{text}`")).alias(to))
 
 
 def op4_byte_bigru_language(docs: DataFrame) -> DataFrame:

@@ -274,7 +274,7 @@ def test_gated_network_learns():
     for p in (net.inputs, net.recurrent):
         for i in (0, 1):
             p[i] = p[i].astype(np.float64)
-    x, y, mask = r.integers(0, 256, (6, 5)).astype(np.uint8), r.integers(0, 3, 5), np.ones((6, 5), np.float32)
+    x, y, mask = r.integers(0, 256, (6 + 2 * langid.CONTEXT, 5)).astype(np.uint8), r.integers(0, 3, 5), np.ones((6, 5), np.float32)
     mask[4:, 2] = 0
     _, grads = langid.gradients(net, x, y, mask)
     for p, g in zip(net.parameters(), grads, strict=True):
@@ -294,7 +294,34 @@ def test_gated_network_learns():
     assert all(trained.languages[k] == lang for k, (_, lang) in zip(p.argmax(axis=1), rows[150:], strict=False)) and p[-1].sum() == 0
 
 
-def test_language(docs, empty):
+def brute_network(net, data):
+    """Probabilities of every position, byte by byte, window by window, by the equations."""
+    logistic = lambda v: 1 / (1 + np.exp(-v))
+
+    def step(k, state, byte):
+        h = langid.UNITS
+        w, u = net.inputs[k][:, byte].astype(float), net.recurrent[k].astype(float)
+        z, r = logistic(w[:h] + u[:h] @ state), logistic(w[h : 2 * h] + u[h : 2 * h] @ state)
+        n = np.tanh(w[2 * h :] + r * (u[2 * h :] @ state))
+        return (1 - z) * n + z * state
+
+    at = lambda i: data[i] if 0 <= i < len(data) else 0
+    out = []
+    for low in range(0, len(data), langid.STEPS):
+        high = low + langid.STEPS
+        states = {}
+        for k, places in ((0, range(low - langid.CONTEXT, high)), (1, range(high + langid.CONTEXT - 1, low - 1, -1))):
+            state = np.zeros(langid.UNITS)
+            for i in places:
+                state = step(k, state, at(i))
+                states[(k, i)] = state
+        for i in range(low, min(high, len(data))):
+            v = net.output.astype(float) @ np.concatenate([states[(0, i)], states[(1, i)]]) + net.bias[:, 0]
+            out.append(np.exp(v - v.max()) / np.exp(v - v.max()).sum())
+    return np.array(out)
+
+
+def test_language(spark, docs, empty):
     out = {(x["doc_id"], x["lang_pred"]): x for x in langid.op4_byte_bigru_language(docs).collect()}
     by = {k[0]: x for k, x in out.items()}
     und = {x["doc_id"] for x in docs.collect() if not any(map(str.isalpha, x["text"] or ""))}
@@ -304,6 +331,36 @@ def test_language(docs, empty):
     assert langid.op4_byte_bigru_language(empty).count() == 0
     kept = langid.identified_documents(docs)
     assert kept.columns == docs.columns and kept.where("score = 0.5 or score is null").count() == kept.count()
+    # the query and both outputs of the operator against the equations
+    net = langid.learned(docs)
+    for x in docs.collect():
+        if not x["text"] or x["doc_id"] in und or len(x["text"]) > 1000:
+            continue
+        p = brute_network(net, x["text"].encode())
+        mean = p.mean(axis=0)
+        assert by[x["doc_id"]]["score"] == pytest.approx(mean.max(), abs=1e-4) and by[x["doc_id"]]["lang_pred"] == net.languages[mean.argmax()]
+        sure = np.sort(p, axis=1)[:, -1] - np.sort(p, axis=1)[:, -2] > 1e-3
+        labels = [k for a, b, k in langid.position_labels(net, x["text"]) for _ in range(a, b)]
+        assert len(labels) == len(p) and all(net.languages[k] == got for k, got, ok in zip(p.argmax(axis=1), labels, sure, strict=True) if ok)
+    clash = langid.with_language(docs.select("text", F.lit(1).alias("_r"), F.lit(2).alias("row"), F.lit(3).alias("lang_pred")), net)
+    assert clash.columns == ["text", "_r", "row", "lang_pred", "lang_score"] and {(x["_r"], x["row"]) for x in clash.collect()} == {(1, 2)}
+    # a text in two languages is labelled in two parts, also far from its start
+    r = random.Random(3)
+    make = lambda s, n: " ".join("".join(r.choice(s) for _ in range(r.randint(2, 7))) for _ in range(n))
+    net = langid.train([(make("abcdefg", 60), "x") for _ in range(60)] + [(make("nopqrst", 60), "y") for _ in range(60)])
+    front, back = make("abcdefg", 20_000), make("nopqrst", 300)
+    labelled = langid.with_position_labels(spark.createDataFrame([(front + " " + back,), (None,), ("",)], "text string"), net).collect()
+    runs = labelled[0]["lang_runs"]
+    assert [x["lang_runs"] for x in labelled[1:]] == [[], []] and runs[0]["start"] == 0 and runs[-1]["end"] == len(front) + 1 + len(back)
+    right = sum(min(x["end"], len(front)) - x["start"] for x in runs if x["lang"] == "x" and x["start"] < len(front)) + sum(x["end"] - max(x["start"], len(front)) for x in runs if x["lang"] == "y" and x["end"] > len(front))
+    assert right > 0.98 * (len(front) + len(back))
+
+
+def test_language_held_out(spark):
+    """Held-out documents of a scale factor are told apart."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = langid.op4_byte_bigru_language(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null and lang_pred <> 'und'").collect()
+    assert len(out) > 200 and np.mean([x["lang"] == x["lang_pred"] for x in out]) > 0.97
 
 
 def test_bit_packing(spark, docs, empty):
