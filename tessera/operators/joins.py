@@ -104,3 +104,11 @@ def children(nodes: DataFrame, key: str, parent: str) -> DataFrame:
 def arms(attempts: DataFrame, key: list[str], arm: str, names: list[str], value: str) -> DataFrame:
     """Mean value of each arm side by side."""
     return attempts.groupBy(*key).pivot(arm, names).agg(F.avg(value))
+
+
+def interval_join(points: DataFrame, spans: DataFrame, by: list[str], at: str, start: str, end: str, width: float) -> DataFrame:
+    """Points with the spans (start <= at < end) they lie in. Spans are posted under every stretch of `width` they touch, points under their own, so the join
+    is an equality on stretches: choose a width near the usual span's, as a span costs a row for each stretch it touches."""
+    stretch = lambda c: F.floor(F.col(c).cast("double") / F.lit(float(width)))
+    posted = spans.where(F.col(end) > F.col(start)).withColumn("_stretch", F.explode(F.sequence(stretch(start), stretch(end))))
+    return points.withColumn("_stretch", stretch(at)).join(posted, [*by, "_stretch"]).where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("_stretch")

@@ -85,3 +85,21 @@ def admitted(turns: DataFrame, by: list[str], order: list[str], exclusion: Colum
 
 def one_split(df: DataFrame, group: str, split: str) -> DataFrame:
     return crossing(df, group, split)
+
+
+def source_issues(rows: DataFrame, sources: DataFrame, exported: DataFrame) -> DataFrame:
+    """(row, issue) of rows (row, source, stated lineage or null) whose source isn't there, that the export doesn't hold, or that state another lineage than
+    their source (source, lineage); the first of these."""
+    known = sources.select("source", "lineage", F.lit(True).alias("_known"))
+    held = exported.select("row").distinct().withColumn("_held", F.lit(True))
+    joined = rows.join(known, "source", "left").join(held, "row", "left")
+    issue = F.when(F.col("_known").isNull(), "source_unknown").when(F.col("_held").isNull(), "row_not_exported").when(F.col("stated") != F.col("lineage"), "lineage_differs")
+    return joined.select("row", issue.alias("issue")).where("issue is not null")
+
+
+def registration(roots: DataFrame) -> DataFrame:
+    """(violation, subject) of registered roots (id, session, task, frozen): ids that stand twice, sessions of more than one task, banks that aren't frozen."""
+    twice = roots.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("repeated_id").alias("violation"), F.col("id").cast("string").alias("subject"))
+    many = roots.groupBy("session").agg(F.countDistinct("task").alias("n")).where("n > 1").select(F.lit("session_of_many_tasks").alias("violation"), F.col("session").cast("string").alias("subject"))
+    open_ = roots.where(~F.coalesce("frozen", F.lit(False))).select(F.lit("unfrozen_bank").alias("violation"), F.col("id").cast("string").alias("subject"))
+    return twice.unionByName(many).unionByName(open_)

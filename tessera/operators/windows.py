@@ -44,6 +44,15 @@ def accepted_up_to(df: DataFrame, by: list[str], order: list[str], accepted: Col
     return df.withColumn("accepted", accepted).withColumn("accepted_before", seen).where(F.col("accepted_before") < count)
 
 
+def check_routes(weights: list[tuple[str, float]], known: set[str]) -> None:
+    """Routes must name known choices, each once, with weights of 0 or more that aren't all 0."""
+    names = [n for n, _ in weights]
+    if set(names) - known or len(set(names)) < len(names):
+        raise ValueError(f"routes must name known choices once: {', '.join(sorted(n for n in set(names) if n not in known or names.count(n) > 1))}")
+    if not weights or any(not isinstance(w, (int, float)) or isinstance(w, bool) or w < 0 for _, w in weights) or not sum(w for _, w in weights):
+        raise ValueError("weights must be 0 or more, and not all 0")
+
+
 def weighted_choice(df: DataFrame, draw: Column, weights: list[tuple[str, float]]) -> Column:
     """The name whose cumulative weight first exceeds the draw in [0, 1)."""
     total, upto, out = sum(w for _, w in weights), 0.0, None

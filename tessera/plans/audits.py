@@ -41,12 +41,12 @@ def single_catalog(t):
 
 
 @query(f"""
-WITH want AS (SELECT DISTINCT source FROM documents), have AS (SELECT DISTINCT source, {_SPLIT_SQL} AS split FROM documents)
+WITH want AS (SELECT DISTINCT source FROM documents), have AS (SELECT DISTINCT source, {_SPLIT_SQL} AS split FROM documents WHERE n_chars > 6000)
 SELECT w.source, s.s AS split FROM want w, (VALUES ('train'), ('validation'), ('system_test')) s(s) WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.source = w.source AND h.split = s.s)
 """)
 def focus_coverage(t):
-    have = with_split(t("documents").select("doc_id", "source")).select("source", "split").distinct()
-    want = have.select("source").distinct().withColumn("split", F.explode(F.array(F.lit("train"), F.lit("validation"), F.lit("system_test"))))
+    have = with_split(t("documents").where("n_chars > 6000").select("doc_id", "source")).select("source", "split").distinct()
+    want = t("documents").select("source").distinct().withColumn("split", F.explode(F.array(F.lit("train"), F.lit("validation"), F.lit("system_test"))))
     return joins.missing(want, have, ["source", "split"])
 
 

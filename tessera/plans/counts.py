@@ -64,10 +64,15 @@ def exact_agreement(t):
 
 
 @query("""
-SELECT event_type AS model, count(*) AS calls, CAST(sum(coalesce(CAST(props->>'$.prompt_tokens' AS BIGINT), CAST(props->>'$.input_tokens' AS BIGINT), 0)) AS BIGINT) AS prompt, CAST(sum(CAST(props->>'$.k' AS BIGINT)) AS BIGINT) AS output FROM events GROUP BY 1
+SELECT coalesce(nullif(event_type, 'signup'), '?') AS model, count(*) AS calls, CAST(sum(CASE WHEN event_id % 3 = 0 THEN k WHEN event_id % 3 = 1 THEN k + 1 ELSE 0 END) AS BIGINT) AS prompt, CAST(sum(k) AS BIGINT) AS output
+FROM (SELECT *, CAST(props->>'$.k' AS BIGINT) AS k FROM events) GROUP BY 1
 """)
 def usage_by_model(t):
-    return t("events").groupBy(F.coalesce("event_type", F.lit("?")).alias("model")).agg(F.count("*").alias("calls"), F.sum(aggregates.usage_tokens(F.col("props"))).alias("prompt"), F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("output"))
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    # a third of the documents has the one key, a third the other, a third none
+    document = F.to_json(F.struct(F.when(F.col("event_id") % 3 == 0, k).alias("prompt_tokens"), F.when(F.col("event_id") % 3 < 2, k + 1).alias("input_tokens")))
+    e = t("events").select(F.nullif("event_type", F.lit("signup")).alias("model"), k.alias("k"), document.alias("document"))
+    return e.groupBy(F.coalesce("model", F.lit("?")).alias("model")).agg(F.count("*").alias("calls"), F.sum(aggregates.usage_tokens(F.col("document"))).alias("prompt"), F.sum("k").alias("output"))
 
 
 @query("SELECT round(sum(l_quantity * p_retailprice) / 1000000, 2) AS spend FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 10")
@@ -109,9 +114,16 @@ def exclusions_by_reason(t):
     return t("documents").select(F.when(F.col("n_chars") < 200, "short").when(F.col("n_chars") > 5000, "long").alias("reason")).where("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("SELECT coalesce(props->>'$.code', 'unknown') AS code, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1")
+@query("""
+SELECT CASE WHEN k % 4 > 0 THEN 'c' || k % 4 ELSE 'unknown' END AS code, count(*) AS n FROM (SELECT *, CAST(props->>'$.k' AS INTEGER) AS k FROM events) WHERE event_type = 'error' AND event_id % 3 > 0 GROUP BY 1
+""")
 def faults_by_code(t):
-    return t("events").where("event_type = 'error'").groupBy(F.coalesce(F.get_json_object("props", "$.code"), F.lit("unknown")).alias("code")).agg(F.count("*").alias("n"))
+    k = F.get_json_object("props", "$.k").cast("int") % 4
+    detail = F.to_json(F.struct(F.when(k > 0, F.concat(F.lit("c"), k.cast("string"))).alias("code")))
+    # an underscore is a wildcard unless it is escaped: the stage of every third event only looks alike
+    stage = F.concat(F.when(F.col("event_id") % 3 == 0, "collectionXtrialX").otherwise("collection_trial_"), F.col("event_id").cast("string"))
+    e = t("events").where("event_type = 'error'").select(stage.alias("stage"), detail.alias("detail")).where(F.col("stage").like("collection\\_trial\\_%"))
+    return e.groupBy(F.coalesce(F.get_json_object("detail", "$.code"), F.lit("unknown")).alias("code")).agg(F.count("*").alias("n"))
 
 
 @query("""

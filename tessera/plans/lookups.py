@@ -224,9 +224,3 @@ def final_decisions(t):
     once = t("lineitem").where("l_linestatus = 'F'").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("f"))
     d = once.groupBy(F.col("l_orderkey").alias("episode")).agg(F.max_by("f", "l_linenumber").alias("decision"), F.max("l_linenumber").alias("receipt"))
     return t("orders").select(F.col("o_orderkey").alias("episode"), F.col("o_custkey").alias("item")).join(d, "episode")
-
-
-@query("SELECT doc_id, text FROM benchmark b JOIN (SELECT doc_id, item_id FROM (SELECT doc_id, doc_id % 40 AS item_id FROM documents)) d ON b.item_id = d.item_id")
-def repositories_by_partition(t):
-    d = t("documents").select("doc_id", (F.col("doc_id") % 40).alias("item_id"))
-    return d.join(t("benchmark"), "item_id").select("doc_id", "text")

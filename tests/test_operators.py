@@ -7,8 +7,8 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import arrays, hashing, stats, text
-from tessera.operators import aggregates, filters, graphs, joins, validation, windows
+from tessera.functions import arrays, exact, hashing, schema, stats, text
+from tessera.operators import aggregates, campaign, filters, graphs, joins, validation, windows
 from tessera.sources import readers, writers
 from tessera.streaming import windows as streams
 
@@ -414,3 +414,125 @@ def test_other_readers(spark, tmp_path):
     for bad, said in (('{"a": 1, "b": {"c": 1}}', "wrong types: b.c"), ('{"a": 1, "b": {}}', "missing keys: b.c"), ('{"a": 1, "b": {"c": "x", "z": 1}}', "unknown keys: b.z"), ('{"a": true, "b": {"c": "x"}}', "wrong types: a"), ("[]", "the document")):
         with pytest.raises(ValueError, match=said):
             readers.strict_config(bad, spec)
+
+
+def test_schema_compiles(spark):
+    rule = {
+        "$schema": "x", "type": "object", "required": ["id", "tags"], "additionalProperties": False,
+        "properties": {
+            "id": {"type": "integer", "minimum": 1, "exclusiveMaximum": 10},
+            "name": {"type": ["string", "null"], "minLength": 2, "maxLength": 4, "pattern": "^[a-z]+$"},
+            "tags": {"type": "array", "minItems": 1, "maxItems": 3, "uniqueItems": True, "items": {"type": "object", "required": ["k"], "properties": {"k": {"enum": ["a", 2, None, True]}}}},
+            "rate": {"type": "number", "maximum": 1, "exclusiveMinimum": 0},
+            "fixed": {"const": "v1"}, "never": False,
+        },
+    }
+    ok = '"id": 3, "tags": [{"k": "a"}]'
+    cases = [
+        (f"{{{ok}}}", None), (f'{{{ok}, "name": null, "rate": 0.5, "fixed": "v1"}}', None), ('{"id": 3.0, "tags": [{"k": 2}, {"k": null}, {"k": true}]}', None),
+        ("[]", "$: type"), ('"x"', "$: type"), ("null", "$: type"), ('{"id": 3}', "$: required tags"), ('{"tags": []}', "$: required id"),
+        (f'{{{ok}, "more": 1}}', "$: additionalProperties"), ('{"id": "3", "tags": [{"k": 2}]}', "$.id: type"), ('{"id": 0, "tags": [{"k": 2}]}', "$.id: minimum"),
+        ('{"id": 10, "tags": [{"k": 2}]}', "$.id: exclusiveMaximum"), ('{"id": 1.5, "tags": [{"k": 2}]}', "$.id: type"), (f'{{{ok}, "name": "a"}}', "$.name: minLength"), (f'{{{ok}, "name": "abcde"}}', "$.name: maxLength"),
+        (f'{{{ok}, "name": "aB"}}', "$.name: pattern"), (f'{{{ok}, "name": 5}}', "$.name: type"), ('{"id": 3, "tags": []}', "$.tags: minItems"), ('{"id": 3, "tags": [{"k": 2}, {"k": "a"}, {"k": null}, {"k": true}]}', "$.tags: maxItems"),
+        ('{"id": 3, "tags": [{"k": 2}, {"k": 2}]}', "$.tags: uniqueItems"), ('{"id": 3, "tags": [{"k": 2}, {}]}', "$.tags[]: required k"), ('{"id": 3, "tags": [{"k": "b"}]}', "$.tags[].k: enum"), ('{"id": 3, "tags": [7]}', "$.tags[]: type"),
+        (f'{{{ok}, "rate": 2}}', "$.rate: maximum"), (f'{{{ok}, "rate": 0}}', "$.rate: exclusiveMinimum"), (f'{{{ok}, "fixed": "v2"}}', "$.fixed: const"), (f'{{{ok}, "never": 1}}', "$.never: false"),
+    ]
+    df = spark.createDataFrame(cases, "doc string, want string").withColumn("got", schema.first_error(F.try_parse_json("doc"), rule))
+    assert [(r["doc"], r["got"]) for r in df.collect()] == cases
+    # what isn't JSON, or isn't there, has no type
+    bad = spark.createDataFrame([("{",), (None,)], "doc string").select(schema.first_error(F.try_parse_json("doc"), rule).alias("e"))
+    assert [r["e"] for r in bad.collect()] == ["$: type"] * 2
+    with pytest.raises(ValueError, match="oneOf"):
+        schema.first_error(F.lit(None), {"properties": {"a": {"oneOf": []}}})
+
+
+def test_exact_functions(spark):
+    values = [0.5, 1.5, 2.675, 1.005, 0.125, -0.125, 1e300, float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(exact.half_even(F.col("v"), 2).alias("r"))
+    got = [r["r"] for r in df.collect()]
+    assert [x for x in got if x == x and x is not None] == [round(v, 2) for v in values if v is not None and v == v] and got[-1] is None
+    assert one(spark, exact.set_json(F.lit('{"b": {"x": 1}, "a": 2}'), "b.y.z", F.lit("[3]"))) == '{"a":2,"b":{"x":1,"y":{"z":[3]}}}'
+    assert one(spark, exact.set_json(F.lit("[1]"), "a", F.lit("1"))) is None and one(spark, exact.set_json(F.lit('{"a": 1}'), "a.b", F.lit("1"))) is None
+    names = exact.register(spark)
+    assert set(names) >= {"half_even", "closed_draw", "seeded_position"}
+    r = spark.sql("select seeded_position('s', 'k') p, closed_draw('s', 'k') d, first_sentence('One. Two.') f, duration_minutes('2h') m, file_stem('a/b.c.d') s, half_even(2.675D, 2) h").first()
+    assert (r["f"], r["m"], r["s"], r["h"]) == ("One.", 120, "b", round(2.675, 2))
+    assert r["p"] == one(spark, hashing.position("s", F.lit("k"))) and r["d"] == one(spark, hashing.closed_draw("s", F.lit("k")))
+
+
+def test_signatures_and_bindings(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "id int, name string")
+    held = campaign.run_signature(df, {"units": ["x"]})
+    assert campaign.run_signature(df.repartition(3).orderBy(F.desc("id")), {"units": ["x"]}) == held
+    assert campaign.run_signature(df.dropDuplicates(), {"units": ["x"]}) != held and campaign.run_signature(df.limit(0), {})["inputs_sha256"]
+    assert campaign.check_signature(None, held) == held == campaign.check_signature(held, held)
+    with pytest.raises(joins.IntegrityError, match="units"):
+        campaign.check_signature(held, held | {"units": []})
+    depends = {"rows": ("host", "catalog"), "heads": ("host",)}
+    values = {"host": "h1", "catalog": "c1"}
+    binding = campaign.bound(values, "rows", depends)
+    assert binding["sha256"] == hashlib.sha256(b'{"catalog":"c1","host":"h1"}').hexdigest()
+    assert campaign.still_bound(binding, values | {"other": "x"}, "rows", depends) and not campaign.still_bound(binding, values | {"host": "h2"}, "rows", depends)
+    for bad in (({"host": ""}, "rows"), ({"host": "h"}, "rows"), (values, "none")):
+        with pytest.raises(ValueError):
+            campaign.bound(*bad, depends)
+
+
+def test_scaled_and_routes(spark):
+    a = spark.createDataFrame([("a", 10, 0.5, 3), ("b", 1, 0.5, 3), ("c", 5, 0.5, 3)], "id string, per_workspace int, follow_up_rate double, max_follow_ups int")
+    assert rows(campaign.scaled(a, share=0.5), "id", "per_workspace") == [("a", 5), ("b", 1), ("c", 2)]
+    assert rows(campaign.scaled(a, cap=4, chosen=["a"]), "id", "per_workspace") == [("a", 4)]
+    with pytest.raises(ValueError, match="unknown archetypes: z"):
+        campaign.scaled(a, chosen=["a", "z"])
+    with pytest.raises(ValueError):
+        campaign.scaled(a, share=1.5)
+    windows.check_routes([("m", 1), ("n", 0)], {"m", "n"})
+    for bad in ([], [("m", 0)], [("m", -1), ("n", 2)], [("x", 1)], [("m", 1), ("m", 2)]):
+        with pytest.raises(ValueError):
+            windows.check_routes(bad, {"m", "n"})
+
+
+def test_quota_and_ledger_edges(spark):
+    schema_ = "partition string, place int, task string, focus string, grp string, attempt int, success boolean"
+    a = spark.createDataFrame([("p", 1, "t1", "f", "g1", 0, False), ("p", 1, "t1", "f", "g1", 1, True), ("p", 1, "t1", "f", "g1", 2, True), ("p", 2, "t2", "f", "g1", 0, True), ("p", 3, "t3", "f", "g2", 0, False), ("p", 4, "t4", "f", "g2", 0, True), ("p", 5, "t5", "f", "g3", 0, True), ("q", 1, "u", "f", "g", 0, False)], schema_)
+    got = rows(campaign.quota_collection(a, 2, 2, ["f"]), "task", "attempt", "admitted")
+    assert got == [("t1", 0, False), ("t1", 1, True), ("t2", 0, True), ("t3", 0, False), ("t4", 0, True), ("u", 0, False)]
+    assert campaign.quota_collection(a, 9, 2, ["f"]).count() == 7 and campaign.quota_collection(a.limit(0), 2, 2, ["f"]).count() == 0
+
+
+def test_interval_join_edges(spark):
+    points = spark.createDataFrame([(k, float(v)) for k in ("a", "b") for v in range(-12, 13)], "k string, at double")
+    spans = spark.createDataFrame([("a", 1, -5.0, 0.0), ("a", 2, 0.0, 0.5), ("a", 3, 3.0, 3.0), ("a", 4, -100.0, 100.0), ("c", 5, 0.0, 9.0), ("a", 6, 2.5, 7.5)], "k string, span int, low double, high double")
+    got = rows(joins.interval_join(points, spans, ["k"], "at", "low", "high", 2.0), "span", "at")
+    want = sorted((s, a) for k, a in ((r["k"], r["at"]) for r in points.collect()) for j, s, low, high in ((r["k"], r["span"], r["low"], r["high"]) for r in spans.collect()) if j == k and low <= a < high)
+    assert got == want
+
+
+def _streamed(spark, tmp_path, name, make, batches):
+    """Rows that a stream over JSON files, one batch each, appends to memory."""
+    source = tmp_path / name
+    source.mkdir()
+    stream = spark.readStream.schema("k string, ts timestamp, bad boolean, value double").option("maxFilesPerTrigger", 1).json(f"file://{source}")
+    query = make(stream).writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", f"file://{tmp_path}/{name}-ck").start()
+    try:
+        for i, batch in enumerate(batches):
+            (source / f"{i}.json").write_text("".join(json.dumps(dict(zip(("k", "ts", "bad", "value"), r, strict=True))) + "\n" for r in batch))
+            query.processAllAvailable()
+        return spark.table(name).collect()
+    finally:
+        query.stop()
+
+
+def test_late_rows_are_dropped(spark, tmp_path):
+    at = lambda h, m=0: f"2024-01-01T{h:02}:{m:02}:00Z"
+    batches = [[("a", at(0, 5), False, 1.0), ("a", at(0, 50), False, 1.0)], [("a", at(5), False, 1.0)], [("a", at(0, 10), False, 1.0), ("a", at(4, 30), False, 1.0)], [("a", at(9), False, 1.0)], [("a", at(9, 1), False, 1.0)]]
+    got = _streamed(spark, tmp_path, "late", lambda s: streams.tumbling(s, "ts", "1 hour", ["k"], "1 hour"), batches)
+    # the row of hour 0 that came after the watermark had passed it counts nowhere; that of hour 4 was in time
+    assert sorted((r["start"].hour, r["n"]) for r in got) == [(0, 2), (4, 1), (5, 1)]
+
+
+def test_stream_stops(spark, tmp_path):
+    at = lambda m: f"2024-01-01T00:{m:02}:00Z"
+    batches = [[("a", at(0), True, 0.0), ("b", at(0), False, 0.0), ("a", at(1), True, 0.0)], [("a", at(2), True, 0.0), ("a", at(3), True, 0.0)], [("c", at(30), False, 0.0)], [("c", at(31), True, 0.0), ("b", at(32), False, 0.0)], [("c", at(59), True, 0.0)], [("d", at(59), True, 0.0)]]
+    got = sorted((r["k"], r["reason"], r["at"].minute) for r in _streamed(spark, tmp_path, "stops", lambda s: streams.stopped(s, "k", "ts", "bad", 2, "20 minutes"), batches))
+    assert got == [("a", "faults", 2), ("b", "overdue", 20), ("c", "overdue", 50)]
