@@ -16,7 +16,7 @@ place in the shard, the shard's place in the partition (written with it) and one
 number is bounded by the shuffle's.
 
 Defined results: a null text is encoded as an empty one and so holds the end id alone; a null doc_id sorts first; repeated
-doc_ids are written one after the other, ordered by text; texts of any length are encoded whole, and a shard ends after the
+doc_ids are written one after the other, ordered by the hash of the text and the text; texts of any length are encoded whole, and a shard ends after the
 document that fills it; an empty table gives no shard and no row; extra columns are ignored.
 """
 
@@ -197,8 +197,9 @@ def write_shards(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
     """The writer: (part, seq, before, n_tokens, n_docs, shard) rows, not yet stored. `before` counts the partition's ids before the shard."""
     prepare(docs.sparkSession)
     path = path or vocabulary_path()
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    # the hash lets ranges part the texts of one id, or of none
+    ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)

@@ -9,8 +9,8 @@ Everything is DataFrame work. Cumulative sums run in two levels, (source, slice
 one slice, so no task ever holds a whole source, however large the source is.
 
 Defined results: a null text has size 0; documents of size 0 take nothing; a null source is a source of its own, last in
-order; repeated rows are separate documents and share the demand like any others; an empty table gives an empty mix; extra
-columns of the input are ignored.
+order; repeated rows are separate documents and share the demand like any others; documents of equal positions follow each other by
+id; an empty table gives an empty mix; extra columns of the input are ignored. Sources are configuration-sized: one row for each goes through one task.
 """
 
 from __future__ import annotations
@@ -87,15 +87,15 @@ def _inverted(share: Column, schedule: Column, knots=KNOTS) -> Column:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, schedules=SCHEDULES, seed: str = "mix") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, times, start (words of its source before it), position.
+    """One row per document: doc_id, source, size, text_hash, source_size, target, taken, times, start (words of its source before it), position, position_again.
 
     Documents are taken in the order of a seeded hash. A target up to the source's size takes documents until the target is
     met; a larger target takes all of them once and those up to the rest again. A document whose interval holds the boundary
     is taken if the boundary lies past its middle, so a source ends within half a document of its target.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    # a fixed place in its source for each row; repeated rows share it, and any order among them gives the same result
-    sized = saved(sized.withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "size")), "mix-sizes")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"))
+    # a fixed place in its source for each row; equal rows share it, and any order among them gives the same result
+    sized = saved(sized.withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "text_hash")), "mix-sizes")
     targets = source_targets(sized, weights, share, most).withColumn("schedule", F.element_at(F.array(*(F.array(*map(F.lit, s)) for s in schedules)), (F.pmod(F.col("rank"), F.lit(len(schedules))) + 1).cast("int")))
     slices = max(1, -(-sized.count() // SLICE_ROWS))
     sized = sized.withColumn("slice", F.floor((F.col("place").cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.lit(slices)).cast("long"))
@@ -103,7 +103,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     ahead = W.partitionBy("source").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     per_slice = per_slice.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words")
     dealt = per_slice.join(targets, per_slice["source"].eqNullSafe(targets["source"])).select(per_slice["source"], "slice", "ahead", "rank", "source_size", "target", "schedule")
-    inside = W.partitionBy("source", "slice").orderBy("place", "doc_id").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "slice").orderBy("place", "doc_id", "text_hash").rowsBetween(W.unboundedPreceding, -1)
     sized = sized.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = sized.alias("d").join(dealt.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")) & (F.col("d.slice") == F.col("s.slice")))
     start = F.col("ahead") + F.col("within")
@@ -111,7 +111,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     once = F.least(F.col("target"), F.col("source_size").cast("double"))
     again = F.greatest(F.col("target") - F.col("source_size"), F.lit(0.0))
     times = F.when(F.col("size") == 0, 0).otherwise((middle <= once).cast("int") + (middle <= again).cast("int"))
-    out = joined.select("doc_id", F.col("d.source").alias("source"), "size", "source_size", "target", start.alias("start"), times.alias("times"), "schedule")
+    out = joined.select("doc_id", F.col("d.source").alias("source"), "size", "text_hash", "source_size", "target", start.alias("start"), times.alias("times"), "schedule")
     out = out.withColumn("taken", (F.col("times") * F.col("size")).cast("long"))
     demand = (F.col("start") + F.col("size") / F.lit(2.0)) / F.nullif(F.col("target"), F.lit(0.0))
     first = F.when(F.col("times") >= 1, _inverted(demand, F.col("schedule")))
@@ -122,7 +122,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 def curriculum(mixed: DataFrame, partitions: int | None = None) -> DataFrame:
     """The training order: a row for each time a document is taken, range-sorted by position."""
     takes = mixed.withColumn("at", F.explode(F.filter(F.array("position", "position_again"), lambda x: x.isNotNull()))).drop("position", "position_again")
-    keys = ("at", "doc_id")
+    keys = ("at", "doc_id", "text_hash")
     takes = takes.repartitionByRange(partitions, *keys) if partitions else takes.repartitionByRange(*keys)
     return takes.sortWithinPartitions(*keys).withColumnRenamed("at", "position")
 
@@ -135,11 +135,20 @@ def op9_curriculum_mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The pipeline's stage: documents as often as the mix takes them, in training order, with the columns they came with."""
-    keyed = as_rows(docs).withColumn("n", word_count(F.col("row.text")))
-    plan = mix(docs).where("times > 0").select(F.col("doc_id").alias("pid"), F.col("size").alias("pn"), F.col("source").alias("ps"), F.array("position", "position_again").alias("at"))
-    # repeated rows (same id, source and size) are taken alike; max() keeps the fuller schedule
-    plan = plan.groupBy("pid", "pn", "ps").agg(F.max("at").alias("at"))
-    same = F.col("row.doc_id").eqNullSafe(F.col("pid")) & (F.col("n") == F.col("pn")) & F.col("row.source").eqNullSafe(F.col("ps"))
+    """The pipeline's stage: documents as often as the mix takes them, in training order, with the columns they came with.
+
+    A row is known by its id, source, size and the hash of its text. Rows that agree in all of these are copies; each time the mix takes one of
+    them, one row of theirs stands, so unlike texts under one id and copies alike are taken as often as planned.
+    """
+    key = {"pid": "doc_id", "ps": "source", "pn": "size", "ph": "text_hash"}
+    plan = saved(mix(docs).where("times > 0").select(*(F.col(c).alias(k) for k, c in key.items()), F.array("position", "position_again").alias("at")), "mix-plan")
+    keyed = as_rows(docs).withColumn("n", word_count(F.col("row.text"))).withColumn("h", F.xxhash64("row.text"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("pid")) & F.col("row.source").eqNullSafe(F.col("ps")) & (F.col("n") == F.col("pn")) & (F.col("h") == F.col("ph"))
+    copied = saved(plan.groupBy(*key).agg(F.count("*").alias("copies")).where("copies > 1").drop("copies"), "mix-copies")
+    if copied.take(1):
+        # of copies one row stands for all, so that joining them with their takes doesn't multiply them
+        apart = keyed.join(copied, same, "left_anti")
+        one = keyed.join(copied, same, "left_semi").groupBy("row.doc_id", "row.source", "n", "h").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row", "n", "h")
+        keyed = apart.unionByName(one)
     takes = keyed.join(plan, same).withColumn("pos", F.explode(F.filter("at", lambda x: x.isNotNull())))
-    return takes.repartitionByRange("pos").sortWithinPartitions("pos", "row.doc_id").select("row.*")
+    return takes.repartitionByRange("pos", "h").sortWithinPartitions("pos", "row.doc_id", "h").select("row.*")

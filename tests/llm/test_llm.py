@@ -247,6 +247,54 @@ def test_toxicity_held_out(spark):
     assert np.mean([(a > b) + 0.5 * (a == b) for a in bad for b in good]) > 0.95
 
 
+def test_near_duplicates_of_a_scale_factor(spark):
+    """All links of a whole table, found by brute force, and no other component."""
+    rows = [(x["doc_id"], x["text"]) for x in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    sets = {i: neardup.shingles(t) for i, t in rows}
+    ids, parent, links = sorted(sets), {i: i for i in sets}, 0
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for n, a in enumerate(ids):
+        x = sets[a]
+        for b in ids[n + 1 :]:
+            y = sets[b]
+            if not len(x) or not len(y) or 100 * min(len(x), len(y)) < 75 * max(len(x), len(y)) or not (x[:32].min() <= y.max() and y.min() <= x.max()):
+                continue
+            common_ = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * common_ >= 75 * (len(x) + len(y) - common_):
+                links, p, q = links + 1, root(a), root(b)
+                parent[max(p, q)] = min(p, q)
+    assert links > 100
+    out = {x["doc_id"]: x for x in neardup.op3_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all((out[i]["n_shingles"], out[i]["component_id"], out[i]["kept"]) == (len(sets[i]), root(i), root(i) == i) for i in ids)
+
+
+def test_sketches_bound_differences():
+    """Sketches of any two sets differ in no more bits than the sets differ in members, at every length; signatures within the bound share a posting."""
+    r = np.random.default_rng(3)
+    for n in (1, 40, 300, 5000):
+        base = np.unique(r.integers(0, 2**63, n, dtype=np.uint64))
+        for changed in (0, 1, n // 8, n // 2):
+            other = np.unique(np.concatenate([base[changed:], r.integers(0, 2**63, changed + changed // 2, dtype=np.uint64)]))
+            apart = len(np.setxor1d(base, other))
+            x, y = neardup.sketch(base), neardup.sketch(other)
+            assert np.bitwise_count((neardup.folded(x) ^ neardup.folded(y)).view(np.uint64)).sum() <= apart
+            while len(x) > len(y):
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            while len(y) > len(x):
+                y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+            assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= apart
+    for _ in range(300):
+        a = r.integers(0, 2**16, neardup.SYMBOLS)
+        b = a.copy()
+        b[r.choice(neardup.SYMBOLS, neardup.INDEX_DISTANCE, replace=False)] += 1
+        assert any(all(a[k] == b[k] for k in kept) for kept in neardup.SELECTIONS)
+
+
 def test_near_duplicates(docs, empty):
     rows = [(x["doc_id"], x["text"]) for x in docs.collect() if x["doc_id"] is not None]
     sets, roots = brute_components(rows)
@@ -374,7 +422,7 @@ def test_bit_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(bitpack.vocabulary_path())
-    rows = sorted(((x["doc_id"], x["text"] or "") for x in docs.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    rows = sorted(((x["doc_id"], x["text"] or "") for x in docs.collect()), key=lambda x: (x[0] is not None, x[0] or 0, signed_hash(x[1]), x[1]))
     want, at = [], 0
     for doc_id, text in rows:
         own = [*t.encode(text, add_special_tokens=False).ids, 1]
@@ -576,6 +624,55 @@ def test_winnowing_guarantee(spark):
     assert len(hashes[7]) == 1 and len(hashes[6] & hashes[8]) > 0.99 * len(hashes[6])
 
 
+def brute_forest(forest, row):
+    """A row's score, tree by tree and node by node."""
+    total = forest.base
+    for k in forest.roots:
+        while forest.left[k] != k:
+            k = forest.left[k] if row[forest.feature[k]] <= forest.threshold[k] else forest.right[k]
+        total += forest.value[k]
+    return 1 / (1 + np.exp(-total))
+
+
+def brute_features(text):
+    """The statistics by their names."""
+    w, data = words(text), (text or "").encode()
+    if not w:
+        return np.zeros(len(textstats.FEATURES))
+    n, lengths, held = len(data), [len(x.encode()) for x in w], Counter(w)
+    of = lambda chars: sum(data.count(c.encode()) for c in chars) / n
+    lines = [x for x in re.split(r"\n", text) if words(x)]
+    runs = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    repeated = {j for i in range(len(w) - 4) if runs[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+    shares = [c / n for c in Counter(data).values()]
+    upper, lower = sum(65 <= c <= 90 for c in data), sum(97 <= c <= 122 for c in data)
+    capital = sum("A" <= x[0] <= "Z" for x in w)
+    return np.array([
+        np.log1p(n), np.log1p(len(w)), np.mean(lengths), np.std(lengths), max(lengths), upper / n, of("0123456789"), sum(33 <= c <= 47 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 126 for c in data) / n, of("#*$%&|<>"), of("!"),
+        of(" \t\n\v\f\r"), data.count(b"\n") / len(w), len(held) / len(w), max(held.values()) / len(w), len(repeated) / len(w), (len(lines) - len(set(lines))) / (data.count(b"\n") + 1), sum(c > 127 for c in data) / n, -sum(s * np.log2(s) for s in shares),
+        sum(map(data.count, (b".", b"!", b"?"))) / len(w), capital / len(w), sum(c for c in held.values() if c > 1) / len(w), upper / max(1, upper + lower),
+    ])
+
+
+def test_quality_against_brute_force(spark, docs, labels):
+    """The query's scores: statistics by their definition, the rows learned from by the contract, the forest walked node by node; held-out rows are told apart."""
+    for x in docs.collect():
+        assert np.allclose(textstats.features(x["text"]), brute_features(x["text"]), rtol=1e-4, atol=1e-5), x["text"]
+    sf = "/root/testdata/sf0.01"
+    table, marks = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    truth = {x["doc_id"]: x["quality"] for x in marks.collect()}
+    texts = {x["doc_id"]: x["text"] for x in table.collect()}
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    chosen = [i for i in texts if i in truth and not held(i)]
+    x = np.stack([textstats.features(texts[i]) for i in chosen])
+    order = np.lexsort((*x.T[::-1], np.array(chosen)))
+    forest = quality.fit(x[order], np.array([truth[i] for i in chosen], float)[order])
+    out = {r["doc_id"]: r for r in quality.op8_boosted_quality(table, marks).collect()}
+    assert all(out[i]["score"] == pytest.approx(brute_forest(forest, textstats.features(t)), abs=1e-6) and out[i]["held_out"] == held(i) for i, t in texts.items())
+    good, bad = ([out[i]["score"] for i in texts if i in truth and held(i) and truth[i] == y] for y in (1, 0))
+    assert np.mean([(a > b) + 0.5 * (a == b) for a in good for b in bad]) > 0.95
+
+
 def test_boosting(docs, empty, labels):
     r = np.random.default_rng(0)
     x = r.normal(size=(3000, 5)).astype(np.float32)
@@ -583,15 +680,7 @@ def test_boosting(docs, empty, labels):
     forest = quality.fit(x[:2000], y[:2000])
     assert ((forest.scores(x[2000:]) >= 0.5) == y[2000:]).mean() > 0.95
 
-    def walk(row):
-        total = forest.base
-        for k in forest.roots:
-            while forest.left[k] != k:
-                k = forest.left[k] if row[forest.feature[k]] <= forest.threshold[k] else forest.right[k]
-            total += forest.value[k]
-        return 1 / (1 + np.exp(-total))
-
-    assert np.allclose([walk(v) for v in x[:50]], forest.scores(x[:50]))
+    assert np.allclose([brute_forest(forest, v) for v in x[:50]], forest.scores(x[:50]))
     out = quality.op8_boosted_quality(docs, labels).collect()
     assert len(out) == docs.count() and all(0 <= v["score"] <= 1 and v["predicted"] == int(v["score"] >= 0.3) for v in out)
     assert quality.op8_boosted_quality(empty, labels).count() == 0
@@ -661,22 +750,99 @@ def test_byte_pair_encoding(docs, empty):
     assert back.where("not decoded <=> coalesce(text, '')").count() == 0
 
 
+def kept_by_brute_force(name, rows, spark, sf):
+    """What a stage keeps of (doc_id, text) rows, by each operator's own model applied to one text at a time, or by the definition."""
+    docs = spark.createDataFrame([tuple(x) for x in rows], rows[0].__fields__ and spark.read.parquet(f"{sf}/documents.parquet").schema)
+    if name == "language":
+        net = langid.learned(docs)
+        out = []
+        for x in rows:
+            p = langid.probabilities(net, [x["text"]])[0]
+            if any(map(str.isalpha, x["text"] or "")) and p.max() >= langid.LEAST_SCORE:
+                out.append(tuple(x))
+        return Counter(out)
+    if name == "quality":
+        forest = quality.learned(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+        return Counter(tuple(x) for x in rows if brute_forest(forest, textstats.features(x["text"])) >= quality.GOOD)
+    if name == "near_duplicates":
+        _, roots = brute_components([(x["doc_id"], x["text"]) for x in rows])
+        return Counter(tuple(x) for x in rows if roots[x["doc_id"]] == x["doc_id"])
+    if name == "mix":
+        taken = {x["doc_id"]: x["times"] for x in mixing.mix(docs).collect()}
+        sizes, used = Counter(), Counter()
+        for x in rows:
+            sizes[x["source"]] += len(words(x["text"]))
+            used[x["source"]] += taken[x["doc_id"]] * len(words(x["text"]))
+        want = brute_targets(dict(sizes))
+        most = max(len(words(x["text"])) for x in rows)
+        assert all(abs(used[s] - want[s]) <= most for s in sizes)
+        return Counter({tuple(x): taken[x["doc_id"]] for x in rows if taken[x["doc_id"]]})
+    raise KeyError(name)
+
+
 def test_pipeline(spark):
+    """Every stage on all that its predecessor kept, against brute force; run() gives what the stages give."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES:
-        before = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = docs.collect()
         out = common.saved(stage(spark, docs, sf), f"test-{name}")
-        if name != corpus_pipeline.STAGES[-1][0]:
-            assert out.columns == docs.columns and 0 < out.count()
-        if name in ("language", "quality", "near_duplicates"):
-            assert out.count() <= before
+        assert out.columns == docs.columns
+        assert Counter(tuple(x) for x in out.collect()) == kept_by_brute_force(name, rows, spark, sf), name
         docs = out
-    assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    kept = [n for n, _ in corpus_pipeline.STAGES]
-    assert kept == ["language", "quality", "near_duplicates", "mix", "tokens"]
+    name, stage = corpus_pipeline.STAGES[-1]
+    t = Tokenizer.from_file(bpe.vocabulary_path())
+    want = Counter()
+    for x in docs.collect():
+        ids = t.encode(x["text"] or "", add_special_tokens=False).ids
+        want[(x["doc_id"], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest())] += 1
+    last = stage(spark, docs, sf)
+    assert last.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and Counter(tuple(x) for x in last.collect()) == want
+    assert Counter(tuple(x) for x in corpus_pipeline.run(spark, sf).collect()) == want
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_duplicates", "mix", "tokens"]
+
+
+def test_pipeline_stages_on_odd_tables(spark):
+    """Empty tables, nulls in every column, ties, repeated ids and rows, very long texts and clashing names: no stage crashes, and each has its defined result."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    good = [x["text"] for x in spark.read.parquet(f"{sf}/documents.parquet").where("length(text) > 1500 and lang = 'en'").orderBy("doc_id").limit(12).collect()]
+    rows = [(i, t, "en", f"s{i % 2}", len(t), "r", 1.0) for i, t in enumerate(good)]
+    rows += [(5, good[0], "en", "s1", 1, "r", 1.0), rows[3], rows[3], (None, None, None, None, None, None, None), (None, good[1], None, None, None, "r", None), (40, "", "en", "s0", 0, "r", 1.0), (41, " \n\t", "en", "s0", 3, "r", 1.0)]
+    rows += [(42, (good[2] + " ") * 300, "en", "s0", 9, "r", 1.0), (43, "x" * 300_000, "en", "s0", 9, "r", 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row string, score double").repartition(3)
+    none = docs.where("doc_id < -1")
+    given = Counter(map(tuple, rows))
+    for name, stage in corpus_pipeline.STAGES:
+        out, blank = stage(spark, docs, sf), stage(spark, none, sf)
+        assert blank.count() == 0 and blank.columns == out.columns
+        got = Counter(tuple(x) for x in out.collect())
+        if name == "tokens":
+            assert sum(got.values()) == len(rows)
+            continue
+        assert out.columns == docs.columns and set(got) <= set(given)
+        if name in ("language", "quality"):
+            # every row by itself: copies go or stay together
+            assert all(n == given[x] for x, n in got.items())
+        if name == "language":
+            assert not any(x[1] is None or not any(map(str.isalpha, x[1])) for x in got)
+        if name == "near_duplicates":
+            assert got[rows[3]] == 1 and sum(n for x, n in got.items() if x[0] is None) == 2
+            # document 5's other text is a copy of document 0's, which stays
+            assert got[rows[0]] == 1 and not got[(5, good[0], "en", "s1", 1, "r", 1.0)] and got[rows[5]] == 1
+        if name == "mix":
+            assert not any(not words(x[1]) for x in got) and all(n <= 2 * given[x] for x, n in got.items())
+            planned = Counter()
+            for x in mixing.mix(docs).collect():
+                planned[(x["doc_id"], x["source"], x["size"], x["text_hash"])] += x["times"]
+            made = Counter()
+            for x, n in got.items():
+                made[(x[0], x[3], len(words(x[1])), signed_hash(x[1]))] += n
+            assert made == +planned
 
 
 def test_fertility_bands(spark):
