@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audits, campaign, counts, extensions, lookups, ordering, partitioning, predicates, scalars  # noqa: F401
+from . import audits, campaign, counts, extensions, lookups, ordering, partitioning, predicates, scalars, storage  # noqa: F401
 from .registry import QUERIES, SQL
 
 
