@@ -30,12 +30,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``, else one of our own (tests)."""
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``. Where that is unset a local session gets one of our own (tests);
+    on a cluster, whose machines share no such folder, that is refused."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = found.get() if found.isDefined() else None
     if not found:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

@@ -33,7 +33,7 @@ LEAST_ROWS = 30
 STEPS, CONTEXT, UNITS, BATCH, UPDATES, RATE = 64, 32, 8, 256, 220, 0.02
 FOLDS, HELD_OUT, UNKNOWN = 3, 1, "und"
 #: Windows that run through the network at once, for up to RUN_LANGUAGES languages; fewer for more.
-RUN, RUN_LANGUAGES = 2048, 64
+RUN, RUN_LANGUAGES = 1024, 64
 #: Leading bits of a hash by which a language's documents are counted.
 BITS = 12
 
