@@ -38,7 +38,11 @@ def at_share(df: DataFrame, group: list[str], value: str, shares: dict[str, floa
 
 
 def weighted_kappa(pairs: DataFrame, a: str, b: str, group: list[str] = [], levels: int = 5) -> DataFrame:  # noqa: B006
-    """Quadratic-weighted kappa of two ratings 0..levels-1: null without pairs or without expected disagreement; rounded to 4."""
+    """Quadratic-weighted kappa of two ratings 0..levels-1: null without pairs or without expected disagreement; rounded to 4. Other ratings are
+    refused, so the table of cells never has more than levels x levels rows a group."""
+    fits = lambda c: F.col(c).between(0, levels - 1) & (F.col(c) == F.floor(F.col(c)))
+    if pairs.where(~fits(a) | ~fits(b)).take(1):
+        raise ValueError(f"ratings must be whole numbers from 0 to {levels - 1}")
     cells = pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*group, a, b).agg(F.count("*").alias("o"))
     rows = cells.groupBy(*group, F.col(a).alias("i")).agg(F.sum("o").alias("r"))
     cols = cells.groupBy(*group, F.col(b).alias("j")).agg(F.sum("o").alias("c"))

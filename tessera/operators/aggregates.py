@@ -62,12 +62,19 @@ def paired_differences(attempts: DataFrame, arm: str, names: tuple[str, str], ta
     return both.where(base.isNotNull() & other.isNotNull()).select(task, base.alias("base"), other.alias("other"), (other - base).alias("difference"))
 
 
+#: Tasks that a bootstrap takes.
+MOST_TASKS = 100_000
+
+
 def bootstrap_interval(values: DataFrame, key: str, value: str, resamples: int, level: float, seed) -> DataFrame:
     """Percentile interval of the mean: resample b draws its i-th value by a hash of (seed, b, i), so reruns agree.
 
-    `values` has one row a task (hundreds, not data-sized); resamples are spread over tasks by exploding their numbers.
+    `values` has one row a task; more than MOST_TASKS are refused, as every resample draws as many rows. Resamples are spread over tasks by exploding
+    their numbers.
     """
     spark = values.sparkSession
+    if values.limit(MOST_TASKS + 1).count() > MOST_TASKS:
+        raise ValueError(f"more than {MOST_TASKS} tasks: aggregate them first")
     numbered = values.select((F.row_number().over(W.orderBy(key)) - 1).cast("bigint").alias("i"), F.col(value).alias("v"))
     n = numbered.count()
     draws = spark.range(resamples).withColumnRenamed("id", "b").withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n - 1, 0)).cast("bigint"))))

@@ -30,6 +30,9 @@ def test_percentile_index(spark):
 def test_kappa(spark):
     pairs = spark.createDataFrame([(0, 0), (1, 1), (2, 3), (4, 4)], "a int, b int")
     assert stats.weighted_kappa(pairs, "a", "b").first()["kappa"] == pytest.approx(1 - 0.0625 / ((0 + 1 + 9 + 16 + 1 + 0 + 4 + 9 + 4 + 1 + 1 + 4 + 16 + 9 + 1 + 0) / 16 / 4), abs=1e-4)
+    for bad in ((5, 0), (-1, 0)):
+        with pytest.raises(ValueError, match="ratings"):
+            stats.weighted_kappa(spark.createDataFrame([bad], "a int, b int"), "a", "b")
     same = spark.createDataFrame([(2, 2), (2, 2)], "a int, b int")
     assert stats.weighted_kappa(same, "a", "b").first()["kappa"] is None
     assert stats.weighted_kappa(pairs.where("a > 9"), "a", "b").count() in (0, 1)
