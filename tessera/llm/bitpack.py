@@ -42,7 +42,7 @@ from .common import prepare, saved
 MAGIC, VERSION = b"TSBITS\r\n", 1
 HEADER = struct.Struct("<8sHHIQQQ")
 #: Ids in a block (a multiple of 64), ids after which a shard ends, words and pieces remembered by a worker, the longest that are.
-BLOCK, SHARD_TOKENS, REMEMBERED, LONGEST = 4096, 1 << 18, 600_000, 64
+BLOCK, SHARD_TOKENS, REMEMBERED, LONGEST = 4096, 1 << 18, 500_000, 64
 #: The id that ends each document.
 END_ID = 1
 NO_ID = -(2**63)
@@ -174,8 +174,6 @@ class WordEncoder:
             found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         else:
             found = b"".join(map(self._piece, _PIECES(text.lower())))
-        if len(word) <= LONGEST:
-            self.known[word] = found
         return found
 
     def encode(self, text: str | None) -> bytes:
@@ -189,8 +187,25 @@ class WordEncoder:
             self.known.clear()
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
-        known, word = self.known.get, self._word
-        return b"".join([found if (found := known(w)) is not None else word(w) for w in words])
+        known, word = self.known, self._word
+        new = set(words).difference(known)
+        for w in new:
+            known[w] = word(w)
+        out = b"".join(map(known.__getitem__, words))
+        for w in new:
+            if len(w) > LONGEST:
+                del known[w]
+        return out
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """One encoder a worker process, with what it remembers."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def write_shards(docs: DataFrame, path: str | None = None, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -202,8 +217,8 @@ def write_shards(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
     ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
-        bits, end, part = width(max(encoder.size, end_id + 1)), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
+        own_encoder = encoder(path)
+        bits, end, part = width(max(own_encoder.size, end_id + 1)), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         seq = before = held = 0
         ids, lengths, packed = [], [], []
 
@@ -213,7 +228,7 @@ def write_shards(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                own = encoder.encode(text) + end
+                own = own_encoder.encode(text) + end
                 ids.append(doc_id)
                 lengths.append(len(own) // 4)
                 packed.append(own)
