@@ -34,11 +34,12 @@ def first_reason_of(calls: Column, reason) -> Column:
 def stale_verifications(moments: DataFrame, operations: DataFrame, by: str, key: str) -> DataFrame:
     """(key, stale) for moments (by, key, at): verification had passed by then, but not on the last revision by then.
 
-    operations: by, started_at, order (a tie of started_at goes to the later one), source_revision, source_verdict. The passed revisions so far are known from the time at
-    which each first passed, so none are collected.
+    operations: by, started_at, order (a tie of started_at goes to the later one, a tie of both to the greater revision), source_revision, source_verdict. The passed
+    revisions so far are known from the time at which each first passed, so none are collected.
     """
-    revisions = operations.where("source_revision is not null").select(by, F.struct("started_at", "order").alias("started"), "source_revision")
-    known = moments.withColumn("until", F.struct(F.col("at").alias("started_at"), F.lit(2**62).alias("order")))
+    revisions = operations.where("source_revision is not null").select(by, F.struct("started_at", "order", "source_revision").alias("started"), "source_revision")
+    no_revision = F.lit(None).cast(operations.schema["source_revision"].dataType)
+    known = moments.withColumn("until", F.struct(F.col("at").alias("started_at"), F.lit(2**62).alias("order"), no_revision.alias("source_revision")))
     last = asof(known, revisions, [by], "until", "started", ["source_revision"])
     passed = operations.where("source_verdict = 'passed'")
     any_at = passed.groupBy(by).agg(F.min("started_at").alias("any_at"))
@@ -55,15 +56,16 @@ def admission(turns: DataFrame, calls: DataFrame, operations: DataFrame, witness
     turns: episode, session, turn, settled_at, committed, host_exclusion, closeout_reason; calls: turn, position, the columns of ``call_reason``,
     source_verdict, source_revision; operations: episode, started_at, order, source_revision, source_verdict; witnessed: episodes whose diagnostic
     check passed. Turns the host excluded stay out; of the rest in the order they settled, a failure marks its session, and later turns with
-    calls of that session are recoveries, whether it was admitted or not.
+    calls of that session are recoveries, whether it was admitted or not. Operations of one started_at and order follow each other by revision, and of
+    the reasons at one position the least by name counts, so reruns agree.
     """
-    first = first_per(operations.where("source_revision is not null"), ["episode"], [F.col("started_at"), F.col("order")]).select("episode", F.col("source_revision").alias("initial"))
+    first = first_per(operations.where("source_revision is not null"), ["episode"], [F.col("started_at"), F.col("order"), F.col("source_revision")]).select("episode", F.col("source_revision").alias("initial"))
     base = turns.join(first, "episode", "left").join(witnessed.select("episode").distinct().withColumn("witness", F.lit(True)), "episode", "left")
     with_initial = calls.join(base.select("turn", "initial"), "turn")
     reproduced = (F.col("source_verdict") == "failed") & (F.col("source_revision") == F.col("initial"))
     outcome = F.max(F.when(F.col("semantic_outcome") == "failure", 2).when(F.coalesce("semantic_outcome", F.lit("unknown")) == "unknown", 1).otherwise(0))
     per_turn = with_initial.withColumn("why", call_reason()).groupBy("turn").agg(
-        F.min_by("why", F.when(F.col("why").isNotNull(), F.col("position"))).alias("call_reason"), outcome.alias("worst"), F.bool_or(F.coalesce(reproduced, F.lit(False))).alias("reproduced")
+        F.min(F.when(F.col("why").isNotNull(), F.struct("position", "why")))["why"].alias("call_reason"), outcome.alias("worst"), F.bool_or(F.coalesce(reproduced, F.lit(False))).alias("reproduced")
     )
     stale = stale_verifications(turns.select("episode", "turn", F.col("settled_at").alias("at")), operations, "episode", "turn")
     out = base.join(per_turn, "turn", "left").join(stale, "turn", "left")

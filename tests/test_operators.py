@@ -244,6 +244,20 @@ def test_admission(spark):
     assert rows(out, "n", "category", "first_admitted") == [(1, "excluded:bad", False), (2, "recovery", True), (3, "recovery", False)]
 
 
+def test_admission_breaks_ties(spark):
+    # two operations of one time and order, two reasons at one position: the order of the rows must not matter
+    ops = [("e", 1, 1, "r1", "passed"), ("e", 1, 1, "r2", "failed"), ("f", 1, 1, "r2", "passed"), ("f", 1, 1, "r1", "failed")]
+    calls = [(2, 1, True, True, "open", "known", "r1"), (2, 1, True, True, "settled", "unknown", "r1"), (3, 1, True, True, "settled", "known", "r1")]
+    turns = spark.createDataFrame([(e, e, n, n, True, None, None) for e, n in (("e", 1), ("e", 2), ("e", 3), ("f", 4))], "episode string, session string, turn long, settled_at long, committed boolean, host_exclusion string, closeout_reason string")
+    seen = spark.createDataFrame([("e",)], "episode string")
+    for turned in (False, True):
+        o = spark.createDataFrame(ops[::-1] if turned else ops, "episode string, started_at long, order long, source_revision string, source_verdict string").coalesce(1)
+        c = spark.createDataFrame(calls[::-1] if turned else calls, "turn long, position long, offered boolean, recorded boolean, settlement string, effect_state string, source_revision string").coalesce(1)
+        c = c.withColumns({"replays_unknown_effects": F.lit(False), "invoked": F.lit(True), "source_verdict": F.lit("failed"), "semantic_outcome": F.when(F.col("turn") == 3, "failure").otherwise("success")})
+        # e starts with r1 and ends with r2, which never passed; f ends with r2, which did
+        assert rows(campaign.admission(turns, c, o, seen), "turn", "category", "reason") == [(1, None, "stale_verification"), (2, None, "unknown_effects"), (3, "diagnostic", None), (4, "closeout", None)]
+
+
 def test_early_stop(spark):
     df = spark.createDataFrame([("a", i, i % 2 == 0) for i in range(8)], "k string, n int, ok boolean")
     assert [r[1] for r in rows(windows.accepted_up_to(df, ["k"], ["n"], F.col("ok"), 2), "k", "n")] == [0, 1, 2]
