@@ -99,7 +99,8 @@ def doc_pairs(t):
     symbol = F.when(F.col("conv_id") % 3 == 0, F.element_at(F.split(F.trim("text"), " "), 1)).when(F.col("conv_id") % 3 == 1, "parseThing").otherwise("r")
     doc = F.when(F.col("conv_id") % 5 == 0, F.regexp_replace("text", "^([^ ]*) ", "$1 user ")).otherwise(F.col("text"))
     units = t("conversations").select(F.lit("conv").alias("repo"), F.concat(F.lit("src/"), F.col("role"), F.lit("_Notes.py")).alias("file"), F.col("turn").alias("line"), symbol.alias("symbol"), doc.alias("doc"))
-    return filters.doc_pairs(units)
+    # a task without a longer word has no query: null here as in the SQL, empty in the operator
+    return filters.doc_pairs(units).withColumn("query", F.nullif("query", F.lit("")))
 
 
 @query("""

@@ -59,3 +59,13 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_doc_pairs_without_longer_words(spark, tmp_path):
+    said = ["It was in all of the, was it.", "It was the first of all longer sentences.", "Too short."]
+    spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(said)], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = catalog.queries()["doc_pairs"](spark, str(tmp_path)).select("line", "query").collect()
+    c = duckdb.connect()
+    c.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = c.execute(f"select line, query from ({catalog.oracle_sql()['doc_pairs']}) order by line").fetchall()
+    assert sorted(tuple(r) for r in got) == want == [(0, None), (1, "first longer sentences")]
